@@ -72,7 +72,8 @@ def read_topic(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
     try:
         return spark.read.format("kafka").options(**dict(options)).load()
     except Exception as e:  # connector jar not on the classpath
-        if "kafka" in str(e).lower() and ("not find" in str(e).lower() or "DATA_SOURCE_NOT_FOUND" in str(e)):
+        msg = str(e).lower()
+        if "kafka" in msg and ("find data source" in msg or "data_source_not_found" in msg):
             raise RuntimeError(
                 "the Kafka source is not installed; add the spark-sql-kafka package to the session"
             ) from e

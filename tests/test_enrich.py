@@ -1,0 +1,94 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import Row
+
+from snapkeep import schemas
+from snapkeep.operators.enrich import Lookup, enrich
+from snapkeep.plans.enrichment import enrich_interest, enrich_interest_from_lake
+from snapkeep.sinks.tables import write_table
+
+
+def test_left_join_null_keys_and_duplicates(spark):
+    left = spark.createDataFrame([(None, "l0"), ("k", "l1")], "fk string, lv string")
+    right = spark.createDataFrame([(None, "r0"), ("k", "r1"), ("k", "r2")], "id string, rv string")
+    out = enrich(left, [Lookup(right, key="id", on="fk", columns=["rv"])])
+    assert out.columns == ["fk", "lv", "rv"]
+    got = sorted((r["lv"], r["rv"] or "") for r in out.collect())
+    assert got == [("l0", ""), ("l1", "r1"), ("l1", "r2")]
+
+
+def test_unique_lookup_fails_on_duplicate_key(spark):
+    left = spark.createDataFrame([("k", "l1")], "fk string, lv string")
+    right = spark.createDataFrame([("k", "r1"), ("k", "r2")], "id string, rv string")
+    out = enrich(left, [Lookup(right, key="id", on="fk", columns=["rv"], unique=True)])
+    with pytest.raises(Exception, match="duplicate lookup key"):
+        out.collect()
+    ok = enrich(left, [Lookup(right.limit(1), key="id", on="fk", columns=["rv"], unique=True)])
+    assert ok.count() == 1
+
+
+def test_every_left_row_kept(spark):
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    cust = spark.read.parquet("/root/testdata/sf0.001/customer.parquet")
+    out = enrich(orders, [Lookup(cust, key="c_custkey", on="o_custkey", columns=["c_name"])])
+    assert out.count() == orders.count()
+
+
+def _interest_rows():
+    base = dict.fromkeys(schemas.INTEREST.fieldNames())
+    r1 = {**base, "id": "i1", "name": "n1", "account_id": "a1", "contact_id": "c1", "status": "open",
+          "code30": "ABCDEFGH", "code20": "AB", "code10": "0123456789", "is_closed": False,
+          "created_at": dt.datetime(2024, 3, 7, 23, 30), "created": dt.datetime(1999, 1, 1),
+          "last_modified": dt.date(2024, 3, 1)}
+    r2 = {**base, "id": "i2", "account_id": None, "contact_id": "missing"}
+    return [Row(**r1), Row(**r2)]
+
+
+def test_interest_enrichment_shape(spark):
+    interest = spark.createDataFrame(_interest_rows(), schemas.INTEREST)
+    account = spark.createDataFrame([("a1", "ACC-1"), ("a1", "ACC-1b")], schemas.ACCOUNT)
+    contact = spark.createDataFrame([("c1", "DE")], schemas.CONTACT)
+    out = enrich_interest(interest, account, contact)
+    assert out.columns == schemas.ENRICHED_INTEREST_COLUMNS
+    assert len(out.columns) == 17
+    rows = sorted(out.collect(), key=lambda r: (r["id"], r["account_number"] or ""))
+    # duplicate account id doubles the row
+    assert [r["id"] for r in rows] == ["i1", "i1", "i2"]
+    r = rows[0]
+    assert r["country"] == "DE" and r["code30"] == "ABCDE" and r["code20"] == "AB"
+    assert r["code10"] == "01234" and r["created"] == dt.date(2024, 3, 7)
+    assert rows[2]["country"] is None and rows[2]["account_number"] is None
+
+
+def test_enrichment_from_lake_reads_each_source_at_its_day(spark, tmp):
+    from pyspark.sql import functions as F
+
+    interest = spark.createDataFrame(_interest_rows(), schemas.INTEREST)
+    account = spark.createDataFrame([("a1", "OLD")], schemas.ACCOUNT)
+    account_new = spark.createDataFrame([("a1", "NEW")], schemas.ACCOUNT)
+    contact = spark.createDataFrame([("c1", "DE")], schemas.CONTACT)
+    day, acc_day = "2024-03-07", "2024-02-14"
+    for df, root, d in [(interest, "interest", day), (account, "account", acc_day),
+                        (account_new, "account", day), (contact, "contact", day)]:
+        write_table(df.withColumn("EXTRACT_DATE", F.lit(d).cast("date")), f"{tmp}/{root}",
+                    mode="overwrite", partition_by=["EXTRACT_DATE"])
+    out = enrich_interest_from_lake(spark, f"{tmp}/interest", f"{tmp}/account", f"{tmp}/contact",
+                                    day, account_day=acc_day)
+    got = {r["id"]: r["account_number"] for r in out.collect()}
+    assert got == {"i1": "OLD", "i2": None}
+
+
+def test_wide_interest_is_pruned(spark, tmp):
+    wide = schemas.widen(schemas.INTEREST, schemas.INTEREST_WIDTH)
+    assert len(wide.fields) == 95
+    rows = [tuple(r) + (None,) * (95 - len(schemas.INTEREST.fields)) for r in _interest_rows()]
+    spark.createDataFrame(rows, wide).write.parquet(f"{tmp}/wide")
+    interest = spark.read.schema(wide).parquet(f"{tmp}/wide")
+    account = spark.createDataFrame([("a1", "ACC-1")], schemas.ACCOUNT)
+    contact = spark.createDataFrame([("c1", "DE")], schemas.CONTACT)
+    out = enrich_interest(interest, account, contact)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    read_schema = plan.split("ReadSchema: ")[1].split("\n")[0]
+    assert "extra_" not in read_schema
+    assert out.count() == 2

@@ -22,10 +22,10 @@ from pyspark.sql import types as T
 from .functions.casts import envelope_columns, with_date_from
 from .functions.codes import first_code, truncate_codes
 from .functions.json import flatten_struct, parse_json
-from .operators.counts import row_counts
 from .operators.enrich import Lookup, enrich
 from .operators.latest import latest_per_key, max_per_key
 from .operators.profile import null_profile
+from .plans.counts import table_counts
 from .plans.enrichment import enrich_entity
 from .plans.extract import extract_snapshot
 from .session import scratch_path
@@ -202,7 +202,7 @@ def q_latest_per_key_one(spark, d):
 
 
 def q_row_counts(spark, d):
-    return row_counts({t: table(spark, d, t) for t in TABLES})
+    return table_counts(spark, {t: f"{d}/{t}.parquet" for t in TABLES})
 
 
 def _events_by_day(spark, d) -> DataFrame:
@@ -212,9 +212,11 @@ def _events_by_day(spark, d) -> DataFrame:
 
 def q_partitioned_roundtrip(spark, d):
     out = scratch_path(spark, "events-by-day")
+    # Rebalance by day: files of about the advisory size, a big day split
+    # over several tasks (a fixed coalesce would narrow the whole upstream
+    # stage to that many tasks).
     write_table(
-        _events_by_day(spark, d), out, mode="overwrite", partition_by=["EVENT_DATE"],
-        layout="coalesce", partitions=5,
+        _events_by_day(spark, d), out, mode="overwrite", partition_by=["EVENT_DATE"], layout="rebalance"
     )
     return spark.read.parquet(out)
 

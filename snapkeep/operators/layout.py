@@ -65,4 +65,7 @@ def stable(df: DataFrame) -> DataFrame:
     this, a lost executor recomputes from the written files, not from the
     source.  Needs ``spark.checkpoint.dir`` (see `session.ensure_checkpoint_dir`).
     """
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -14,6 +14,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,6 +57,25 @@ def stamp_date(df: DataFrame, date_col: str, day: str | dt.date | None) -> DataF
     return df.withColumn(date_col, day_literal(day) if day is not None else F.current_date())
 
 
+def _decoded(envelope, schema, keep_ties: bool, stable_input: bool) -> DataFrame:
+    keep = ("offset", "key") if keep_ties else ("offset", "key", "partition")
+    decoded = decode_envelope(envelope, schema, keep=keep)
+    return stable(decoded) if stable_input else decoded
+
+
+def _snapshot_of(
+    decoded: DataFrame, key, extract_date, keep_ties: bool, method: str, date_col: str
+) -> tuple[DataFrame, Observation]:
+    observed, obs = observe_dropped(decoded, key, "offset", name="extract_input")
+    latest = latest_per_key(
+        observed, key, "offset", keep_ties=keep_ties,
+        tiebreak=None if keep_ties else ["partition"], method=method,
+    )
+    if not keep_ties:
+        latest = latest.drop("partition")
+    return stamp_date(latest, date_col, extract_date), obs
+
+
 def latest_snapshot(
     envelope: DataFrame,
     schema: T.StructType | str,
@@ -74,18 +94,8 @@ def latest_snapshot(
     after an executor loss never re-read the topic (whose old offsets may
     have expired meanwhile).
     """
-    keep = ("offset", "key") if keep_ties else ("offset", "key", "partition")
-    decoded = decode_envelope(envelope, schema, keep=keep)
-    if stable_input:
-        decoded = stable(decoded)
-    observed, obs = observe_dropped(decoded, key, "offset", name="extract_input")
-    latest = latest_per_key(
-        observed, key, "offset", keep_ties=keep_ties,
-        tiebreak=None if keep_ties else ["partition"], method=method,
-    )
-    if not keep_ties:
-        latest = latest.drop("partition")
-    return stamp_date(latest, date_col, extract_date), obs
+    decoded = _decoded(envelope, schema, keep_ties, stable_input)
+    return _snapshot_of(decoded, key, extract_date, keep_ties, method, date_col)
 
 
 def extract_snapshot(
@@ -107,13 +117,22 @@ def extract_snapshot(
     overwrite), so a rerun for a day is idempotent and leaves other days
     alone.  Returns the row metrics of the run.
     """
-    snap, obs = latest_snapshot(
-        envelope, schema, key, extract_date, keep_ties, method, date_col, stable_input
-    )
-    out_obs = Observation("extract_output")
-    snap = snap.observe(out_obs, F.count(F.lit(1)).alias("output_rows"))
-    write_table(
-        snap, out_root, fmt="parquet", mode="overwrite", partition_by=[date_col],
-        overwrite="dynamic", partitions=output_partitions, layout=layout,
-    )
+    decoded = _decoded(envelope, schema, keep_ties, stable_input)
+    # The join form reads the decoded records twice (maxima, join back):
+    # keep them (memory, spilling to disk) for this one write only.  The
+    # rank form reads them once and needs no cache.
+    reuse = method == "join" and not stable_input
+    if reuse:
+        decoded = decoded.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        snap, obs = _snapshot_of(decoded, key, extract_date, keep_ties, method, date_col)
+        out_obs = Observation("extract_output")
+        snap = snap.observe(out_obs, F.count(F.lit(1)).alias("output_rows"))
+        write_table(
+            snap, out_root, fmt="parquet", mode="overwrite", partition_by=[date_col],
+            overwrite="dynamic", partitions=output_partitions, layout=layout,
+        )
+    finally:
+        if reuse:
+            decoded.unpersist()
     return {**obs.get, **out_obs.get}

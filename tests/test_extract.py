@@ -72,3 +72,15 @@ def test_stable_input_uses_shared_checkpoint_folder(spark, tmp):
     plan = snap._jdf.queryExecution().optimizedPlan().toString()
     assert "LogicalRDD" in plan  # lineage cut at the decoded records
     assert snap.count() == spark.read.parquet(EVENTS).select("user_id").distinct().count()
+
+
+def test_join_form_matches_rank_form(spark, tmp):
+    env = events_envelope(spark.read.parquet(EVENTS))
+    m_rank = extract_snapshot(env, EVENT_PAYLOAD, "user_id", tmp + "/a", extract_date="2024-03-07")
+    m_join = extract_snapshot(env, EVENT_PAYLOAD, "user_id", tmp + "/b", extract_date="2024-03-07",
+                              method="join")
+    assert m_rank == m_join
+    a = sorted(map(tuple, read_snapshot(spark, tmp + "/a").collect()))
+    b = sorted(map(tuple, read_snapshot(spark, tmp + "/b").collect()))
+    assert a == b
+    assert not spark.sparkContext._jsc.getPersistentRDDs()

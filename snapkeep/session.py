@@ -7,7 +7,6 @@ sets the runtime SQL options the operators rely on an existing session.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -62,28 +61,51 @@ def build_session(
     return spark
 
 
+def _master(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.master
+    except Exception:  # no JVM context (e.g. a remote session)
+        return spark.conf.get("spark.master", "") or ""
+
+
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    return _master(spark).startswith("local")
+
+
+def _conf_value(spark: SparkSession, key: str) -> str | None:
+    value = spark.conf.get(key, None)
+    if value:
+        return value
+    try:
+        return spark.sparkContext.getConf().get(key)
+    except Exception:
+        return None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by `spark.checkpoint.dir`.
 
     The cluster setting is always preferred.  Only a local-mode session with
-    no setting (tests, laptops) gets a fresh temporary folder; on a cluster
-    an unset value is an error, since a machine-local folder is not shared
-    between executors.
+    no setting (tests, laptops) gets a fresh temporary folder, registered as
+    the context's checkpoint folder; on a cluster an unset value is an
+    error, since a machine-local folder is not shared between executors.
     """
-    root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
+    root = _conf_value(spark, CHECKPOINT_CONF)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no JVM context: only the setting can name the folder
+        sc = None
+    if not root and sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     if not root:
-        if not _is_local(spark):
+        if not _is_local(spark) or sc is None:
             raise RuntimeError(
                 f"{CHECKPOINT_CONF} is not set; name a shared folder (HDFS/object store) for the cluster"
             )
-        root = tempfile.mkdtemp(prefix="snapkeep-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="snapkeep-ckpt-"))
+        return sc.getCheckpointDir()
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root
 
 
@@ -91,12 +113,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder name under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a `file:` scheme so local paths can be used by plain Python."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)

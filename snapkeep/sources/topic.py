@@ -28,6 +28,8 @@ def topic_options(
     fail_on_data_loss: bool = False,
     security_protocol: str | None = "SASL_SSL",
     sasl_mechanism: str = "PLAIN",
+    min_partitions: int | None = None,
+    max_records_per_partition: int | None = None,
     extra: Mapping[str, str] | None = None,
 ) -> dict[str, str]:
     """Option map for a bounded topic read.
@@ -37,6 +39,12 @@ def topic_options(
     as text or as a mapping ``{topic: {partition: offset}}``.  The start is
     inclusive, the end exclusive.  ``fail_on_data_loss=False`` skips offsets
     the broker has already expired, without error.
+
+    Read parallelism is one task per topic partition unless
+    `min_partitions` (split big partitions into at least that many tasks
+    overall) or `max_records_per_partition` (cap records per task) is set;
+    for a large retained topic set one of them so the scan spreads over the
+    cluster instead of a handful of tasks.
     """
     if (topic is None) == (assign is None):
         raise ValueError("give exactly one of topic or assign")
@@ -52,6 +60,10 @@ def topic_options(
     opts["startingOffsets"] = text(starting_offsets)
     opts["endingOffsets"] = text(ending_offsets)
     opts["failOnDataLoss"] = "true" if fail_on_data_loss else "false"
+    if min_partitions:
+        opts["minPartitions"] = str(int(min_partitions))
+    if max_records_per_partition:
+        opts["maxRecordsPerPartition"] = str(int(max_records_per_partition))
     if security_protocol:
         opts["kafka.security.protocol"] = security_protocol
         opts["kafka.sasl.mechanism"] = sasl_mechanism

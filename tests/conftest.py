@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -8,7 +7,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from snapkeep.session import SQL_SETTINGS  # noqa: E402
+from snapkeep.session import SQL_SETTINGS, ensure_checkpoint_dir  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 SF_CHECK = "/root/testdata/sf0.01"
@@ -25,9 +24,10 @@ def spark():
     )
     for k, v in SQL_SETTINGS.items():
         b = b.config(k, v)
-    # Tests own a local session, so they set the checkpoint folder themselves.
-    b = b.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="snapkeep-test-ckpt-"))
     s = b.getOrCreate()
+    # The folder named by spark.checkpoint.dir is used as is; only a session
+    # without one gets a temporary folder (see ensure_checkpoint_dir).
+    ensure_checkpoint_dir(s)
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

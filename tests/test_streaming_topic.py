@@ -49,6 +49,7 @@ def test_topic_options_map():
     assert sliced["assign"] == '{"t": [0]}'
     assert sliced["startingOffsets"] == '{"t": {"0": 14886991}}'
     assert "kafka.sasl.jaas.config" not in sliced
+    assert topic_options("b", topic="t", min_partitions=4000)["minPartitions"] == "4000"
     with pytest.raises(ValueError):
         topic_options("b")
 

@@ -7,7 +7,8 @@ the topic (payload key ``user_id``, offset ``event_id``), ``orders`` /
 with a write step write to a fresh folder under the shared checkpoint
 folder and read the result back.
 
-Each entry: ``name -> (callable(spark, sf_dir) -> DataFrame, sql or None)``.
+`QUERIES` maps a name to ``callable(spark, sf_dir) -> DataFrame``; `SQL`
+maps the same name to the equivalent SQL text over the same tables.
 Column names are the same on both sides.
 """
 
@@ -27,7 +28,8 @@ from .operators.latest import latest_per_key, max_per_key
 from .operators.profile import null_profile
 from .plans.counts import table_counts
 from .plans.enrichment import enrich_entity
-from .plans.extract import extract_snapshot
+from .plans.extract import decode_envelope, extract_snapshot
+from .schemas import ENVELOPE
 from .session import scratch_path
 from .sinks.tables import write_table
 from .sources.csv import read_csv
@@ -85,11 +87,17 @@ def events_envelope(events: DataFrame, value: str = "record", with_edge_messages
     )
     if not with_edge_messages:
         return env
-    spark = events.sparkSession
-    edge = spark.createDataFrame(
-        [(b"8", None, "events", TOPIC_PARTITIONS, 0, None, 0),
-         (b"9", b"{not json", "events", TOPIC_PARTITIONS, 1, None, 0)],
-        env.schema,
+    # Built with JVM expressions (no Python rows): tombstone at offset 0,
+    # junk at offset 1, in one partition of their own.
+    rid = F.col("id")
+    edge = events.sparkSession.range(0, 2, 1, 1).select(
+        F.when(rid == 0, F.lit("8")).otherwise(F.lit("9")).cast("binary").alias("key"),
+        F.when(rid == 1, F.lit("{not json")).cast("binary").alias("value"),
+        F.lit("events").alias("topic"),
+        F.lit(TOPIC_PARTITIONS).alias("partition"),
+        rid.alias("offset"),
+        F.lit(None).cast("timestamp").alias("timestamp"),
+        F.lit(0).alias("timestampType"),
     )
     return env.unionByName(edge)
 
@@ -271,6 +279,18 @@ def q_stream_append(spark, d):
     return spark.read.schema(decoded.schema).parquet(f"{out}/data")
 
 
+def q_stream_decode_envelope(spark, d):
+    # Envelope files stand in for the topic; the stream decodes each
+    # micro-batch exactly as the batch extract does and appends it.
+    src = scratch_path(spark, "events-envelope")
+    write_table(events_envelope(table(spark, d, "events")), src, mode="overwrite")
+    out = scratch_path(spark, "events-decoded-stream")
+    stream = read_stream_files(spark, src, ENVELOPE, max_files_per_trigger=4)
+    decoded = decode_envelope(stream, T.StructType.fromDDL(EVENT_PAYLOAD))
+    write_stream(decoded, f"{out}/data", f"{out}/checkpoint")
+    return spark.read.schema(decoded.schema).parquet(f"{out}/data")
+
+
 def q_code_fallback(spark, d):
     return _docs_labelled(spark, d).select("doc_id", first_code(["quality", "toxic"]).alias("code"))
 
@@ -353,6 +373,14 @@ SQL: dict[str, str] = {
     "stream_append": (
         "SELECT event_id, ts, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events"
     ),
+    "stream_decode_envelope": (
+        'SELECT event_id AS "offset", CAST(user_id AS VARCHAR) AS key, event_id, ts, user_id, event_type, '
+        "value, props FROM events UNION ALL "
+        'SELECT CAST(o AS BIGINT) AS "offset", k AS key, CAST(NULL AS BIGINT) AS event_id, '
+        "CAST(NULL AS TIMESTAMP) AS ts, CAST(NULL AS BIGINT) AS user_id, CAST(NULL AS VARCHAR) AS event_type, "
+        "CAST(NULL AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS props "
+        "FROM (VALUES (0, '8'), (1, '9')) AS edge(o, k)"
+    ),
     "code_fallback": (
         "SELECT d.doc_id, COALESCE(substring(CAST(l.quality AS VARCHAR), 1, 5), "
         "substring(CAST(l.toxic AS VARCHAR), 1, 5), '-1') AS code "
@@ -389,6 +417,7 @@ QUERIES: dict[str, Query] = {
     "partition_inventory": q_partition_inventory,
     "extract_snapshot": q_extract_snapshot,
     "stream_append": q_stream_append,
+    "stream_decode_envelope": q_stream_decode_envelope,
     "code_fallback": q_code_fallback,
     "null_profile": q_null_profile,
 }

@@ -3,9 +3,9 @@
 from .csv import read_csv
 from .inventory import partition_inventory
 from .parquet import read_parquet, read_parquets, read_snapshot
-from .topic import offset_slice, read_topic, slice_offsets, topic_options
+from .topic import offset_slice, read_topic, read_topic_stream, slice_offsets, topic_options
 
 __all__ = [
     "read_csv", "partition_inventory", "read_parquet", "read_parquets", "read_snapshot",
-    "offset_slice", "read_topic", "slice_offsets", "topic_options",
+    "offset_slice", "read_topic", "read_topic_stream", "slice_offsets", "topic_options",
 ]

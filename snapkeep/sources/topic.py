@@ -92,6 +92,27 @@ def read_topic(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
         raise
 
 
+def read_topic_stream(spark: SparkSession, options: Mapping[str, str], max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """``spark.readStream.format("kafka")``: the topic as an unbounded envelope frame.
+
+    Decode it with `plans.decode_envelope` and append it with
+    `streaming.write_stream`.  ``endingOffsets`` does not apply to streams
+    and is dropped; `max_offsets_per_trigger` bounds each micro-batch.
+    """
+    opts = {k: v for k, v in dict(options).items() if k != "endingOffsets"}
+    if max_offsets_per_trigger:
+        opts["maxOffsetsPerTrigger"] = str(int(max_offsets_per_trigger))
+    try:
+        return spark.readStream.format("kafka").options(**opts).load()
+    except Exception as e:
+        msg = str(e).lower()
+        if "kafka" in msg and ("find data source" in msg or "data_source_not_found" in msg):
+            raise RuntimeError(
+                "the Kafka source is not installed; add the spark-sql-kafka package to the session"
+            ) from e
+        raise
+
+
 def offset_slice(ranges: Mapping[int, tuple[int | None, int | None]]) -> Column:
     """Predicate selecting ``partition -> [start, end)`` offset ranges of an envelope.
 

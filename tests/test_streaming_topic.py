@@ -63,3 +63,17 @@ def test_offset_slice(spark):
     env = spark.createDataFrame([(p, o) for p in range(2) for o in range(10)], "partition int, offset bigint")
     got = env.where(offset_slice({0: (3, 6), 1: (8, None)})).collect()
     assert sorted((r[0], r[1]) for r in got) == [(0, 3), (0, 4), (0, 5), (1, 8), (1, 9)]
+
+
+def test_stream_aggregate_without_watermark_rejected(spark, tmp):
+    schema = spark.read.parquet(EVENTS).schema
+    stream = read_stream_files(spark, EVENTS_GLOB, schema).groupBy("event_type").count()
+    with pytest.raises(AnalysisException):
+        write_stream(stream, tmp + "/out", tmp + "/ck")
+
+
+def test_read_topic_stream_without_connector(spark):
+    from snapkeep.sources.topic import read_topic_stream
+
+    with pytest.raises(RuntimeError, match="Kafka source is not installed"):
+        read_topic_stream(spark, topic_options("localhost:1", topic="t", security_protocol=None))

@@ -111,3 +111,10 @@ def test_format_round_trips(spark, tmp):
             r = r.option("header", "true")
         back = r.load(out)
         assert back.exceptAll(part).count() == 0 and part.exceptAll(back).count() == 0
+
+
+def test_csv_inference_sampling_keeps_every_row(spark, tmp):
+    spark.range(5000).selectExpr("id AS n", "CAST(id AS STRING) AS s").write.option("header", "true").csv(tmp + "/c")
+    df = read_csv(spark, tmp + "/c", infer_sampling_ratio=0.1)
+    assert df.count() == 5000
+    assert dict(df.dtypes)["n"] == "int"

@@ -20,11 +20,12 @@ def parse_json(c: str | Column, schema: T.StructType | str, corrupt_column: str
     c = col(c) if isinstance(c, str) else c
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    opts = {"mode": "PERMISSIVE"}
-    if corrupt_column:
-        schema = T.StructType(list(schema.fields) + [T.StructField(corrupt_column, T.StringType())])
-        opts["columnNameOfCorruptRecord"] = corrupt_column
-    return F.from_json(c, schema, opts)
+    if not corrupt_column:
+        # Default (permissive) mode and no options: Catalyst can then prune
+        # the parsed schema to the fields a query actually reads.
+        return F.from_json(c, schema)
+    schema = T.StructType(list(schema.fields) + [T.StructField(corrupt_column, T.StringType())])
+    return F.from_json(c, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt_column})
 
 
 def flatten_struct(df: DataFrame, struct_col: str, keep: list[str] | None = None) -> DataFrame:

@@ -1,12 +1,20 @@
-"""Topic extract: envelope -> decoded records -> latest per key -> dated partition.
-
-Physical shape (rank form): one scan of the topic or envelope files, a
-narrow decode (casts, ``from_json``, struct expansion), a map-side partial
-``WindowGroupLimit`` per key, one shuffle of the surviving rows by key, the
-final window, then a rebalance of the (much smaller) latest rows before the
-partitioned write.  Row counts of the input and of the null-key rows are
-collected with ``observe`` during the write job: no second pass over the
-data, unlike counting actions.
+"""Topic extract: envelope -> latest record per payload key -> dated partition.
+
+Physical shape (rank form, late decode, the default): one scan of the topic
+or envelope files; a narrow projection that casts the envelope and reads
+only the key field(s) out of each JSON message (Catalyst prunes the
+``from_json`` schema to them); a map-side partial ``WindowGroupLimit`` per
+key; one shuffle of the surviving raw messages by key; the final window;
+then the full JSON decode of the survivors only, and a rebalance of the
+latest rows before the partitioned write.  A retained change topic holds
+many messages per key, so most messages are never fully decoded and the
+sort and shuffle carry one text column instead of every payload field.
+``decode="early"`` decodes every message first (the order of the original
+job); both give the same rows.
+
+Row counts of the input and of the null-key rows are collected with
+``observe`` during the write job: no second pass over the data, unlike
+counting actions.
 """
 
 from __future__ import annotations
@@ -57,21 +65,61 @@ def stamp_date(df: DataFrame, date_col: str, day: str | dt.date | None) -> DataF
     return df.withColumn(date_col, day_literal(day) if day is not None else F.current_date())
 
 
-def _decoded(envelope, schema, keep_ties: bool, stable_input: bool) -> DataFrame:
+_KEY = "__snapkeep_key_"
+
+
+def _key_names(schema: T.StructType, key: Sequence[str]) -> list[str]:
+    by_lower = {f.name.lower(): f.name for f in schema.fields}
+    names = []
+    for k in key:
+        if k not in schema.fieldNames() and k.lower() not in by_lower:
+            raise ValueError(f"key {k!r} is not a field of the payload schema")
+        names.append(k if k in schema.fieldNames() else by_lower[k.lower()])
+    return names
+
+
+def _prepared(envelope, schema, key, keep_ties: bool, stable_input: bool, decode: str):
+    """Rows entering the compaction and the key columns to compact on.
+
+    ``early``: decoded records, keyed by the payload columns.  ``late``: the
+    cast envelope (offset, key, value text) plus the key field(s) parsed out
+    of the message under temporary names.
+    """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    keys = [key] if isinstance(key, str) else list(key)
     keep = ("offset", "key") if keep_ties else ("offset", "key", "partition")
-    decoded = decode_envelope(envelope, schema, keep=keep)
-    return stable(decoded) if stable_input else decoded
+    if decode == "early":
+        rows, key_cols = decode_envelope(envelope, schema, keep=keep), keys
+    elif decode == "late":
+        names = _key_names(schema, keys)
+        parsed = parse_json("value", schema)
+        extra = [col(c) for c in keep if c not in ("offset", "key")]
+        rows = envelope.select(*envelope_columns(), *extra).select(
+            "*", *[parsed.getField(n).alias(f"{_KEY}{i}") for i, n in enumerate(names)]
+        )
+        key_cols = [f"{_KEY}{i}" for i in range(len(names))]
+    else:
+        raise ValueError(f"unknown decode {decode!r}")
+    return (stable(rows) if stable_input else rows), key_cols
 
 
 def _snapshot_of(
-    decoded: DataFrame, key, extract_date, keep_ties: bool, method: str, date_col: str
+    rows: DataFrame, key_cols, schema, extract_date, keep_ties: bool, method: str, date_col: str,
+    decode: str,
 ) -> tuple[DataFrame, Observation]:
-    observed, obs = observe_dropped(decoded, key, "offset", name="extract_input")
+    observed, obs = observe_dropped(rows, key_cols, "offset", name="extract_input")
     latest = latest_per_key(
-        observed, key, "offset", keep_ties=keep_ties,
+        observed, key_cols, "offset", keep_ties=keep_ties,
         tiebreak=None if keep_ties else ["partition"], method=method,
     )
-    if not keep_ties:
+    if decode == "late":
+        if isinstance(schema, str):
+            schema = T.StructType.fromDDL(schema)
+        latest = latest.select(
+            "offset", "key", parse_json("value", schema).alias(_PARSED)
+        ).select("offset", "key", F.col(f"{_PARSED}.*"))
+    elif not keep_ties:
         latest = latest.drop("partition")
     return stamp_date(latest, date_col, extract_date), obs
 
@@ -85,17 +133,19 @@ def latest_snapshot(
     method: str = "rank",
     date_col: str = "EXTRACT_DATE",
     stable_input: bool = False,
+    decode: str = "late",
 ) -> tuple[DataFrame, Observation]:
     """The latest decoded record per payload key, stamped with the extract date.
 
+    Output columns: ``offset``, ``key``, the payload fields, `date_col`.
     ``keep_ties=False`` breaks equal offsets (one key in two topic
     partitions) by the higher partition number.  ``stable_input`` writes
-    the decoded records to the shared checkpoint folder first, so retries
+    the prepared input to the shared checkpoint folder first, so retries
     after an executor loss never re-read the topic (whose old offsets may
     have expired meanwhile).
     """
-    decoded = _decoded(envelope, schema, keep_ties, stable_input)
-    return _snapshot_of(decoded, key, extract_date, keep_ties, method, date_col)
+    rows, key_cols = _prepared(envelope, schema, key, keep_ties, stable_input, decode)
+    return _snapshot_of(rows, key_cols, schema, extract_date, keep_ties, method, date_col, decode)
 
 
 def extract_snapshot(
@@ -110,6 +160,7 @@ def extract_snapshot(
     output_partitions: int | None = None,
     layout: str = "rebalance",
     stable_input: bool = False,
+    decode: str = "late",
 ) -> dict[str, int]:
     """Write the latest snapshot as one date partition of `out_root`.
 
@@ -117,15 +168,15 @@ def extract_snapshot(
     overwrite), so a rerun for a day is idempotent and leaves other days
     alone.  Returns the row metrics of the run.
     """
-    decoded = _decoded(envelope, schema, keep_ties, stable_input)
-    # The join form reads the decoded records twice (maxima, join back):
-    # keep them (memory, spilling to disk) for this one write only.  The
-    # rank form reads them once and needs no cache.
+    rows, key_cols = _prepared(envelope, schema, key, keep_ties, stable_input, decode)
+    # The join form reads its input twice (maxima, join back): keep it
+    # (memory, spilling to disk) for this one write only.  The rank form
+    # reads it once and needs no cache.
     reuse = method == "join" and not stable_input
     if reuse:
-        decoded = decoded.persist(StorageLevel.MEMORY_AND_DISK)
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        snap, obs = _snapshot_of(decoded, key, extract_date, keep_ties, method, date_col)
+        snap, obs = _snapshot_of(rows, key_cols, schema, extract_date, keep_ties, method, date_col, decode)
         out_obs = Observation("extract_output")
         snap = snap.observe(out_obs, F.count(F.lit(1)).alias("output_rows"))
         write_table(
@@ -134,5 +185,5 @@ def extract_snapshot(
         )
     finally:
         if reuse:
-            decoded.unpersist()
+            rows.unpersist()
     return {**obs.get, **out_obs.get}

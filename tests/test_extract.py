@@ -84,3 +84,28 @@ def test_join_form_matches_rank_form(spark, tmp):
     b = sorted(map(tuple, read_snapshot(spark, tmp + "/b").collect()))
     assert a == b
     assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+JSON_EDGE = [
+    '{"id": "a", "v": "1", "n": 1}', '{"id": "a", "v": "2", "n": "x"}',  # wrong type elsewhere
+    '{"id": "b", "v": "3"', '[{"id": "b"}]', "not json", "", None,       # bad messages
+    '{"ID": "c", "v": "4"}', '{"id": "c", "id": "d", "v": "5"}',          # case, repeated name
+    '{"id": 12, "v": {"k": 1}}', '{"id": "e", "v": null}',
+]
+
+
+def test_late_decode_equals_early_decode(spark):
+    rows = [(b"k", None if t is None else t.encode(), "t", i % 2, i // 2, None, 0) for i, t in enumerate(JSON_EDGE)]
+    env = spark.createDataFrame(rows, ENVELOPE)
+    for keep_ties in (True, False):
+        for method in (("rank", "join") if keep_ties else ("rank",)):
+            got = {}
+            for decode in ("early", "late"):
+                snap, obs = latest_snapshot(env, "id string, v string, n int", "id", "2024-03-07",
+                                            keep_ties=keep_ties, method=method, decode=decode)
+                got[decode] = (snap.columns, sorted(map(tuple, snap.collect())), obs)
+            assert got["early"][0] == got["late"][0]
+            assert got["early"][1] == got["late"][1]
+            assert got["early"][2].get == got["late"][2].get
+    ids = sorted(r[2] for r in got["late"][1])
+    assert ids == ["12", "a", "d", "e"]

@@ -270,7 +270,9 @@ def q_extract_snapshot(spark, d):
 def q_stream_append(spark, d):
     ev_schema = table(spark, d, "events").schema
     out = scratch_path(spark, "events-stream")
-    stream = read_stream_files(spark, f"{d}/event*.parquet", ev_schema)
+    # Bounded micro-batches: each commits on its own, so a restart resumes
+    # after the last committed batch instead of redoing everything.
+    stream = read_stream_files(spark, f"{d}/event*.parquet", ev_schema, max_files_per_trigger=1000)
     decoded = flatten_struct(
         stream.select("event_id", "ts", parse_json("props", "k bigint").alias("v")), "v",
         keep=["event_id", "ts"],

@@ -74,3 +74,24 @@ def test_null_profile_pushes_filter_to_scan(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNull(lang), IsNotNull(source)]" in plan
     assert "ReadSchema: struct<lang:string,source:string>" in plan
+
+
+def test_unique_lookup_check_reuses_the_join_shuffle(spark):
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    cust = spark.read.parquet("/root/testdata/sf0.001/customer.parquet")
+    with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1",
+                        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
+        out = enrich(orders, [Lookup(cust, key="c_custkey", on="o_custkey", columns=["c_name"], unique=True)])
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        # one shuffle per side: the key check's grouping partitions the lookup for the join
+        assert plan.count("Exchange hashpartitioning") == 2
+        assert out.count() == orders.count()
+
+
+def test_counts_skip_schema_discovery(spark):
+    from snapkeep.plans.counts import table_counts
+
+    out = table_counts(spark, {"orders": "/root/testdata/sf0.001/orders.parquet"})
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan
+    assert out.first()["n_rows"] == spark.read.parquet("/root/testdata/sf0.001/orders.parquet").count()

@@ -118,3 +118,30 @@ def test_csv_inference_sampling_keeps_every_row(spark, tmp):
     df = read_csv(spark, tmp + "/c", infer_sampling_ratio=0.1)
     assert df.count() == 5000
     assert dict(df.dtypes)["n"] == "int"
+
+
+def _failing_rerun(spark, days):
+    # A rerun whose job fails part-way (one task raises) after others wrote files.
+    df = days_df(spark, days, "b").repartition(len(days))
+    return df.withColumn("tag", F.when(F.dayofmonth("EXTRACT_DATE") == days[-1], F.raise_error(F.lit("boom")))
+                         .otherwise(F.col("tag")))
+
+
+def test_failed_dynamic_rerun_keeps_every_day(spark, tmp):
+    write_table(days_df(spark, [1, 2, 3], "a"), tmp + "/t", mode="overwrite", partition_by=["EXTRACT_DATE"])
+    with pytest.raises(Exception):
+        write_table(_failing_rerun(spark, [2, 3]), tmp + "/t", mode="overwrite", partition_by=["EXTRACT_DATE"])
+    # nothing was committed: the old days are all still there, unchanged
+    assert tags_by_day(spark, tmp + "/t") == [(1, "a"), (2, "a"), (3, "a")]
+    write_table(days_df(spark, [2, 3], "b"), tmp + "/t", mode="overwrite", partition_by=["EXTRACT_DATE"])
+    assert tags_by_day(spark, tmp + "/t") == [(1, "a"), (2, "b"), (3, "b")]
+
+
+def test_failed_static_overwrite_loses_the_table(spark, tmp):
+    # Why dynamic is the default: a static overwrite clears the path before the job runs.
+    write_table(days_df(spark, [1, 2, 3], "a"), tmp + "/t", mode="overwrite", partition_by=["EXTRACT_DATE"])
+    with pytest.raises(Exception):
+        write_table(_failing_rerun(spark, [2, 3]), tmp + "/t", mode="overwrite", partition_by=["EXTRACT_DATE"],
+                    overwrite="static")
+    left = [d for d in os.listdir(tmp + "/t") if "=" in d] if os.path.exists(tmp + "/t") else []
+    assert "extract_date=2024-01-01" not in left

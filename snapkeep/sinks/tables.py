@@ -19,7 +19,7 @@ def write_table(
     options: Mapping[str, str] | None = None,
     overwrite: str = "dynamic",
     partitions: int | None = None,
-    layout: str = "none",
+    layout: str | None = None,
 ) -> None:
     """Write `df` to `path` (parquet, csv, json, orc, ...).
 
@@ -28,14 +28,17 @@ def write_table(
 
     A partitioned ``overwrite`` replaces only the partitions present in
     `df` (``overwrite="dynamic"``), so rerunning one day leaves every other
-    day untouched; ``overwrite="static"`` replaces the whole path.  Task
-    output is committed atomically, so a lost executor's retried task
+    day untouched, and a failed rerun changes nothing (partitions are
+    swapped in at job commit); ``overwrite="static"`` clears the whole path
+    before the job runs, so a failed static overwrite loses the table.
+    Task output is committed atomically, so a lost executor's retried task
     leaves no partial files.
 
     `layout`/`partitions` shape the write tasks (see
-    `operators.layout.shape_output`); for partitioned writes ``rebalance``
-    by the partition columns gives evenly sized files and splits a day that
-    holds most of the rows.
+    `operators.layout.shape_output`).  Partitioned writes default to a
+    ``rebalance`` by the partition columns: evenly sized files, and a day
+    that holds most of the rows is split over several tasks.  Other writes
+    keep the frame's partitioning (``"none"``).
     """
     opts = dict(options or {})
     parts: list[str] = []
@@ -43,6 +46,8 @@ def write_table(
         df, parts = lowercase_partitions(df, partition_by)
         if mode == "overwrite":
             opts.setdefault("partitionOverwriteMode", overwrite)
+    if layout is None:
+        layout = "rebalance" if parts else "none"
     df = shape_output(df, partitions, layout, by=parts if layout == "rebalance" else ())
     w = df.write.format(fmt).mode(mode)
     if parts:

@@ -30,7 +30,8 @@ def write_table(
     `df` (``overwrite="dynamic"``), so rerunning one day leaves every other
     day untouched, and a failed rerun changes nothing (partitions are
     swapped in at job commit); ``overwrite="static"`` clears the whole path
-    before the job runs, so a failed static overwrite loses the table.
+    when the write starts, so a static overwrite that fails part-way can
+    lose every day.
     Task output is committed atomically, so a lost executor's retried task
     leaves no partial files.
 

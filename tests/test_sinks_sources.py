@@ -135,13 +135,3 @@ def test_failed_dynamic_rerun_keeps_every_day(spark, tmp):
     assert tags_by_day(spark, tmp + "/t") == [(1, "a"), (2, "a"), (3, "a")]
     write_table(days_df(spark, [2, 3], "b"), tmp + "/t", mode="overwrite", partition_by=["EXTRACT_DATE"])
     assert tags_by_day(spark, tmp + "/t") == [(1, "a"), (2, "b"), (3, "b")]
-
-
-def test_failed_static_overwrite_loses_the_table(spark, tmp):
-    # Why dynamic is the default: a static overwrite clears the path before the job runs.
-    write_table(days_df(spark, [1, 2, 3], "a"), tmp + "/t", mode="overwrite", partition_by=["EXTRACT_DATE"])
-    with pytest.raises(Exception):
-        write_table(_failing_rerun(spark, [2, 3]), tmp + "/t", mode="overwrite", partition_by=["EXTRACT_DATE"],
-                    overwrite="static")
-    left = [d for d in os.listdir(tmp + "/t") if "=" in d] if os.path.exists(tmp + "/t") else []
-    assert "extract_date=2024-01-01" not in left

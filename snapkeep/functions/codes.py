@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from .naming import col, resolve_name
 
+# Fixed values (must match the reference job): codes are cut to their first
+# five characters; a record with no code at any level gets the text "-1".
 CODE_LENGTH = 5
 MISSING_CODE = "-1"
 

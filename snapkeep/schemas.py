@@ -50,16 +50,14 @@ LEAD = struct(
     "id string, name string, last_modified timestamp, is_deleted boolean, modstamp timestamp"
 )
 
-# Full field counts of the entity records (for wide-form tests).
+# Fixed values (as in the reference job, under neutral names): the full field
+# counts of the entity records, the code levels most specific first, and the
+# output columns of the interest enrichment in order.
 INTEREST_WIDTH = 95
 ACCOUNT_WIDTH = 72
 CONTACT_WIDTH = 8
 LEAD_WIDTH = 5
-
-# Code levels of the interest entity, most specific first.
 CODE_LEVELS = ["code30", "code20", "code17", "code15", "code10"]
-
-# Output column order of the interest enrichment.
 ENRICHED_INTEREST_COLUMNS = [
     "id", "name", "country", "status", "reason", "lead_source", "campaign_code",
     "opportunity", "created", "is_closed", "account_number", "last_modified",

@@ -12,17 +12,20 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Runtime SQL settings the operators assume.  Session time zone is pinned
-# because timestamp -> date casts depend on it; AQE re-plans joins and
-# shuffle partition counts from runtime sizes and splits skewed partitions.
+# Runtime SQL settings the operators assume.
+# Fixed values (as the reference job sets them): UTC session time zone
+# (timestamp -> date casts depend on it), no Parquet schema merging,
+# Parquet filter pushdown on, 900 s broadcast timeout.
+# Added for scale: AQE re-plans joins and shuffle partition counts from
+# runtime sizes and splits skewed join partitions.
 SQL_SETTINGS: dict[str, str] = {
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.mergeSchema": "false",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.broadcastTimeout": "900",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"

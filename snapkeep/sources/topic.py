@@ -13,7 +13,14 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed values of the login line for SASL PLAIN.
+# Fixed values (must match the reference job's source options): read the
+# whole retained topic, skip expired offsets silently, authenticate with SASL
+# PLAIN over TLS using the standard PLAIN login module.
+DEFAULT_STARTING_OFFSETS = "earliest"
+DEFAULT_ENDING_OFFSETS = "latest"
+DEFAULT_FAIL_ON_DATA_LOSS = False
+DEFAULT_SECURITY_PROTOCOL = "SASL_SSL"
+DEFAULT_SASL_MECHANISM = "PLAIN"
 PLAIN_LOGIN_MODULE = "org.apache.kafka.common.security.plain.PlainLoginModule"
 
 
@@ -22,12 +29,12 @@ def topic_options(
     topic: str | None = None,
     username: str | None = None,
     password: str | None = None,
-    starting_offsets: str | Mapping = "earliest",
-    ending_offsets: str | Mapping = "latest",
+    starting_offsets: str | Mapping = DEFAULT_STARTING_OFFSETS,
+    ending_offsets: str | Mapping = DEFAULT_ENDING_OFFSETS,
     assign: str | Mapping | None = None,
-    fail_on_data_loss: bool = False,
-    security_protocol: str | None = "SASL_SSL",
-    sasl_mechanism: str = "PLAIN",
+    fail_on_data_loss: bool = DEFAULT_FAIL_ON_DATA_LOSS,
+    security_protocol: str | None = DEFAULT_SECURITY_PROTOCOL,
+    sasl_mechanism: str = DEFAULT_SASL_MECHANISM,
     min_partitions: int | None = None,
     max_records_per_partition: int | None = None,
     extra: Mapping[str, str] | None = None,

@@ -39,8 +39,14 @@ def skewed_entity(spark, n=60000):
     )
 
 
-def test_hot_foreign_key_is_split_by_aqe(spark):
+import pytest
+
+
+@pytest.mark.parametrize("hot", ["value", "null"])
+def test_hot_foreign_key_is_split_by_aqe(spark, hot):
     entity = skewed_entity(spark)
+    if hot == "null":  # a third of the rows have no foreign key at all
+        entity = entity.withColumn("fk", F.when(F.col("fk") == 0, F.lit(None)).otherwise(F.col("fk")))
     lookup = spark.range(60000).select(F.col("id").alias("id"), (F.col("id") * 2).alias("attr"))
     with conf(
         spark,

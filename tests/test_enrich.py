@@ -84,11 +84,16 @@ def test_wide_interest_is_pruned(spark, tmp):
     assert len(wide.fields) == 95
     rows = [tuple(r) + (None,) * (95 - len(schemas.INTEREST.fields)) for r in _interest_rows()]
     spark.createDataFrame(rows, wide).write.parquet(f"{tmp}/wide")
+    wide_acc = schemas.widen(schemas.ACCOUNT, schemas.ACCOUNT_WIDTH, prefix="acc_extra_")
+    assert len(wide_acc.fields) == 72
+    spark.createDataFrame([("a1", "ACC-1") + ("x",) * 70], wide_acc).write.parquet(f"{tmp}/wide_acc")
     interest = spark.read.schema(wide).parquet(f"{tmp}/wide")
-    account = spark.createDataFrame([("a1", "ACC-1")], schemas.ACCOUNT)
+    account = spark.read.parquet(f"{tmp}/wide_acc")  # footer schema: all 72 columns
     contact = spark.createDataFrame([("c1", "DE")], schemas.CONTACT)
     out = enrich_interest(interest, account, contact)
     plan = out._jdf.queryExecution().executedPlan().toString()
-    read_schema = plan.split("ReadSchema: ")[1].split("\n")[0]
-    assert "extra_" not in read_schema
+    read_schemas = [line.split("ReadSchema: ")[1] for line in plan.splitlines() if "ReadSchema: " in line]
+    assert len(read_schemas) == 2
+    assert all("extra_" not in rs for rs in read_schemas)
+    assert "struct<id:string,account_number:string>" in read_schemas
     assert out.count() == 2

@@ -109,3 +109,13 @@ def test_late_decode_equals_early_decode(spark):
             assert got["early"][2].get == got["late"][2].get
     ids = sorted(r[2] for r in got["late"][1])
     assert ids == ["12", "a", "d", "e"]
+
+
+def test_empty_topic_writes_nothing_and_keeps_other_days(spark, tmp):
+    env = events_envelope(spark.read.parquet(EVENTS))
+    extract_snapshot(env, EVENT_PAYLOAD, "user_id", tmp + "/lake", extract_date="2024-03-06")
+    before = read_snapshot(spark, tmp + "/lake").count()
+    empty = spark.createDataFrame([], ENVELOPE)
+    m = extract_snapshot(empty, EVENT_PAYLOAD, "user_id", tmp + "/lake", extract_date="2024-03-07")
+    assert m == {"input_rows": 0, "null_key_rows": 0, "null_order_rows": 0, "output_rows": 0}
+    assert read_snapshot(spark, tmp + "/lake").count() == before

@@ -5,8 +5,10 @@ or envelope files; a narrow projection that casts the envelope and reads
 only the key field(s) out of each JSON message (Catalyst prunes the
 ``from_json`` schema to them); a map-side partial ``WindowGroupLimit`` per
 key; one shuffle of the surviving raw messages by key; the final window;
-then the full JSON decode of the survivors only, and a rebalance of the
-latest rows before the partitioned write.  A retained change topic holds
+then the full JSON decode of the survivors only, written straight from the
+window's tasks.  All rows of one extract carry the same day and the
+compaction's shuffle already spreads them over AQE-sized tasks, so each
+task writes one file of the day and no second shuffle is needed.  A retained change topic holds
 many messages per key, so most messages are never fully decoded and the
 sort and shuffle carry one text column instead of every payload field.
 ``decode="early"`` decodes every message first (the order of the original
@@ -158,7 +160,7 @@ def extract_snapshot(
     method: str = "rank",
     date_col: str = "EXTRACT_DATE",
     output_partitions: int | None = None,
-    layout: str = "rebalance",
+    layout: str = "none",
     stable_input: bool = False,
     decode: str = "late",
 ) -> dict[str, int]:
@@ -167,6 +169,11 @@ def extract_snapshot(
     The write overwrites only the day it carries (dynamic partition
     overwrite), so a rerun for a day is idempotent and leaves other days
     alone.  Returns the row metrics of the run.
+
+    `layout`/`output_partitions` reshape the write tasks (see
+    `operators.layout.shape_output`; ``layout="coalesce",
+    output_partitions=5`` caps the files of the day at the cost of write
+    parallelism).  The default writes from the compaction's own tasks.
     """
     rows, key_cols = _prepared(envelope, schema, key, keep_ties, stable_input, decode)
     # The join form reads its input twice (maxima, join back): keep it

@@ -71,19 +71,24 @@ def read_snapshot(
 ) -> DataFrame:
     """One day of a date-partitioned snapshot lake (or all days).
 
-    The root is read and filtered on the partition column, so partition
-    pruning lists only that day's directory while the column itself (typed
-    date) stays in the result.  A schema, if given, describes the data
-    columns; the partition column is added by discovery.
+    Only the day's directory is listed (``basePath`` is the lake root, so
+    the partition column stays in the result, typed date): a lake holding
+    years of days is not listed file by file to read one of them, as a read
+    of the root followed by a partition filter would be.  The filter is
+    kept as well, so the day is also pruned if the directory holds deeper
+    partitions.  A missing day fails the read, like a missing path.  A
+    schema, if given, describes the data columns; the partition column is
+    added to it.
     """
     r = spark.read
     if schema is not None:
         if isinstance(schema, str):
             schema = T.StructType.fromDDL(schema)
-        if partition_col not in [f.name.lower() for f in schema.fields]:
+        if partition_col.lower() not in [f.name.lower() for f in schema.fields]:
             schema = T.StructType(list(schema.fields) + [T.StructField(partition_col, T.DateType())])
         r = r.schema(schema)
-    df = r.parquet(root)
-    if day is not None:
-        df = df.where(col(partition_col) == day_literal(day))
-    return df
+    if day is None:
+        return r.parquet(root)
+    day_text = day if isinstance(day, str) else day.isoformat()
+    df = r.option("basePath", root).parquet(f"{root.rstrip('/')}/{partition_col}={day_text}")
+    return df.where(col(partition_col) == day_literal(day))

@@ -52,6 +52,10 @@ def test_partition_directory_read_and_snapshot_pruning(spark, tmp):
     assert [(r["tag"], r["extract_date"]) for r in snap.collect()] == [("a", dt.date(2024, 1, 2))]
     plan = snap._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(extract_date" in plan and "2024-01-02" in plan
+    # only the day's directory is listed, not the whole lake
+    assert snap.inputFiles() and all("extract_date=2024-01-02" in f for f in snap.inputFiles())
+    with pytest.raises(AnalysisException):
+        read_snapshot(spark, tmp + "/t", "2024-01-09").collect()
     typed = read_snapshot(spark, tmp + "/t", "2024-01-01", schema="tag string, missing string")
     assert typed.columns == ["tag", "missing", "extract_date"]
 

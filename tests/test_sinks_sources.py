@@ -139,3 +139,13 @@ def test_failed_dynamic_rerun_keeps_every_day(spark, tmp):
     assert tags_by_day(spark, tmp + "/t") == [(1, "a"), (2, "a"), (3, "a")]
     write_table(days_df(spark, [2, 3], "b"), tmp + "/t", mode="overwrite", partition_by=["EXTRACT_DATE"])
     assert tags_by_day(spark, tmp + "/t") == [(1, "a"), (2, "b"), (3, "b")]
+
+
+def test_csv_inference_types_and_empty_cells(spark, tmp):
+    os.makedirs(tmp + "/typed")
+    with open(tmp + "/typed/part.csv", "w") as f:
+        f.write("n,d,t,x,s\n1,2024-03-07,2024-03-07 12:00:00,1.5,a\n2,,,,\n")
+    df = read_csv(spark, tmp + "/typed")
+    assert dict(df.dtypes) == {"n": "int", "d": "date", "t": "timestamp", "x": "double", "s": "string"}
+    rows = sorted(df.collect(), key=lambda r: r["n"])
+    assert rows[1]["d"] is None and rows[1]["t"] is None and rows[1]["x"] is None and rows[1]["s"] is None

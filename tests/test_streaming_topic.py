@@ -77,3 +77,14 @@ def test_read_topic_stream_without_connector(spark):
 
     with pytest.raises(RuntimeError, match="Kafka source is not installed"):
         read_topic_stream(spark, topic_options("localhost:1", topic="t", security_protocol=None))
+
+
+def test_partitioned_stream_sink_lower_cases_partition_names(spark, tmp):
+    import os
+
+    schema = spark.read.parquet(EVENTS).schema
+    stream = read_stream_files(spark, EVENTS_GLOB, schema).withColumn("EVENT_DATE", F.col("ts").cast("date"))
+    write_stream(stream, tmp + "/out", tmp + "/ck", partition_by=["EVENT_DATE"])
+    dirs = [d for d in os.listdir(tmp + "/out") if "=" in d]
+    assert dirs and all(d.startswith("event_date=") for d in dirs)
+    assert spark.read.parquet(tmp + "/out").count() == spark.read.parquet(EVENTS).count()

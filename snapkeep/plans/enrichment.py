@@ -12,6 +12,7 @@ from ..functions.casts import with_date_from
 from ..functions.codes import truncate_codes
 from ..functions.naming import col
 from ..operators.enrich import Lookup, enrich
+from ..operators.profile import null_profile
 from ..sources.parquet import read_snapshot
 
 
@@ -67,3 +68,15 @@ def enrich_interest_from_lake(
     account = read_snapshot(spark, account_root, account_day or day, schemas.ACCOUNT, date_col)
     contact = read_snapshot(spark, contact_root, contact_day or day, schemas.CONTACT, date_col)
     return enrich_interest(interest, account, contact)
+
+
+def code_null_profile(enriched: DataFrame) -> DataFrame:
+    """Enriched interest rows whose only code is the least specific one, counted
+    per code combination, biggest first (levels 30, 20 and 17 null, level 10
+    present; level 15 is not tested, as in the original check)."""
+    return null_profile(
+        enriched,
+        group_by=["code30", "code20", "code17", "code10"],
+        null=["code30", "code20", "code17"],
+        not_null=["code10"],
+    )

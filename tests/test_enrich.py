@@ -97,3 +97,18 @@ def test_wide_interest_is_pruned(spark, tmp):
     assert all("extra_" not in rs for rs in read_schemas)
     assert "struct<id:string,account_number:string>" in read_schemas
     assert out.count() == 2
+
+
+def test_code_null_profile(spark):
+    from snapkeep.plans.enrichment import code_null_profile
+
+    base = dict.fromkeys(schemas.INTEREST.fieldNames())
+    rows = [Row(**{**base, "id": f"i{i}", "code10": c10, "code15": c15, "code30": c30})
+            for i, (c10, c15, c30) in enumerate([
+                ("1234567", None, None), ("1234599", "X", None), ("77777", None, None),
+                (None, None, None), ("1234567", None, "ABC")])]
+    interest = spark.createDataFrame(rows, schemas.INTEREST)
+    enriched = enrich_interest(interest, spark.createDataFrame([], schemas.ACCOUNT),
+                               spark.createDataFrame([], schemas.CONTACT))
+    got = [(r["code10"], r["count"]) for r in code_null_profile(enriched).collect()]
+    assert got == [("12345", 2), ("77777", 1)]

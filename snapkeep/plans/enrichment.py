@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import schemas
 from ..functions.casts import with_date_from
-from ..functions.codes import truncate_codes
+from ..functions.codes import first_code, truncate_codes
 from ..functions.naming import col
 from ..operators.enrich import Lookup, enrich
 from ..operators.profile import null_profile
@@ -80,3 +80,9 @@ def code_null_profile(enriched: DataFrame) -> DataFrame:
         null=["code30", "code20", "code17"],
         not_null=["code10"],
     )
+
+
+def with_first_code(interest: DataFrame, target: str = "code", levels=schemas.CODE_LEVELS) -> DataFrame:
+    """Add `target`: the 5-character prefix of the most specific code present,
+    else the text "-1" (one projection, no shuffle)."""
+    return interest.withColumn(target, first_code(list(levels)))

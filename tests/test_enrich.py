@@ -112,3 +112,14 @@ def test_code_null_profile(spark):
                                spark.createDataFrame([], schemas.CONTACT))
     got = [(r["code10"], r["count"]) for r in code_null_profile(enriched).collect()]
     assert got == [("12345", 2), ("77777", 1)]
+
+
+def test_with_first_code(spark):
+    from snapkeep.plans.enrichment import with_first_code
+
+    base = dict.fromkeys(schemas.INTEREST.fieldNames())
+    rows = [Row(**{**base, "id": "a", "code20": "ABCDEFG", "code10": "0000000"}),
+            Row(**{**base, "id": "b", "code15": "XY"}),
+            Row(**{**base, "id": "c"})]
+    out = with_first_code(spark.createDataFrame(rows, schemas.INTEREST))
+    assert {r["id"]: r["code"] for r in out.collect()} == {"a": "ABCDE", "b": "XY", "c": "-1"}

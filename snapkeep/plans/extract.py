@@ -108,7 +108,7 @@ def _prepared(envelope, schema, key, keep_ties: bool, stable_input: bool, decode
 
 def _snapshot_of(
     rows: DataFrame, key_cols, schema, extract_date, keep_ties: bool, method: str, date_col: str,
-    decode: str,
+    decode: str, strict_int: bool = False,
 ) -> tuple[DataFrame, Observation]:
     observed, obs = observe_dropped(rows, key_cols, "offset", name="extract_input")
     latest = latest_per_key(
@@ -123,6 +123,9 @@ def _snapshot_of(
         ).select("offset", "key", F.col(f"{_PARSED}.*"))
     elif not keep_ties:
         latest = latest.drop("partition")
+    if strict_int:
+        # Narrow only the output: the winners were chosen on 64-bit offsets.
+        latest = latest.withColumn("offset", F.col("offset").try_cast("int"))
     return stamp_date(latest, date_col, extract_date), obs
 
 
@@ -136,6 +139,7 @@ def latest_snapshot(
     date_col: str = "EXTRACT_DATE",
     stable_input: bool = False,
     decode: str = "late",
+    strict_int: bool = False,
 ) -> tuple[DataFrame, Observation]:
     """The latest decoded record per payload key, stamped with the extract date.
 
@@ -144,10 +148,12 @@ def latest_snapshot(
     partitions) by the higher partition number.  ``stable_input`` writes
     the prepared input to the shared checkpoint folder first, so retries
     after an executor loss never re-read the topic (whose old offsets may
-    have expired meanwhile).
+    have expired meanwhile).  ``strict_int=True`` narrows the output
+    ``offset`` to INT (null past 2^31-1) for output-type parity; the
+    compaction itself always compares 64-bit offsets.
     """
     rows, key_cols = _prepared(envelope, schema, key, keep_ties, stable_input, decode)
-    return _snapshot_of(rows, key_cols, schema, extract_date, keep_ties, method, date_col, decode)
+    return _snapshot_of(rows, key_cols, schema, extract_date, keep_ties, method, date_col, decode, strict_int)
 
 
 def extract_snapshot(
@@ -163,6 +169,7 @@ def extract_snapshot(
     layout: str = "none",
     stable_input: bool = False,
     decode: str = "late",
+    strict_int: bool = False,
 ) -> dict[str, int]:
     """Write the latest snapshot as one date partition of `out_root`.
 
@@ -183,7 +190,9 @@ def extract_snapshot(
     if reuse:
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        snap, obs = _snapshot_of(rows, key_cols, schema, extract_date, keep_ties, method, date_col, decode)
+        snap, obs = _snapshot_of(
+            rows, key_cols, schema, extract_date, keep_ties, method, date_col, decode, strict_int
+        )
         out_obs = Observation("extract_output")
         snap = snap.observe(out_obs, F.count(F.lit(1)).alias("output_rows"))
         write_table(

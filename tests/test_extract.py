@@ -119,3 +119,15 @@ def test_empty_topic_writes_nothing_and_keeps_other_days(spark, tmp):
     m = extract_snapshot(empty, EVENT_PAYLOAD, "user_id", tmp + "/lake", extract_date="2024-03-07")
     assert m == {"input_rows": 0, "null_key_rows": 0, "null_order_rows": 0, "output_rows": 0}
     assert read_snapshot(spark, tmp + "/lake").count() == before
+
+
+def test_strict_int_narrows_only_the_output(spark):
+    big = 3_000_000_000
+    payload = '{"id": "a", "v": "%s"}'
+    rows = [(b"a", (payload % "old").encode(), "t", 0, 5, None, 0),
+            (b"a", (payload % "new").encode(), "t", 0, big, None, 0)]
+    env = spark.createDataFrame(rows, ENVELOPE)
+    snap, _ = latest_snapshot(env, "id string, v string", "id", "2024-03-07", strict_int=True)
+    got = snap.collect()
+    assert [(r["v"], r["offset"]) for r in got] == [("new", None)]  # newest wins, offset overflows to null
+    assert dict(snap.dtypes)["offset"] == "int"

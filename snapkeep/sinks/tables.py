@@ -31,7 +31,11 @@ def write_table(
     day untouched, and a failed rerun changes nothing (partitions are
     swapped in at job commit); ``overwrite="static"`` clears the whole path
     when the write starts, so a static overwrite that fails part-way can
-    lose every day.
+    lose every day.  The same holds for rewriting a table from itself:
+    dynamic mode reads everything before the commit swaps partitions in,
+    while static mode deletes the files it is about to read (the job fails
+    and the data is gone), so never overwrite statically a path the frame
+    reads.
     Task output is committed atomically, so a lost executor's retried task
     leaves no partial files.
 

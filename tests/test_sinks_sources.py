@@ -149,3 +149,11 @@ def test_csv_inference_types_and_empty_cells(spark, tmp):
     assert dict(df.dtypes) == {"n": "int", "d": "date", "t": "timestamp", "x": "double", "s": "string"}
     rows = sorted(df.collect(), key=lambda r: r["n"])
     assert rows[1]["d"] is None and rows[1]["t"] is None and rows[1]["x"] is None and rows[1]["s"] is None
+
+
+def test_dynamic_rewrite_of_a_table_from_itself(spark, tmp):
+    write_table(days_df(spark, [1, 2], "a"), tmp + "/t", mode="overwrite", partition_by=["EXTRACT_DATE"])
+    back = spark.read.parquet(tmp + "/t").withColumn("tag", F.lit("b"))
+    write_table(back.where(F.dayofmonth("extract_date") == 2), tmp + "/t", mode="overwrite",
+                partition_by=["extract_date"])
+    assert tags_by_day(spark, tmp + "/t") == [(1, "a"), (2, "b")]

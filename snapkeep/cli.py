@@ -48,10 +48,15 @@ def _parser() -> argparse.ArgumentParser:
     src = e.add_mutually_exclusive_group(required=True)
     src.add_argument("--envelope", help="Parquet files in the topic envelope schema")
     src.add_argument("--topic", help="topic name (needs --brokers and the Kafka source package)")
+    src.add_argument("--partitions-of", metavar="TOPIC", help="read the partitions given by --assign")
     e.add_argument("--brokers")
     e.add_argument("--username", default=os.environ.get("SNAPKEEP_TOPIC_USER"))
     e.add_argument("--password", default=os.environ.get("SNAPKEEP_TOPIC_PASSWORD"))
     e.add_argument("--min-partitions", type=int)
+    e.add_argument("--assign", help='explicit partitions, JSON like {"topic":[0,1]} (instead of --topic)')
+    e.add_argument("--starting-offsets", default="earliest", help='"earliest" or JSON {"topic":{"0":123}}')
+    e.add_argument("--ending-offsets", default="latest", help='"latest" or JSON {"topic":{"0":456}} (exclusive)')
+    e.add_argument("--strict-int", action="store_true", help="INT offset column in the output")
     e.add_argument("--entity", choices=sorted(ENTITIES), required=True)
     e.add_argument("--key", default="id")
     e.add_argument("--out", required=True)
@@ -83,13 +88,18 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
         else:
             if not args.brokers:
                 raise SystemExit("--topic needs --brokers")
+            if args.partitions_of and not args.assign:
+                raise SystemExit("--partitions-of needs --assign")
             envelope = read_topic(spark, topic_options(
-                args.brokers, topic=args.topic, username=args.username, password=args.password,
+                args.brokers, topic=args.topic, assign=args.assign if args.partitions_of else None,
+                username=args.username, password=args.password,
+                starting_offsets=args.starting_offsets, ending_offsets=args.ending_offsets,
                 min_partitions=args.min_partitions,
             ))
         return extract_snapshot(
             envelope, ENTITIES[args.entity], args.key, args.out, extract_date=args.day,
             keep_ties=not args.one_per_key, method=args.method, stable_input=args.stable_input,
+            strict_int=args.strict_int,
         )
     if args.job == "enrich":
         out = enrich_interest_from_lake(

@@ -91,6 +91,9 @@ def _prepared(envelope, schema, key, keep_ties: bool, stable_input: bool, decode
         schema = T.StructType.fromDDL(schema)
     keys = [key] if isinstance(key, str) else list(key)
     keep = ("offset", "key") if keep_ties else ("offset", "key", "partition")
+    clash = sorted({f.name for f in schema.fields if f.name.lower() in keep})
+    if clash:
+        raise ValueError(f"payload fields {clash} clash with the envelope columns {list(keep)}; rename them")
     if decode == "early":
         rows, key_cols = decode_envelope(envelope, schema, keep=keep), keys
     elif decode == "late":

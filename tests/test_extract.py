@@ -131,3 +131,11 @@ def test_strict_int_narrows_only_the_output(spark):
     got = snap.collect()
     assert [(r["v"], r["offset"]) for r in got] == [("new", None)]  # newest wins, offset overflows to null
     assert dict(snap.dtypes)["offset"] == "int"
+
+
+def test_payload_field_clashing_with_envelope_columns(spark):
+    import pytest
+
+    env = spark.createDataFrame([], ENVELOPE)
+    with pytest.raises(ValueError, match="clash"):
+        latest_snapshot(env, "id string, Offset bigint", "id", "2024-03-07")

@@ -139,3 +139,18 @@ def test_payload_field_clashing_with_envelope_columns(spark):
     env = spark.createDataFrame([], ENVELOPE)
     with pytest.raises(ValueError, match="clash"):
         latest_snapshot(env, "id string, Offset bigint", "id", "2024-03-07")
+
+
+def test_snapshot_files_come_out_sorted_by_key(spark, tmp):
+    import glob
+    import os
+
+    import pyarrow.parquet as pq
+
+    env = events_envelope(spark.read.parquet(EVENTS))
+    extract_snapshot(env, EVENT_PAYLOAD, "user_id", tmp + "/lake", extract_date="2024-03-07")
+    files = glob.glob(os.path.join(tmp, "lake", "extract_date=2024-03-07", "*.parquet"))
+    assert files
+    for f in files:
+        keys = pq.read_table(f, columns=["user_id"]).column(0).to_pylist()
+        assert keys == sorted(keys)

@@ -172,6 +172,15 @@ def q_enrich_chain(spark, d):
     )
 
 
+def q_enrich_unique(spark, d):
+    # Customer keys are unique: the in-plan check passes and the join reuses its shuffle.
+    return enrich(
+        table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice"),
+        [Lookup(table(spark, d, "customer"), key="c_custkey", on="o_custkey",
+                columns=["c_name", "c_acctbal"], unique=True)],
+    )
+
+
 def _docs_labelled(spark, d) -> DataFrame:
     return enrich(
         table(spark, d, "documents").select("doc_id", "lang", "source", "n_chars"),
@@ -209,6 +218,10 @@ def q_latest_per_key_one(spark, d):
     )
 
 
+def q_latest_per_key_composite(spark, d):
+    return latest_per_key(table(spark, d, "events"), ["user_id", "event_type"], "event_id")
+
+
 def q_row_counts(spark, d):
     return table_counts(spark, {t: f"{d}/{t}.parquet" for t in TABLES})
 
@@ -260,13 +273,25 @@ def q_partition_inventory(spark, d):
     return partition_inventory(spark.read.parquet(out), ["event_date"], files=False)
 
 
-def q_extract_snapshot(spark, d):
+def _extract(spark, d, **kw):
     out = scratch_path(spark, "events-snapshot")
     env = events_envelope(table(spark, d, "events"))
-    extract_snapshot(env, T.StructType.fromDDL(EVENT_PAYLOAD), "user_id", out, extract_date=EXTRACT_DAY)
+    extract_snapshot(env, T.StructType.fromDDL(EVENT_PAYLOAD), "user_id", out, extract_date=EXTRACT_DAY, **kw)
     return read_snapshot(spark, out, EXTRACT_DAY)
 
 
+def q_extract_snapshot(spark, d):
+    return _extract(spark, d)
+
+
+def q_extract_snapshot_join(spark, d):
+    return _extract(spark, d, method="join")
+
+
+def q_extract_snapshot_early(spark, d):
+    return _extract(spark, d, decode="early")
+
+
 def q_stream_append(spark, d):
     ev_schema = table(spark, d, "events").schema
     out = scratch_path(spark, "events-stream")
@@ -310,6 +335,13 @@ JOIN (SELECT {k}, max({o}) AS m FROM events WHERE {k} IS NOT NULL GROUP BY {k})
   ON e.{k} = g.{k} AND e.{o} = g.m
 """
 
+_EXTRACT_SQL = (
+    "SELECT e.event_id AS \"offset\", CAST(e.user_id AS VARCHAR) AS key, e.event_id, e.ts, e.user_id, "
+    f"e.event_type, e.value, e.props, DATE '{EXTRACT_DAY}' AS extract_date "
+    "FROM events e JOIN (SELECT user_id, max(event_id) AS m FROM events GROUP BY user_id) g "
+    "ON e.user_id = g.user_id AND e.event_id = g.m"
+)
+
 _DOCS_LABELLED = (
     "documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"
 )
@@ -356,6 +388,15 @@ SQL: dict[str, str] = {
         "SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY user_id DESC, event_id DESC) AS rn "
         "FROM events WHERE event_type IS NOT NULL AND user_id IS NOT NULL) t WHERE rn = 1"
     ),
+    "latest_per_key_composite": (
+        "SELECT e.* FROM events e JOIN (SELECT user_id, event_type, max(event_id) AS m FROM events "
+        "WHERE user_id IS NOT NULL AND event_type IS NOT NULL GROUP BY user_id, event_type) g "
+        "ON e.user_id = g.user_id AND e.event_type = g.event_type AND e.event_id = g.m"
+    ),
+    "enrich_unique": (
+        "SELECT o.o_custkey, o.o_orderkey, o.o_totalprice, c.c_name, c.c_acctbal "
+        "FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey"
+    ),
     "row_counts": " UNION ALL ".join(
         f"SELECT '{t}' AS \"table\", count(*) AS n_rows FROM {t}" for t in TABLES
     ),
@@ -366,12 +407,9 @@ SQL: dict[str, str] = {
     "partition_inventory": (
         "SELECT CAST(ts AS DATE) AS event_date, count(*) AS n_rows FROM events GROUP BY CAST(ts AS DATE)"
     ),
-    "extract_snapshot": (
-        "SELECT e.event_id AS \"offset\", CAST(e.user_id AS VARCHAR) AS key, e.event_id, e.ts, e.user_id, "
-        f"e.event_type, e.value, e.props, DATE '{EXTRACT_DAY}' AS extract_date "
-        "FROM events e JOIN (SELECT user_id, max(event_id) AS m FROM events GROUP BY user_id) g "
-        "ON e.user_id = g.user_id AND e.event_id = g.m"
-    ),
+    "extract_snapshot": _EXTRACT_SQL,
+    "extract_snapshot_join": _EXTRACT_SQL,
+    "extract_snapshot_early": _EXTRACT_SQL,
     "stream_append": (
         "SELECT event_id, ts, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events"
     ),
@@ -405,12 +443,14 @@ QUERIES: dict[str, Query] = {
     "to_date_cast": q_to_date_cast,
     "enrich_chain": q_enrich_chain,
     "enrich_unmatched": q_enrich_unmatched,
+    "enrich_unique": q_enrich_unique,
     "max_per_key": q_max_per_key,
     "latest_per_key": q_latest_per_key,
     "latest_per_key_join": q_latest_per_key_join,
     "latest_per_key_ties": q_latest_per_key_ties,
     "latest_per_key_ties_join": q_latest_per_key_ties_join,
     "latest_per_key_one": q_latest_per_key_one,
+    "latest_per_key_composite": q_latest_per_key_composite,
     "row_counts": q_row_counts,
     "partitioned_roundtrip": q_partitioned_roundtrip,
     "parquet_roundtrip": q_parquet_roundtrip,
@@ -418,6 +458,8 @@ QUERIES: dict[str, Query] = {
     "partitioned_format_roundtrip": q_partitioned_format_roundtrip,
     "partition_inventory": q_partition_inventory,
     "extract_snapshot": q_extract_snapshot,
+    "extract_snapshot_join": q_extract_snapshot_join,
+    "extract_snapshot_early": q_extract_snapshot_early,
     "stream_append": q_stream_append,
     "stream_decode_envelope": q_stream_decode_envelope,
     "code_fallback": q_code_fallback,

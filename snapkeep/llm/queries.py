@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapkeep.llm import decontam, jaccard, packing, quality, secret_scan
+from snapkeep.llm import decontam, jaccard, packing, quality, secret_scan, shards, url_lists
 from snapkeep.llm.frames import read_table, ship_package
 
 
@@ -19,6 +19,15 @@ def q_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(read_table(spark, sf_dir, "documents"))
 
 
+def q_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    return url_lists.judge_captures(url_lists.derived_captures(pages), url_lists.derived_entries(pages))
+
+
+def q_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.curve_shards(read_table(spark, sf_dir, "documents"))
+
+
 def q_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(read_table(spark, sf_dir, "documents"))
 
@@ -47,6 +56,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: _shipped(fn)
     for name, fn in {
         "op2_secret_scan": q_secret_scan,
+        "op3_url_lists": q_url_lists,
+        "op5_hilbert_shards": q_hilbert_shards,
         "op6_jaccard_join": q_jaccard_join,
         "op8_packing": q_packing,
         "op9_benchmark_leaks": q_benchmark_leaks,
@@ -58,6 +69,39 @@ _WORD = r"[^\x20\x09-\x0D]+"
 _LINE_END = r"""[.!?:;,"'')\]}][\x20\x09-\x0D]*$"""
 
 SQL: dict[str, str] = {
+    "op3_url_lists": r"""
+WITH p AS (
+  SELECT page_id, url, DATE '2024-01-01' + CAST((page_id * 7919) % 365 AS INTEGER) AS fetch_day,
+         nullif(rtrim(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '.'), '') AS host
+  FROM pages
+),
+d AS (
+  SELECT regexp_extract(host, '([^.]+\.[^.]+\.[^.]+)$', 1) AS domain, min(page_id) AS k, count(*) AS n
+  FROM p GROUP BY 1 HAVING domain LIKE '%-%.%'
+),
+o AS (SELECT domain, (k * 13) % 120 AS first, 40 + n % 50 AS stay FROM d),
+e AS (
+  SELECT domain, 'add' AS action, first AS off FROM o
+  UNION ALL SELECT domain, 'remove', first + stay FROM o
+  UNION ALL SELECT domain, 'add', first + 2 * stay FROM o
+),
+spans AS (
+  SELECT * FROM (
+    SELECT 'list-' || substr(domain, 1, 1) AS list, domain, action, DATE '2024-01-01' + CAST(off AS INTEGER) AS valid_from,
+           coalesce(lead(DATE '2024-01-01' + CAST(off AS INTEGER)) OVER (PARTITION BY domain ORDER BY off), DATE '9999-12-31') AS valid_to
+    FROM e)
+  WHERE action = 'add'
+),
+hits AS (
+  SELECT host, fetch_day, string_agg(DISTINCT list, ',' ORDER BY list) AS lists, count(DISTINCT list) AS n
+  FROM (SELECT DISTINCT host, fetch_day FROM p) a
+  JOIN spans s ON (a.host = s.domain OR ends_with(a.host, '.' || s.domain)) AND fetch_day >= valid_from AND fetch_day < valid_to
+  GROUP BY host, fetch_day
+)
+SELECT page_id, url, fetch_day, host, CAST(coalesce(n, 0) AS INTEGER) AS n_lists, coalesce(lists, '') AS lists,
+       lists IS NOT NULL AS blocked
+FROM p LEFT JOIN hits USING (host, fetch_day)
+""",
     "op10_quality_lines": rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 w AS (

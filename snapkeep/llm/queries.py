@@ -11,10 +11,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapkeep.llm import decontam, jaccard, packing, quality, secret_scan, shards, url_lists
+from snapkeep.llm import (
+    decontam, jaccard, language, packing, quality, repeats, secret_scan, shards, toxicity, url_lists,
+)
 from snapkeep.llm.frames import read_table, ship_package
 
 
+def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def q_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(read_table(spark, sf_dir, "documents"))
 
@@ -24,6 +30,10 @@ def q_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_lists.judge_captures(url_lists.derived_captures(pages), url_lists.derived_entries(pages))
 
 
+def q_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeats_query(read_table(spark, sf_dir, "documents"))
+
+
 def q_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.curve_shards(read_table(spark, sf_dir, "documents"))
 
@@ -32,6 +42,10 @@ def q_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(read_table(spark, sf_dir, "documents"))
 
 
+def q_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify_languages(read_table(spark, sf_dir, "documents"))
+
+
 def q_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
@@ -55,10 +69,13 @@ def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: _shipped(fn)
     for name, fn in {
+        "op1_toxicity_fm": q_toxicity,
         "op2_secret_scan": q_secret_scan,
         "op3_url_lists": q_url_lists,
+        "op4_repeat_removal": q_repeat_removal,
         "op5_hilbert_shards": q_hilbert_shards,
         "op6_jaccard_join": q_jaccard_join,
+        "op7_language_cnn": q_language,
         "op8_packing": q_packing,
         "op9_benchmark_leaks": q_benchmark_leaks,
         "op10_quality_lines": q_quality_lines,

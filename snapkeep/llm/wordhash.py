@@ -89,11 +89,15 @@ class Words:
         self.text = np.searchsorted(self.base, self.start, side="right") - 1
         self.first = np.searchsorted(self.text, np.arange(len(texts) + 1))
         self.buf = buf
-        total = np.zeros(len(buf) + 1, dtype=U64)
-        np.cumsum(_byte_values()[buf] * _power(_BASE, len(buf)), out=total[1:])
-        back = _power(pow(_BASE, -1, 1 << 64), len(buf) + 1)
-        h = (total[self.end] - total[self.start]) * back[self.start]
-        self.hash = mix(h + (self.end - self.start).astype(U64))
+        self.total = np.zeros(len(buf) + 1, dtype=U64)
+        np.cumsum(_byte_values()[buf] * _power(_BASE, len(buf)), out=self.total[1:])
+        self.hash = self.span_hash(self.start, self.end)
+
+    def span_hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes of byte spans of the batch, by content and length."""
+        back = _power(pow(_BASE, -1, 1 << 64), len(self.total))
+        h = (self.total[end] - self.total[start]) * back[start]
+        return mix(h + (end - start).astype(U64))
 
     def local_start(self) -> np.ndarray:
         return self.start - self.base[self.text]

@@ -35,6 +35,7 @@ from .sinks.tables import write_table
 from .sources.csv import read_csv
 from .sources.inventory import partition_inventory
 from .sources.parquet import read_parquet, read_parquets, read_snapshot
+from .sources.topic import slice_offsets
 from .streaming.sink import read_stream_files, write_stream
 
 TABLES = [
@@ -135,7 +136,7 @@ def q_csv_with_schema(spark, d):
 
 def q_envelope_casts(spark, d):
     env = events_envelope(table(spark, d, "events"), value="props", with_edge_messages=False)
-    return env.select(*envelope_columns(strict_int=True))
+    return env.select(*envelope_columns())
 
 
 def q_json_flatten(spark, d):
@@ -197,7 +198,8 @@ def q_max_per_key(spark, d):
 
 
 def q_latest_per_key(spark, d):
-    return latest_per_key(table(spark, d, "events"), "user_id", "event_id")
+    # ids are unique, so nothing ties: the rank form scans and shuffles once
+    return latest_per_key(table(spark, d, "events"), "user_id", "event_id", method="rank")
 
 
 def q_latest_per_key_join(spark, d):
@@ -267,10 +269,55 @@ def q_partitioned_format_roundtrip(spark, d):
 
 def q_partition_inventory(spark, d):
     out = scratch_path(spark, "events-inventory")
+    # dealt by day: one file for each day, so that the SQL can state the count
     write_table(
-        _events_by_day(spark, d), out, mode="overwrite", partition_by=["EVENT_DATE"], layout="rebalance"
+        _events_by_day(spark, d).repartition("EVENT_DATE"), out, mode="overwrite",
+        partition_by=["EVENT_DATE"], layout="none",
+    )
+    return partition_inventory(spark.read.parquet(out), ["event_date"])
+
+
+def q_capped_write(spark, d):
+    out = scratch_path(spark, "events-capped")
+    write_table(
+        _events_by_day(spark, d).repartition(8), out, mode="overwrite", partition_by=["EVENT_DATE"], partitions=2
+    )
+    found = partition_inventory(spark.read.parquet(out), ["event_date"])
+    return found.select("event_date", "n_rows", (F.col("n_files") <= 2).alias("capped"))
+
+
+OFFSET_SLICE = {0: (1000, 5000), 1: (None, 3000), 2: (2000, None)}
+
+
+def q_topic_offset_slice(spark, d):
+    env = events_envelope(table(spark, d, "events"), with_edge_messages=False)
+    env = env.withColumn("partition", F.pmod("offset", F.lit(TOPIC_PARTITIONS)).cast("int"))
+    return slice_offsets(env, OFFSET_SLICE).select("partition", "offset", F.col("key").cast("string").alias("key"))
+
+
+# An entity with five code columns, two lookups, a date replacing a
+# same-named column and an ordered projection.
+FULL_CODES = ["o_orderstatus", "o_orderpriority", "o_clerk_code", "o_day_code", "o_price_code"]
+FULL_COLUMNS = [
+    "o_orderkey", "c_name", "c_mktsegment", "n_name", "o_orderdate", "o_totalprice", *FULL_CODES,
+]
+
+
+def q_enrich_full(spark, d):
+    orders = table(spark, d, "orders").select(
+        "*", F.col("o_custkey").cast("string").alias("o_clerk_code"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_day_code"),
+        F.concat(F.lit("price-"), F.col("o_orderkey").cast("string")).alias("o_price_code"),
+    )
+    return enrich_entity(
+        orders,
+        [
+            Lookup(table(spark, d, "customer"), key="c_custkey", on="o_custkey",
+                   columns=["c_name", "c_nationkey", "c_mktsegment"]),
+            Lookup(table(spark, d, "nation"), key="n_nationkey", on="c_nationkey", columns=["n_name"]),
+        ],
+        codes=FULL_CODES, dates={"o_orderdate": "o_orderdate"}, columns=FULL_COLUMNS,
     )
-    return partition_inventory(spark.read.parquet(out), ["event_date"], files=False)
 
 
 def _extract(spark, d, **kw):
@@ -312,7 +359,7 @@ def q_stream_decode_envelope(spark, d):
     src = scratch_path(spark, "events-envelope")
     write_table(events_envelope(table(spark, d, "events")), src, mode="overwrite")
     out = scratch_path(spark, "events-decoded-stream")
-    stream = read_stream_files(spark, src, ENVELOPE, max_files_per_trigger=4)
+    stream = read_stream_files(spark, src, ENVELOPE, max_files_per_trigger=1000)
     decoded = decode_envelope(stream, T.StructType.fromDDL(EVENT_PAYLOAD))
     write_stream(decoded, f"{out}/data", f"{out}/checkpoint")
     return spark.read.schema(decoded.schema).parquet(f"{out}/data")
@@ -355,7 +402,7 @@ SQL: dict[str, str] = {
     ),
     "csv_with_schema": "SELECT * FROM part",
     "envelope_casts": (
-        'SELECT CAST(event_id AS INTEGER) AS "offset", CAST(user_id AS VARCHAR) AS key, props AS value '
+        'SELECT event_id AS "offset", CAST(user_id AS VARCHAR) AS key, props AS value '
         "FROM events"
     ),
     "json_flatten": (
@@ -405,7 +452,24 @@ SQL: dict[str, str] = {
     "format_roundtrip": "SELECT * FROM part",
     "partitioned_format_roundtrip": "SELECT * FROM part",
     "partition_inventory": (
-        "SELECT CAST(ts AS DATE) AS event_date, count(*) AS n_rows FROM events GROUP BY CAST(ts AS DATE)"
+        "SELECT CAST(ts AS DATE) AS event_date, count(*) AS n_rows, CAST(1 AS BIGINT) AS n_files "
+        "FROM events GROUP BY CAST(ts AS DATE)"
+    ),
+    "capped_write": (
+        "SELECT CAST(ts AS DATE) AS event_date, count(*) AS n_rows, TRUE AS capped FROM events GROUP BY CAST(ts AS DATE)"
+    ),
+    "topic_offset_slice": (
+        'SELECT CAST(event_id % 4 AS INTEGER) AS partition, event_id AS "offset", CAST(user_id AS VARCHAR) AS key FROM events '
+        "WHERE (event_id % 4 = 0 AND event_id >= 1000 AND event_id < 5000) OR (event_id % 4 = 1 AND event_id < 3000) "
+        "OR (event_id % 4 = 2 AND event_id >= 2000)"
+    ),
+    "enrich_full": (
+        "SELECT o.o_orderkey, c.c_name, c.c_mktsegment, n.n_name, CAST(o.o_orderdate AS DATE) AS o_orderdate, o.o_totalprice, "
+        "substring(o.o_orderstatus, 1, 5) AS o_orderstatus, substring(o.o_orderpriority, 1, 5) AS o_orderpriority, "
+        "substring(CAST(o.o_custkey AS VARCHAR), 1, 5) AS o_clerk_code, "
+        "substring(strftime(o.o_orderdate, '%Y-%m-%d'), 1, 5) AS o_day_code, 'price' AS o_price_code "
+        "FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey "
+        "LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey"
     ),
     "extract_snapshot": _EXTRACT_SQL,
     "extract_snapshot_join": _EXTRACT_SQL,
@@ -457,6 +521,9 @@ QUERIES: dict[str, Query] = {
     "format_roundtrip": q_format_roundtrip,
     "partitioned_format_roundtrip": q_partitioned_format_roundtrip,
     "partition_inventory": q_partition_inventory,
+    "capped_write": q_capped_write,
+    "topic_offset_slice": q_topic_offset_slice,
+    "enrich_full": q_enrich_full,
     "extract_snapshot": q_extract_snapshot,
     "extract_snapshot_join": q_extract_snapshot_join,
     "extract_snapshot_early": q_extract_snapshot_early,

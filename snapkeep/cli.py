@@ -1,10 +1,13 @@
 """Command-line jobs: ``spark-submit -m``-style entry points over the library.
 
     python -m snapkeep.cli count PATH [PATH ...]
-    python -m snapkeep.cli extract (--envelope PATH | --brokers B --topic T) --entity interest
+    python -m snapkeep.cli extract (--envelope PATH | --brokers B (--topic T | --assign JSON)) --schema FILE
                                    --out ROOT [--day YYYY-MM-DD] [--one-per-key] [--stable-input]
-    python -m snapkeep.cli enrich --interest ROOT --account ROOT --contact ROOT --day D
-                                  [--account-day D] [--contact-day D] --out PATH
+    python -m snapkeep.cli enrich --entity ROOT --day D --spec FILE --out PATH
+
+`--schema` names a file with the record schema (DDL or JSON); all its fields
+are landed.  `--spec` names a JSON file with the lookups, code columns, date
+casts and output columns (see `plans.enrich_from_lake`).
 
 The session comes from ``SparkSession.builder.getOrCreate()`` (so
 ``spark-submit`` settings apply); the library's SQL settings are applied
@@ -22,20 +25,13 @@ from pyspark.sql import SparkSession
 
 from . import schemas
 from .plans.counts import table_counts
-from .plans.enrichment import enrich_interest_from_lake
+from .plans.enrichment import enrich_from_lake
 from .plans.extract import extract_snapshot
-from .session import apply_settings, ensure_checkpoint_dir
+from .session import apply_settings
 from .sinks.tables import write_table
 from .sources.parquet import read_parquet
 from .sources.topic import read_topic, topic_options
 
-ENTITIES = {
-    "interest": schemas.INTEREST,
-    "account": schemas.ACCOUNT,
-    "contact": schemas.CONTACT,
-    "lead": schemas.LEAD,
-}
-
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="snapkeep")
@@ -48,16 +44,17 @@ def _parser() -> argparse.ArgumentParser:
     src = e.add_mutually_exclusive_group(required=True)
     src.add_argument("--envelope", help="Parquet files in the topic envelope schema")
     src.add_argument("--topic", help="topic name (needs --brokers and the Kafka source package)")
-    src.add_argument("--partitions-of", metavar="TOPIC", help="read the partitions given by --assign")
+    src.add_argument("--assign", help='explicit partitions, JSON like {"topic":[0,1]} (needs --brokers)')
     e.add_argument("--brokers")
     e.add_argument("--username", default=os.environ.get("SNAPKEEP_TOPIC_USER"))
     e.add_argument("--password", default=os.environ.get("SNAPKEEP_TOPIC_PASSWORD"))
     e.add_argument("--min-partitions", type=int)
-    e.add_argument("--assign", help='explicit partitions, JSON like {"topic":[0,1]} (instead of --topic)')
     e.add_argument("--starting-offsets", default="earliest", help='"earliest" or JSON {"topic":{"0":123}}')
     e.add_argument("--ending-offsets", default="latest", help='"latest" or JSON {"topic":{"0":456}} (exclusive)')
     e.add_argument("--strict-int", action="store_true", help="INT offset column in the output")
-    e.add_argument("--entity", choices=sorted(ENTITIES), required=True)
+    e.add_argument("--fail-on-data-loss", action="store_true", help="fail when wanted offsets have expired")
+    e.add_argument("--schema", required=True, help="file with the record schema, DDL or JSON")
+    e.add_argument("--max-files", type=int, help="cap on the files of the day")
     e.add_argument("--key", default="id")
     e.add_argument("--out", required=True)
     e.add_argument("--day", help="extract date (default: today)")
@@ -65,13 +62,10 @@ def _parser() -> argparse.ArgumentParser:
     e.add_argument("--method", choices=["rank", "join"], default="rank")
     e.add_argument("--stable-input", action="store_true", help="checkpoint the input before compaction")
 
-    n = sub.add_parser("enrich", help="interest records with account number and contact country")
-    n.add_argument("--interest", required=True)
-    n.add_argument("--account", required=True)
-    n.add_argument("--contact", required=True)
+    n = sub.add_parser("enrich", help="a snapshot's records with columns of other snapshots")
+    n.add_argument("--entity", required=True, help="snapshot lake of the entity")
     n.add_argument("--day", required=True)
-    n.add_argument("--account-day")
-    n.add_argument("--contact-day")
+    n.add_argument("--spec", required=True, help="JSON file: lookups, codes, dates, columns")
     n.add_argument("--out", required=True)
     n.add_argument("--format", default="parquet")
     return p
@@ -87,25 +81,22 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
             envelope = read_parquet(spark, args.envelope, schema=schemas.ENVELOPE)
         else:
             if not args.brokers:
-                raise SystemExit("--topic needs --brokers")
-            if args.partitions_of and not args.assign:
-                raise SystemExit("--partitions-of needs --assign")
+                raise SystemExit("--topic and --assign need --brokers")
             envelope = read_topic(spark, topic_options(
-                args.brokers, topic=args.topic, assign=args.assign if args.partitions_of else None,
+                args.brokers, topic=args.topic, assign=args.assign,
                 username=args.username, password=args.password,
                 starting_offsets=args.starting_offsets, ending_offsets=args.ending_offsets,
-                min_partitions=args.min_partitions,
+                min_partitions=args.min_partitions, fail_on_data_loss=args.fail_on_data_loss,
             ))
         return extract_snapshot(
-            envelope, ENTITIES[args.entity], args.key, args.out, extract_date=args.day,
+            envelope, schemas.load_schema(args.schema), args.key, args.out, extract_date=args.day,
             keep_ties=not args.one_per_key, method=args.method, stable_input=args.stable_input,
-            strict_int=args.strict_int,
+            strict_int=args.strict_int, output_partitions=args.max_files,
         )
     if args.job == "enrich":
-        out = enrich_interest_from_lake(
-            spark, args.interest, args.account, args.contact, args.day,
-            account_day=args.account_day, contact_day=args.contact_day,
-        )
+        with open(args.spec, encoding="utf-8") as f:
+            spec = json.load(f)
+        out = enrich_from_lake(spark, args.entity, args.day, spec.pop("lookups", []), **spec)
         write_table(out, args.out, fmt=args.format, mode="overwrite")
         return {"written": args.out}
     raise SystemExit(f"unknown job {args.job}")
@@ -114,7 +105,6 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
 def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("snapkeep").getOrCreate()
     apply_settings(spark)
-    ensure_checkpoint_dir(spark)
     print(json.dumps(run(spark, list(sys.argv[1:] if argv is None else argv)), default=str))
     return 0
 

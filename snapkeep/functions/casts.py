@@ -8,16 +8,23 @@ from pyspark.sql import functions as F
 from .naming import col, resolve_name
 
 
+def exact_int(c: Column, name: str) -> Column:
+    """Narrow to INT; a value that does not fit fails the job."""
+    fits = c.isNull() | c.between(-(2**31), 2**31 - 1)
+    message = F.concat(F.lit(f"{name} does not fit in INT: "), c.cast("string"))
+    return F.when(fits, c).otherwise(F.raise_error(message)).cast("int")
+
+
 def envelope_columns(offset_type: str = "bigint", strict_int: bool = False) -> list[Column]:
     """`offset`, `key`, `value` of a topic envelope, with key and value as text.
 
     Offsets are 64-bit: narrowing them to INT overflows past 2^31-1 (and
-    fails the job under ANSI mode).  `strict_int=True` narrows anyway for
-    output-type parity, with `try_cast` so an overflow becomes null instead
-    of an error.
+    fails the job under ANSI mode).  `strict_int=True` narrows for
+    output-type parity and fails the job on an offset that does not fit, in
+    either mode: an offset is never lost silently.
     """
     off = F.col("offset")
-    off = off.try_cast("int") if strict_int else off.cast(offset_type)
+    off = exact_int(off, "offset") if strict_int else off.cast(offset_type)
     return [
         off.alias("offset"),
         F.col("key").cast("string").alias("key"),

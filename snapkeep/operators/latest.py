@@ -12,15 +12,20 @@ Contract:
 
 Two physical forms:
 
-* ``method="rank"`` (default): ``rank()``/``row_number()`` over the key,
+* ``method="rank"``: ``rank()``/``row_number()`` over the key,
   filtered to 1.  Catalyst turns this into a partial ``WindowGroupLimit``
   before the shuffle, so each map task forwards only its own top rows per
   key: a key holding a third of all rows still shuffles at most one
-  (tied) group per map task.  One scan, one shuffle.
-* ``method="join"``: the grouped maximum joined back on (key, order).  It
+  (tied) group per map task.  One scan, one shuffle.  The rows tied at a
+  key's maximum meet in one task, so it is the default only where one row
+  is kept (``keep_ties=False``) and the form to pick where few rows tie, as
+  message offsets do.
+* ``method="join"`` (default with ``keep_ties=True`` on one order column):
+  the grouped maximum joined back on (key, order).  It
   scans twice, but when the key count is small AQE turns the join into a
   broadcast of the (small, size-checked) maxima and the big side is never
-  shuffled.  Ties are always kept.
+  shuffled; otherwise AQE splits a skewed (key, order).  Ties are always
+  kept, however many rows tie.
 """
 
 from __future__ import annotations
@@ -63,7 +68,7 @@ def latest_per_key(
     order: str | Sequence[str],
     keep_ties: bool = True,
     tiebreak: str | Sequence[str] | None = None,
-    method: str = "rank",
+    method: str | None = None,
 ) -> DataFrame:
     """Rows with the highest `order` value for each `key` (see module doc)."""
     keys = [resolve_name(df, k) for k in _as_list(key)]
@@ -72,6 +77,8 @@ def latest_per_key(
     if not keys or not orders:
         raise ValueError("key and order are required")
     base = not_null_rows(df, keys + orders)
+    if method is None:
+        method = "join" if keep_ties and len(orders) == 1 else "rank"
 
     if method == "join":
         if not keep_ties:

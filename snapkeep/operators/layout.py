@@ -1,11 +1,9 @@
-"""Physical-layout controls: output partitioning, persistence, lineage cuts."""
+"""Physical-layout controls: output partitioning, lineage cuts."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from ..functions.naming import col
@@ -26,10 +24,12 @@ def shape_output(
       also narrows the upstream stage to that many tasks, so it is only for
       small outputs.
     * ``repartition``: a full shuffle to exactly `partitions`.
-    * ``none``: leave as is.
+    * ``none``: leave as is; a partition count is an error, not ignored.
     """
     cols = [col(c) for c in by]
     if how == "none":
+        if partitions:
+            raise ValueError("a partition count needs a layout")
         return df
     if how == "coalesce":
         if not partitions:
@@ -47,16 +47,6 @@ def shape_output(
     raise ValueError(f"unknown layout {how!r}")
 
 
-@contextmanager
-def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
-    """Persist `df` for the duration of a block, then release it."""
-    df.persist(level)
-    try:
-        yield df
-    finally:
-        df.unpersist()
-
-
 def stable(df: DataFrame) -> DataFrame:
     """Materialise `df` into the shared checkpoint folder and cut its lineage.
 

@@ -1,12 +1,10 @@
 """Composite flows built from the operators."""
 
 from .counts import table_counts
-from .enrichment import (
-    code_null_profile, enrich_entity, enrich_interest, enrich_interest_from_lake, with_first_code,
-)
+from .enrichment import enrich_entity, enrich_from_lake
 from .extract import decode_envelope, extract_snapshot, latest_snapshot, stamp_date
 
 __all__ = [
-    "table_counts", "code_null_profile", "with_first_code", "enrich_entity", "enrich_interest", "enrich_interest_from_lake",
+    "table_counts", "enrich_entity", "enrich_from_lake",
     "decode_envelope", "extract_snapshot", "latest_snapshot", "stamp_date",
 ]

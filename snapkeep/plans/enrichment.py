@@ -7,12 +7,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .. import schemas
 from ..functions.casts import with_date_from
-from ..functions.codes import first_code, truncate_codes
+from ..functions.codes import truncate_codes
 from ..functions.naming import col
 from ..operators.enrich import Lookup, enrich
-from ..operators.profile import null_profile
 from ..sources.parquet import read_snapshot
 
 
@@ -35,54 +33,28 @@ def enrich_entity(
     return out
 
 
-def enrich_interest(interest: DataFrame, account: DataFrame, contact: DataFrame) -> DataFrame:
-    """Interest records with their account number and contact country (17 columns)."""
-    return enrich_entity(
-        interest,
-        [
-            Lookup(account, key="id", on="account_id", columns=["account_number"]),
-            Lookup(contact, key="id", on="contact_id", columns=["country"]),
-        ],
-        codes=schemas.CODE_LEVELS,
-        dates={"created": "created_at"},
-        columns=schemas.ENRICHED_INTEREST_COLUMNS,
-    )
-
-
-def enrich_interest_from_lake(
+def enrich_from_lake(
     spark: SparkSession,
-    interest_root: str,
-    account_root: str,
-    contact_root: str,
+    entity_root: str,
     day: str | dt.date,
-    account_day: str | dt.date | None = None,
-    contact_day: str | dt.date | None = None,
+    lookups: Sequence[Mapping[str, object]],
     date_col: str = "extract_date",
+    **kw,
 ) -> DataFrame:
-    """`enrich_interest` over snapshot lakes, each read at its own as-of day.
+    """`enrich_entity` over snapshot lakes, each read at its own as-of day.
 
-    Each read filters its partition column, so only that day's directory is
-    listed and scanned; the schemas bind the columns by name.
+    A lookup is given as ``{"root", "key", "on", "columns"}`` with an optional
+    ``"day"`` (default: the entity's) and ``"unique"``.  Each read filters its
+    partition column, so only that day's directory is listed and scanned.
     """
-    interest = read_snapshot(spark, interest_root, day, schemas.INTEREST, date_col)
-    account = read_snapshot(spark, account_root, account_day or day, schemas.ACCOUNT, date_col)
-    contact = read_snapshot(spark, contact_root, contact_day or day, schemas.CONTACT, date_col)
-    return enrich_interest(interest, account, contact)
+    def table(x: Mapping[str, object]) -> DataFrame:
+        return read_snapshot(spark, str(x["root"]), x.get("day") or day, partition_col=date_col)
 
-
-def code_null_profile(enriched: DataFrame) -> DataFrame:
-    """Enriched interest rows whose only code is the least specific one, counted
-    per code combination, biggest first (levels 30, 20 and 17 null, level 10
-    present; level 15 is not tested, as in the original check)."""
-    return null_profile(
-        enriched,
-        group_by=["code30", "code20", "code17", "code10"],
-        null=["code30", "code20", "code17"],
-        not_null=["code10"],
+    return enrich_entity(
+        read_snapshot(spark, entity_root, day, partition_col=date_col),
+        [
+            Lookup(table(x), key=x["key"], on=x["on"], columns=list(x["columns"]), unique=bool(x.get("unique", False)))
+            for x in lookups
+        ],
+        **kw,
     )
-
-
-def with_first_code(interest: DataFrame, target: str = "code", levels=schemas.CODE_LEVELS) -> DataFrame:
-    """Add `target`: the 5-character prefix of the most specific code present,
-    else the text "-1" (one projection, no shuffle)."""
-    return interest.withColumn(target, first_code(list(levels)))

@@ -24,12 +24,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.casts import envelope_columns
+from ..functions.casts import envelope_columns, exact_int
 from ..functions.json import parse_json
 from ..functions.naming import col
 from ..operators.latest import latest_per_key, observe_dropped
@@ -98,11 +97,16 @@ def _prepared(envelope, schema, key, keep_ties: bool, stable_input: bool, decode
         rows, key_cols = decode_envelope(envelope, schema, keep=keep), keys
     elif decode == "late":
         names = _key_names(schema, keys)
-        parsed = parse_json("value", schema)
+        key_schema = T.StructType([schema[n] for n in names])
         extra = [col(c) for c in keep if c not in ("offset", "key")]
-        rows = envelope.select(*envelope_columns(), *extra).select(
-            "*", *[parsed.getField(n).alias(f"{_KEY}{i}") for i, n in enumerate(names)]
-        )
+        rows = envelope.select(*envelope_columns(), *extra)
+        parsed = parse_json("value", key_schema)
+        if len(names) == 1:
+            rows = rows.withColumn(f"{_KEY}0", parsed.getField(names[0]))
+        else:
+            # A generator's columns are not expanded into their uses, so each
+            # message is parsed once for all key fields (one row in, one out).
+            rows = rows.select("*", F.inline(F.array(parsed)).alias(*[f"{_KEY}{i}" for i in range(len(names))]))
         key_cols = [f"{_KEY}{i}" for i in range(len(names))]
     else:
         raise ValueError(f"unknown decode {decode!r}")
@@ -128,7 +132,7 @@ def _snapshot_of(
         latest = latest.drop("partition")
     if strict_int:
         # Narrow only the output: the winners were chosen on 64-bit offsets.
-        latest = latest.withColumn("offset", F.col("offset").try_cast("int"))
+        latest = latest.withColumn("offset", exact_int(F.col("offset"), "offset"))
     return stamp_date(latest, date_col, extract_date), obs
 
 
@@ -151,11 +155,12 @@ def latest_snapshot(
     partitions) by the higher partition number.  ``stable_input`` writes
     the prepared input to the shared checkpoint folder first, so retries
     after an executor loss never re-read the topic (whose old offsets may
-    have expired meanwhile).  ``strict_int=True`` narrows the output
-    ``offset`` to INT (null past 2^31-1) for output-type parity; the
-    compaction itself always compares 64-bit offsets.
+    have expired meanwhile).  The join form reads its input twice, and both
+    reads must see the same messages, so it always does this.
+    ``strict_int=True`` narrows the output ``offset`` to INT and fails the
+    job past 2^31-1; the compaction itself compares 64-bit offsets.
     """
-    rows, key_cols = _prepared(envelope, schema, key, keep_ties, stable_input, decode)
+    rows, key_cols = _prepared(envelope, schema, key, keep_ties, stable_input or method == "join", decode)
     return _snapshot_of(rows, key_cols, schema, extract_date, keep_ties, method, date_col, decode, strict_int)
 
 
@@ -169,7 +174,7 @@ def extract_snapshot(
     method: str = "rank",
     date_col: str = "EXTRACT_DATE",
     output_partitions: int | None = None,
-    layout: str = "none",
+    layout: str | None = None,
     stable_input: bool = False,
     decode: str = "late",
     strict_int: bool = False,
@@ -181,28 +186,18 @@ def extract_snapshot(
     alone.  Returns the row metrics of the run.
 
     `layout`/`output_partitions` reshape the write tasks (see
-    `operators.layout.shape_output`; ``layout="coalesce",
-    output_partitions=5`` caps the files of the day at the cost of write
-    parallelism).  The default writes from the compaction's own tasks.
+    `operators.layout.shape_output`; ``output_partitions=5`` alone caps the
+    files of the day at five, at the cost of write parallelism).  The default writes from the compaction's own tasks.
     """
-    rows, key_cols = _prepared(envelope, schema, key, keep_ties, stable_input, decode)
-    # The join form reads its input twice (maxima, join back): keep it
-    # (memory, spilling to disk) for this one write only.  The rank form
-    # reads it once and needs no cache.
-    reuse = method == "join" and not stable_input
-    if reuse:
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        snap, obs = _snapshot_of(
-            rows, key_cols, schema, extract_date, keep_ties, method, date_col, decode, strict_int
-        )
-        out_obs = Observation("extract_output")
-        snap = snap.observe(out_obs, F.count(F.lit(1)).alias("output_rows"))
-        write_table(
-            snap, out_root, fmt="parquet", mode="overwrite", partition_by=[date_col],
-            overwrite="dynamic", partitions=output_partitions, layout=layout,
-        )
-    finally:
-        if reuse:
-            rows.unpersist()
+    snap, obs = latest_snapshot(
+        envelope, schema, key, extract_date, keep_ties, method, date_col, stable_input, decode, strict_int
+    )
+    out_obs = Observation("extract_output")
+    snap = snap.observe(out_obs, F.count(F.lit(1)).alias("output_rows"))
+    if layout is None and not output_partitions:
+        layout = "none"
+    write_table(
+        snap, out_root, fmt="parquet", mode="overwrite", partition_by=[date_col],
+        overwrite="dynamic", partitions=output_partitions, layout=layout,
+    )
     return {**obs.get, **out_obs.get}

@@ -1,12 +1,10 @@
-"""Fixed record schemas.
-
-Every record is flat and every field nullable.  The entity schemas are the
-slim forms holding each column the flows use; `widen` pads a schema with
-string columns to the full field count for pruning tests.
-"""
+"""Record schemas: the fixed topic envelope, and entity schemas given by the caller."""
 
 from __future__ import annotations
 
+import json
+import os
+
 from pyspark.sql import types as T
 
 _TYPES = {
@@ -38,36 +36,15 @@ ENVELOPE = T.StructType(
     ]
 )
 
-INTEREST = struct(
-    "id string, name string, account_id string, contact_id string, status string, reason string, "
-    "lead_source string, campaign_code string, opportunity string, is_closed boolean, "
-    "created_at timestamp, created timestamp, last_modified date, code30 string, code20 string, "
-    "code17 string, code15 string, code10 string"
-)
-ACCOUNT = struct("id string, account_number string")
-CONTACT = struct("id string, country string")
-LEAD = struct(
-    "id string, name string, last_modified timestamp, is_deleted boolean, modstamp timestamp"
-)
 
-# Fixed values (as in the reference job, under neutral names): the full field
-# counts of the entity records, the code levels most specific first, and the
-# output columns of the interest enrichment in order.
-INTEREST_WIDTH = 95
-ACCOUNT_WIDTH = 72
-CONTACT_WIDTH = 8
-LEAD_WIDTH = 5
-CODE_LEVELS = ["code30", "code20", "code17", "code15", "code10"]
-ENRICHED_INTEREST_COLUMNS = [
-    "id", "name", "country", "status", "reason", "lead_source", "campaign_code",
-    "opportunity", "created", "is_closed", "account_number", "last_modified",
-    "code30", "code20", "code17", "code15", "code10",
-]
-
-
-def widen(schema: T.StructType, width: int, prefix: str = "extra_") -> T.StructType:
-    """Pad `schema` with nullable string columns up to `width` fields."""
-    fields = list(schema.fields)
-    for i in range(len(fields), width):
-        fields.append(T.StructField(f"{prefix}{i:03d}", T.StringType()))
-    return T.StructType(fields)
+def load_schema(text_or_path: str) -> T.StructType:
+    """A record schema from a DDL string, or from a file holding DDL or the
+    JSON form of a StructType; every field of it is landed."""
+    text = text_or_path
+    if os.path.exists(text_or_path):
+        with open(text_or_path, encoding="utf-8") as f:
+            text = f.read()
+    text = text.strip()
+    if text.startswith("{"):
+        return T.StructType.fromJson(json.loads(text))
+    return T.StructType.fromDDL(" ".join(text.split()))

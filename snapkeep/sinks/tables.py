@@ -42,8 +42,11 @@ def write_table(
     `layout`/`partitions` shape the write tasks (see
     `operators.layout.shape_output`).  Partitioned writes default to a
     ``rebalance`` by the partition columns: evenly sized files, and a day
-    that holds most of the rows is split over several tasks.  Other writes
-    keep the frame's partitioning (``"none"``).
+    that holds most of the rows is split over several tasks, for one more
+    shuffle (pass ``"none"`` when the frame is already clustered).  Other
+    writes keep the frame's partitioning (``"none"``).  `partitions` without
+    a layout caps the write at that many tasks, so at most that many files
+    for each partition value (``"coalesce"``).
     """
     opts = dict(options or {})
     parts: list[str] = []
@@ -52,7 +55,7 @@ def write_table(
         if mode == "overwrite":
             opts.setdefault("partitionOverwriteMode", overwrite)
     if layout is None:
-        layout = "rebalance" if parts else "none"
+        layout = "coalesce" if partitions else "rebalance" if parts else "none"
     df = shape_output(df, partitions, layout, by=parts if layout == "rebalance" else ())
     w = df.write.format(fmt).mode(mode)
     if parts:

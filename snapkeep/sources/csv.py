@@ -13,7 +13,6 @@ def read_csv(
     path: str,
     schema: T.StructType | str | None = None,
     strict_header: bool = False,
-    infer_sampling_ratio: float | None = None,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Read header CSV, with a fixed schema or inferred types.
@@ -23,9 +22,9 @@ def read_csv(
     columns (or nulls where a cast fails).  ``strict_header=True`` checks
     the header names against the schema and fails the read on a mismatch.
     Without a schema the types are inferred, which reads the data one more
-    time; pass a schema for large inputs, or `infer_sampling_ratio` to infer
-    from that fraction of the rows (only the inference pass samples; the
-    result always holds every row).
+    time over all rows (a sample would turn values its types do not cover into
+    nulls); pass a schema for large inputs.  An inferred type follows the
+    data: an integer column turns to BIGINT once a value needs it.
     """
     r = spark.read.format("csv").option("header", "true")
     if schema is not None:
@@ -34,8 +33,6 @@ def read_csv(
             r = r.option("enforceSchema", "false")
     else:
         r = r.option("inferSchema", "true")
-        if infer_sampling_ratio:
-            r = r.option("samplingRatio", str(float(infer_sampling_ratio)))
     for k, v in (options or {}).items():
         r = r.option(k, v)
     return r.load(path)

@@ -1,4 +1,4 @@
-"""Inventory of a partitioned table: rows and files per partition value."""
+"""Inventory of a partitioned table: rows, files and bytes per partition value."""
 
 from __future__ import annotations
 
@@ -10,14 +10,25 @@ from pyspark.sql import functions as F
 from ..functions.naming import col, resolve_name
 
 
-def partition_inventory(df: DataFrame, partition_cols: Sequence[str], files: bool = True) -> DataFrame:
-    """Rows (and distinct data files) per partition value of a file-source frame.
+def partition_inventory(
+    df: DataFrame, partition_cols: Sequence[str], files: bool = True, sizes: bool = False
+) -> DataFrame:
+    """Rows, data files (`files`) and bytes of these files (`sizes`) per
+    partition value of a file-source frame.
 
     Runs as one distributed aggregation over partition discovery, at every
     directory depth; no file listing passes through the driver.
     """
-    keys = [col(resolve_name(df, c)) for c in partition_cols]
-    aggs = [F.count(F.lit(1)).alias("n_rows")]
+    names = [resolve_name(df, c) for c in partition_cols]
+    if not (files or sizes):
+        return df.groupBy(*[col(n) for n in names]).agg(F.count(F.lit(1)).alias("n_rows"))
+    # first one row per file, so that a file's size counts once
+    per_file = df.groupBy(
+        *[col(n) for n in names], F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_size").alias("__size")
+    ).agg(F.count(F.lit(1)).alias("__n"))
+    aggs = [F.sum("__n").alias("n_rows")]
     if files:
-        aggs.append(F.count_distinct(F.col("_metadata.file_path")).alias("n_files"))
-    return df.groupBy(*keys).agg(*aggs)
+        aggs.append(F.count(F.lit(1)).alias("n_files"))
+    if sizes:
+        aggs.append(F.sum("__size").alias("n_bytes"))
+    return per_file.groupBy(*[col(n) for n in names]).agg(*aggs)

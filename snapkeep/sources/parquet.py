@@ -89,6 +89,6 @@ def read_snapshot(
         r = r.schema(schema)
     if day is None:
         return r.parquet(root)
-    day_text = day if isinstance(day, str) else day.isoformat()
+    day_text = (dt.date.fromisoformat(day) if isinstance(day, str) else day).isoformat()
     df = r.option("basePath", root).parquet(f"{root.rstrip('/')}/{partition_col}={day_text}")
     return df.where(col(partition_col) == day_literal(day))

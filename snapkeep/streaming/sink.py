@@ -50,8 +50,10 @@ def write_stream(
 
     `trigger` defaults to ``{"availableNow": True}``; pass
     ``{"processingTime": "1 minute"}`` for a continuously running job.
-    With `wait` the call blocks until the query stops (or `timeout`
-    seconds) and re-raises its failure.
+    With `wait` the call blocks until the query stops and re-raises its
+    failure; if `timeout` seconds pass first it raises `TimeoutError` and
+    leaves the query running, so an incomplete result is never taken for a
+    complete one.
     """
     parts: list[str] = []
     if partition_by:
@@ -69,8 +71,10 @@ def write_stream(
         w = w.queryName(query_name)
     q = w.start()
     if wait:
-        q.awaitTermination(timeout)
+        ended = q.awaitTermination(timeout)
         exc = q.exception()
         if exc is not None:
             raise exc
+        if timeout is not None and not ended:
+            raise TimeoutError(f"the stream to {path} is still running after {timeout} s")
     return q

@@ -1,11 +1,10 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import Row
+from pyspark.sql import functions as F
 
-from snapkeep import schemas
 from snapkeep.operators.enrich import Lookup, enrich
-from snapkeep.plans.enrichment import enrich_interest, enrich_interest_from_lake
+from snapkeep.plans.enrichment import enrich_entity, enrich_from_lake
 from snapkeep.sinks.tables import write_table
 
 
@@ -35,91 +34,49 @@ def test_every_left_row_kept(spark):
     assert out.count() == orders.count()
 
 
-def _interest_rows():
-    base = dict.fromkeys(schemas.INTEREST.fieldNames())
-    r1 = {**base, "id": "i1", "name": "n1", "account_id": "a1", "contact_id": "c1", "status": "open",
-          "code30": "ABCDEFGH", "code20": "AB", "code10": "0123456789", "is_closed": False,
-          "created_at": dt.datetime(2024, 3, 7, 23, 30), "created": dt.datetime(1999, 1, 1),
-          "last_modified": dt.date(2024, 3, 1)}
-    r2 = {**base, "id": "i2", "account_id": None, "contact_id": "missing"}
-    return [Row(**r1), Row(**r2)]
-
-
-def test_interest_enrichment_shape(spark):
-    interest = spark.createDataFrame(_interest_rows(), schemas.INTEREST)
-    account = spark.createDataFrame([("a1", "ACC-1"), ("a1", "ACC-1b")], schemas.ACCOUNT)
-    contact = spark.createDataFrame([("c1", "DE")], schemas.CONTACT)
-    out = enrich_interest(interest, account, contact)
-    assert out.columns == schemas.ENRICHED_INTEREST_COLUMNS
-    assert len(out.columns) == 17
-    rows = sorted(out.collect(), key=lambda r: (r["id"], r["account_number"] or ""))
-    # duplicate account id doubles the row
-    assert [r["id"] for r in rows] == ["i1", "i1", "i2"]
-    r = rows[0]
-    assert r["country"] == "DE" and r["code30"] == "ABCDE" and r["code20"] == "AB"
-    assert r["code10"] == "01234" and r["created"] == dt.date(2024, 3, 7)
-    assert rows[2]["country"] is None and rows[2]["account_number"] is None
+SHAPE = "k string, region_fk string, made timestamp, day timestamp, a string, b string, c string, d string, e string"
+CODES = ["a", "b", "c", "d", "e"]
+COLUMNS = ["k", "label", "day", *CODES]
+
+
+def _entity(spark, extra=0):
+    rows = [("i1", "r1", dt.datetime(2024, 3, 7, 23, 30), dt.datetime(1999, 1, 1), "ABCDEFGH", "AB", None, "", "0123456789"),
+            ("i2", None, None, None, None, None, None, None, None),
+            ("i3", "missing", None, None, None, None, None, None, "x")]
+    df = spark.createDataFrame(rows, SHAPE)
+    return df.select("*", *[F.lit("x").alias(f"extra_{i:03d}") for i in range(extra)])
+
+
+def test_enrichment_shape(spark):
+    regions = spark.createDataFrame([("r1", "L1"), ("r1", "L1b")], "id string, label string")
+    out = enrich_entity(_entity(spark), [Lookup(regions, key="id", on="region_fk", columns=["label"])],
+                        codes=CODES, dates={"day": "made"}, columns=COLUMNS)
+    assert out.columns == COLUMNS
+    rows = sorted(out.collect(), key=lambda r: (r["k"], r["label"] or ""))
+    assert [(r["k"], r["label"]) for r in rows] == [("i1", "L1"), ("i1", "L1b"), ("i2", None), ("i3", None)]
+    assert tuple(rows[0])[2:] == (dt.date(2024, 3, 7), "ABCDE", "AB", None, "", "01234")
 
 
 def test_enrichment_from_lake_reads_each_source_at_its_day(spark, tmp):
-    from pyspark.sql import functions as F
-
-    interest = spark.createDataFrame(_interest_rows(), schemas.INTEREST)
-    account = spark.createDataFrame([("a1", "OLD")], schemas.ACCOUNT)
-    account_new = spark.createDataFrame([("a1", "NEW")], schemas.ACCOUNT)
-    contact = spark.createDataFrame([("c1", "DE")], schemas.CONTACT)
-    day, acc_day = "2024-03-07", "2024-02-14"
-    for df, root, d in [(interest, "interest", day), (account, "account", acc_day),
-                        (account_new, "account", day), (contact, "contact", day)]:
+    old = spark.createDataFrame([("r1", "OLD")], "id string, label string")
+    new = spark.createDataFrame([("r1", "NEW")], "id string, label string")
+    day, other = "2024-03-07", "2024-02-14"
+    for df, root, d in [(_entity(spark), "entity", day), (old, "region", other), (new, "region", day)]:
         write_table(df.withColumn("EXTRACT_DATE", F.lit(d).cast("date")), f"{tmp}/{root}",
                     mode="overwrite", partition_by=["EXTRACT_DATE"])
-    out = enrich_interest_from_lake(spark, f"{tmp}/interest", f"{tmp}/account", f"{tmp}/contact",
-                                    day, account_day=acc_day)
-    got = {r["id"]: r["account_number"] for r in out.collect()}
-    assert got == {"i1": "OLD", "i2": None}
-
-
-def test_wide_interest_is_pruned(spark, tmp):
-    wide = schemas.widen(schemas.INTEREST, schemas.INTEREST_WIDTH)
-    assert len(wide.fields) == 95
-    rows = [tuple(r) + (None,) * (95 - len(schemas.INTEREST.fields)) for r in _interest_rows()]
-    spark.createDataFrame(rows, wide).write.parquet(f"{tmp}/wide")
-    wide_acc = schemas.widen(schemas.ACCOUNT, schemas.ACCOUNT_WIDTH, prefix="acc_extra_")
-    assert len(wide_acc.fields) == 72
-    spark.createDataFrame([("a1", "ACC-1") + ("x",) * 70], wide_acc).write.parquet(f"{tmp}/wide_acc")
-    interest = spark.read.schema(wide).parquet(f"{tmp}/wide")
-    account = spark.read.parquet(f"{tmp}/wide_acc")  # footer schema: all 72 columns
-    contact = spark.createDataFrame([("c1", "DE")], schemas.CONTACT)
-    out = enrich_interest(interest, account, contact)
+    lookup = {"root": f"{tmp}/region", "key": "id", "on": "region_fk", "columns": ["label"]}
+    for d, want in ((other, "OLD"), (None, "NEW")):
+        out = enrich_from_lake(spark, f"{tmp}/entity", day, [{**lookup, "day": d}], columns=["k", "label"])
+        assert {r["k"]: r["label"] for r in out.collect()} == {"i1": want, "i2": None, "i3": None}
+
+
+def test_wide_entity_is_pruned(spark, tmp):
+    _entity(spark, extra=86).write.parquet(f"{tmp}/wide")
+    spark.createDataFrame([("r1", "L1", "x")], "id string, label string, other string").write.parquet(f"{tmp}/region")
+    out = enrich_entity(spark.read.parquet(f"{tmp}/wide"),
+                        [Lookup(spark.read.parquet(f"{tmp}/region"), key="id", on="region_fk", columns=["label"])],
+                        codes=CODES, dates={"day": "made"}, columns=COLUMNS)
     plan = out._jdf.queryExecution().executedPlan().toString()
-    read_schemas = [line.split("ReadSchema: ")[1] for line in plan.splitlines() if "ReadSchema: " in line]
-    assert len(read_schemas) == 2
-    assert all("extra_" not in rs for rs in read_schemas)
-    assert "struct<id:string,account_number:string>" in read_schemas
-    assert out.count() == 2
-
-
-def test_code_null_profile(spark):
-    from snapkeep.plans.enrichment import code_null_profile
-
-    base = dict.fromkeys(schemas.INTEREST.fieldNames())
-    rows = [Row(**{**base, "id": f"i{i}", "code10": c10, "code15": c15, "code30": c30})
-            for i, (c10, c15, c30) in enumerate([
-                ("1234567", None, None), ("1234599", "X", None), ("77777", None, None),
-                (None, None, None), ("1234567", None, "ABC")])]
-    interest = spark.createDataFrame(rows, schemas.INTEREST)
-    enriched = enrich_interest(interest, spark.createDataFrame([], schemas.ACCOUNT),
-                               spark.createDataFrame([], schemas.CONTACT))
-    got = [(r["code10"], r["count"]) for r in code_null_profile(enriched).collect()]
-    assert got == [("12345", 2), ("77777", 1)]
-
-
-def test_with_first_code(spark):
-    from snapkeep.plans.enrichment import with_first_code
-
-    base = dict.fromkeys(schemas.INTEREST.fieldNames())
-    rows = [Row(**{**base, "id": "a", "code20": "ABCDEFG", "code10": "0000000"}),
-            Row(**{**base, "id": "b", "code15": "XY"}),
-            Row(**{**base, "id": "c"})]
-    out = with_first_code(spark.createDataFrame(rows, schemas.INTEREST))
-    assert {r["id"]: r["code"] for r in out.collect()} == {"a": "ABCDE", "b": "XY", "c": "-1"}
+    read = [line.split("ReadSchema: ")[1] for line in plan.splitlines() if "ReadSchema: " in line]
+    assert len(read) == 2 and all("extra_" not in r and "other" not in r for r in read)
+    assert out.count() == 3

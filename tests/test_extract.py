@@ -121,16 +121,41 @@ def test_empty_topic_writes_nothing_and_keeps_other_days(spark, tmp):
     assert read_snapshot(spark, tmp + "/lake").count() == before
 
 
-def test_strict_int_narrows_only_the_output(spark):
-    big = 3_000_000_000
+def test_strict_int_fails_on_overflow(spark):
+    import pytest
+
     payload = '{"id": "a", "v": "%s"}'
-    rows = [(b"a", (payload % "old").encode(), "t", 0, 5, None, 0),
-            (b"a", (payload % "new").encode(), "t", 0, big, None, 0)]
-    env = spark.createDataFrame(rows, ENVELOPE)
-    snap, _ = latest_snapshot(env, "id string, v string", "id", "2024-03-07", strict_int=True)
-    got = snap.collect()
-    assert [(r["v"], r["offset"]) for r in got] == [("new", None)]  # newest wins, offset overflows to null
-    assert dict(snap.dtypes)["offset"] == "int"
+
+    def snap(offset, **kw):
+        rows = [(b"a", (payload % "old").encode(), "t", 0, 5, None, 0),
+                (b"a", (payload % "new").encode(), "t", 0, offset, None, 0)]
+        return latest_snapshot(spark.createDataFrame(rows, ENVELOPE), "id string, v string", "id", "2024-03-07", **kw)[0]
+
+    big = 5_000_000_000
+    assert [(r["v"], r["offset"]) for r in snap(big).collect()] == [("new", big)]
+    small = snap(7, strict_int=True)
+    assert dict(small.dtypes)["offset"] == "int" and [r["offset"] for r in small.collect()] == [7]
+    with pytest.raises(Exception, match="does not fit in INT"):
+        snap(big, strict_int=True).collect()
+
+
+def test_output_partitions_cap_the_files_of_the_day(spark, tmp):
+    import glob
+
+    env = events_envelope(spark.read.parquet(EVENTS)).repartition(8)
+    extract_snapshot(env, EVENT_PAYLOAD, "user_id", tmp + "/lake", extract_date="2024-03-07", output_partitions=2)
+    assert 1 <= len(glob.glob(tmp + "/lake/extract_date=2024-03-07/*.parquet")) <= 2
+
+
+def test_composite_key_is_parsed_once_and_join_form_is_not_cached(spark):
+    env = events_envelope(spark.read.parquet(EVENTS))
+    snap, _ = latest_snapshot(env, EVENT_PAYLOAD, ["user_id", "event_type"], "2024-03-07", decode="late")
+    plan = snap._jdf.queryExecution().optimizedPlan().toString()
+    # one parse of the key fields, one of the surviving messages
+    assert plan.count("from_json(") == 2
+    join, _ = latest_snapshot(env, EVENT_PAYLOAD, "user_id", "2024-03-07", method="join")
+    plan = join._jdf.queryExecution().optimizedPlan().toString()
+    assert "InMemoryRelation" not in plan and "LogicalRDD" in plan
 
 
 def test_payload_field_clashing_with_envelope_columns(spark):

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,7 +74,10 @@ def test_offset_casts(spark):
     assert wide["offset"] == 3000000000 and wide["key"] == "k" and wide["value"] == "v"
     narrow = df.select(*envelope_columns(strict_int=True))
     assert narrow.schema["offset"].dataType == T.IntegerType()
-    assert narrow.first()["offset"] is None
+    with pytest.raises(Exception, match="does not fit in INT"):
+        narrow.collect()
+    ok = df.withColumn("offset", F.lit(7).cast("bigint")).select(*envelope_columns(strict_int=True))
+    assert ok.first()["offset"] == 7
 
 
 def test_date_cast_replaces_same_named_column_utc(spark):

@@ -96,7 +96,7 @@ def _plan(df):
 
 def test_rank_plan_one_scan_one_shuffle_with_partial_limit(spark):
     ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
-    plan = _plan(latest_per_key(ev, "user_id", "event_id"))
+    plan = _plan(latest_per_key(ev, "user_id", "event_id", method="rank"))
     assert plan.count("FileScan parquet") == 1
     assert plan.count("Exchange hashpartitioning") == 1
     assert "Partial" in plan and "WindowGroupLimit" in plan
@@ -106,3 +106,27 @@ def test_dotted_names(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y")], "`k.id` string, `o.n` int, v string")
     out = latest_per_key(df, "k.id", "o.n")
     assert [r["v"] for r in out.collect()] == ["y"]
+
+
+def test_rows_tied_on_one_key_spread_over_tasks(spark):
+    # sizes scaled down with the data: a skewed partition is one of 64 KB here
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    old = {k: spark.conf.get(k, None) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        n = 200_000
+        df = spark.range(n).repartition(8).selectExpr("if(id < 100, concat('k', id), 'hot') AS key", "id div 1000000 AS offset", "id AS v")
+        out = latest_per_key(df, "key", "offset").withColumn("p", F.spark_partition_id())
+        rows = [r["p"] for r in out.collect()]  # all columns, or pruning leaves nothing to split
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(rows) == n
+    largest = max(rows.count(p) for p in set(rows))
+    assert len(set(rows)) >= 4 and largest <= n // 2

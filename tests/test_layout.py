@@ -1,13 +1,6 @@
 import pytest
 
-from snapkeep.operators.layout import persisted, shape_output
-
-
-def test_persisted_is_scoped(spark):
-    df = spark.range(100)
-    with persisted(df) as cached:
-        assert cached.is_cached and cached.count() == 100
-    assert not df.is_cached
+from snapkeep.operators.layout import shape_output
 
 
 def test_shape_output_modes(spark):
@@ -21,3 +14,5 @@ def test_shape_output_modes(spark):
         shape_output(df, None, "coalesce")
     with pytest.raises(ValueError):
         shape_output(df, 2, "spread")
+    with pytest.raises(ValueError):
+        shape_output(df, 2, "none")

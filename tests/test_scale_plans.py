@@ -68,7 +68,7 @@ def test_hot_foreign_key_is_split_by_aqe(spark, hot):
 
 def test_hot_key_latest_shuffles_one_row_per_map_task(spark):
     entity = skewed_entity(spark).repartition(16)
-    out = latest_per_key(entity, "fk", "eid")
+    out = latest_per_key(entity, "fk", "eid", method="rank")
     plan = final_plan(out)
     assert out.count() == 60000 - 60000 // 3 + 1
     assert "WindowGroupLimit" in plan and "Partial" in plan

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapkeep.sinks.tables import write_table
+from snapkeep.plans import table_counts
 from snapkeep.sources import partition_inventory, read_csv, read_parquet, read_parquets, read_snapshot
 
 
@@ -117,11 +118,31 @@ def test_format_round_trips(spark, tmp):
         assert back.exceptAll(part).count() == 0 and part.exceptAll(back).count() == 0
 
 
-def test_csv_inference_sampling_keeps_every_row(spark, tmp):
-    spark.range(5000).selectExpr("id AS n", "CAST(id AS STRING) AS s").write.option("header", "true").csv(tmp + "/c")
-    df = read_csv(spark, tmp + "/c", infer_sampling_ratio=0.1)
-    assert df.count() == 5000
-    assert dict(df.dtypes)["n"] == "int"
+def test_csv_inference_reads_every_row(spark, tmp):
+    spark.range(5000).selectExpr("if(id = 4999, 'text', cast(id as string)) AS n").write.option("header", "true").csv(tmp + "/c")
+    df = read_csv(spark, tmp + "/c")
+    assert dict(df.dtypes)["n"] == "string"
+    assert df.where("n is null").count() == 0 and df.where("n = 'text'").count() == 1
+
+
+def test_table_counts_by_format(spark, tmp):
+    df = spark.range(10).selectExpr("id", "concat('x', id) AS s")
+    for fmt in ("csv", "json", "orc", "parquet"):
+        w = df.write.option("header", "true") if fmt == "csv" else df.write
+        w.format(fmt).save(f"{tmp}/{fmt}")
+        assert [r["n_rows"] for r in table_counts(spark, {fmt: f"{tmp}/{fmt}"}, fmt=fmt).collect()] == [10]
+
+
+def test_partition_count_caps_files(spark, tmp):
+    write_table(days_df(spark, [1] * 64, "a").repartition(8), tmp + "/t", mode="overwrite",
+                partition_by=["EXTRACT_DATE"], partitions=2)
+    inv = partition_inventory(spark.read.parquet(tmp + "/t"), ["extract_date"], sizes=True).collect()
+    assert inv[0]["n_rows"] == 64 and inv[0]["n_files"] <= 2 and inv[0]["n_bytes"] > 0
+
+
+def test_snapshot_day_in_basic_form(spark, tmp):
+    write_table(days_df(spark, [7], "a"), tmp + "/t", mode="overwrite", partition_by=["EXTRACT_DATE"])
+    assert read_snapshot(spark, tmp + "/t", "20240107").count() == 1
 
 
 def _failing_rerun(spark, days):

@@ -47,10 +47,10 @@ GRAM = 16
 #: Grams whose least one stands for a string of LENGTH bytes.
 GRAMS = LENGTH - GRAM + 1
 #: Text bytes behind one bucket of stretches, and behind one block of results.
-BUCKET_BYTES = 12 << 20
+BUCKET_BYTES = 16 << 20
 BLOCK_BYTES = 8 << 20
 #: Bytes scanned at once, and suffixes ordered at once.
-SEGMENT = 3 << 20
+SEGMENT = 4 << 20
 CHUNK = 1 << 20
 NO_ID = np.iinfo(np.int64).max
 
@@ -60,7 +60,13 @@ _TYPES = {"b": np.dtype("u1"), "i": np.dtype("<u4"), "q": np.dtype("<i8")}
 def pack(kinds: str, *arrays: np.ndarray) -> bytes:
     """Arrays of the types named in `kinds`, compressed together."""
     parts = [struct.pack("<q", len(a)) + np.ascontiguousarray(a, dtype=_TYPES[k]).tobytes() for k, a in zip(kinds, arrays)]
-    return zstandard.ZstdCompressor(level=3).compress(b"".join(parts))
+    return zstandard.ZstdCompressor(level=6).compress(b"".join(parts))
+
+
+def result_block(ids: np.ndarray, keys: np.ndarray, blocks: int) -> np.ndarray:
+    """The block of rows a row's result is made in; copies of a text spread out."""
+    h = mix(ids.astype(np.int64).view(U64) * U64(0x9E3779B97F4A7C15) + keys.astype(U64))
+    return (h % U64(blocks)).astype(np.int64)
 
 
 def unpack(kinds: str, data: bytes) -> list[np.ndarray]:
@@ -169,23 +175,23 @@ def _segments(texts: list[bytes]) -> Iterator[tuple[list[int], list[int], list[b
         yield owner, place, parts
 
 
-def _deal(buckets: int):
-    """(doc_id, key, block, text) to (bucket, stretches, block, marks)."""
+def _deal(buckets: int, blocks: int):
+    """(doc_id, key, text) to (bucket, stretches, block, marks)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).fill_null(int(NO_ID)).to_numpy()
             keys = batch.column(1).to_numpy()
-            blocks = batch.column(2).to_numpy()
-            texts = [t or b"" for t in batch.column(3).to_pylist()]
+            texts = [t or b"" for t in batch.column(2).to_pylist()]
             for owner, place, parts in _segments(texts):
-                yield _deal_batch(buckets, ids, keys, blocks, np.array(owner), np.array(place), parts)
+                yield _deal_batch(buckets, blocks, ids, keys, np.array(owner), np.array(place), parts)
 
     return run
 
 
-def _deal_batch(buckets, ids, keys, blocks, owner, place, parts) -> pa.RecordBatch:
+def _deal_batch(buckets, blocks, ids, keys, owner, place, parts) -> pa.RecordBatch:
     s = Stretches(parts)
+    block_of = result_block(ids, keys, blocks)
     doc = owner[s.segment]
     at = place[s.segment] + s.start - s.base[s.segment]
     content = s.content_keys()
@@ -197,11 +203,11 @@ def _deal_batch(buckets, ids, keys, blocks, owner, place, parts) -> pa.RecordBat
     later[order] = ids[doc[order]] > least
     rows = []
     gone = np.flatnonzero(later)
-    gone = gone[np.argsort(blocks[doc[gone]], kind="stable")]
-    for part in np.split(gone, np.flatnonzero(np.diff(blocks[doc[gone]])) + 1) if len(gone) else ():
+    gone = gone[np.argsort(block_of[doc[gone]], kind="stable")]
+    for part in np.split(gone, np.flatnonzero(np.diff(block_of[doc[gone]])) + 1) if len(gone) else ():
         d = doc[part]
-        marks = pack("qqii", ids[d], keys[d], at[part], at[part] + s.count[part] + LENGTH - 1)
-        block = int(blocks[d[0]])
+        marks = pack("qiii", ids[d], keys[d], at[part], at[part] + s.count[part] + LENGTH - 1)
+        block = int(block_of[d[0]])
         rows.append((block % buckets, None, block, marks))
     send = np.flatnonzero(~later)
     bucket = (mix(s.least[send].copy()) % U64(buckets)).astype(np.int64)
@@ -211,8 +217,11 @@ def _deal_batch(buckets, ids, keys, blocks, owner, place, parts) -> pa.RecordBat
         run = send[part]
         docs, local = np.unique(doc[run], return_inverse=True)
         text = gather(s.buf, s.start[run], s.count[run] + LENGTH - 1)
-        rows.append((int(bucket[part[0]]), pack("qqiiiibb", ids[docs], keys[docs], blocks[docs], local, at[run],
-                                                s.count[run], s.offset[run], text), None, None))
+        # the runs are in order of place: differences are small
+        same = np.diff(local, prepend=-1) == 0
+        gap = np.where(same, np.diff(at[run], prepend=0), at[run])
+        rows.append((int(bucket[part[0]]), pack("qiiibibb", ids[docs], keys[docs], np.diff(local, prepend=0), gap >> 8,
+                                                gap & 255, s.count[run], s.offset[run], text), None, None))
     columns = list(zip(*rows)) or [()] * 4
     return pa.RecordBatch.from_arrays(
         [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.int64(), pa.binary()))],
@@ -245,23 +254,35 @@ def suffix_fingerprints(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
     return h
 
 
-def _mark_bucket(table: pa.Table) -> pa.Table:
+def _unpack_stretches(data: bytes) -> tuple:
+    ids, keys, step, high, low, count, offset, text = unpack("qiiibibb", data)
+    step = step.astype(np.int64)
+    local = np.cumsum(step)
+    gap = (high.astype(np.int64) << 8) + low
+    total = np.cumsum(gap)
+    first = np.flatnonzero(np.concatenate([[True], step[1:] != 0]))
+    # places count from the text's start: each run of a text starts anew
+    before = (total - gap)[first]
+    at = total - np.repeat(before, np.diff(np.append(first, len(gap))))
+    return ids, keys, local, at, count.astype(np.int64), offset, text
+
+
+def _mark_bucket(table: pa.Table, blocks: int) -> pa.Table:
     """All rows of one bucket to marks: (block, marks)."""
     out_block = [b for b in table.column("block").to_pylist() if b is not None]
     out_marks = [m for m in table.column("marks").to_pylist() if m is not None]
-    parts: list[list[np.ndarray]] = [[] for _ in range(8)]
+    parts: list[list[np.ndarray]] = [[] for _ in range(7)]
     docs = 0
-    for data in table.column("stretches").to_pylist():
-        if data is not None:
-            got = unpack("qqiiiibb", data)
-            got[3] = got[3].astype(np.int64) + docs
+    for data in table.column("stretches"):
+        if data.is_valid:
+            got = list(_unpack_stretches(data.as_py()))
+            got[2] = got[2] + docs
             docs += len(got[0])
             for p, a in zip(parts, got):
                 p.append(a)
     if docs:
-        ids, keys, blocks, local, at, count, offset, buf = (np.concatenate(p) for p in parts)
+        ids, keys, local, at, count, offset, buf = (np.concatenate(p) for p in parts)
         del parts
-        count, at = count.astype(np.int64), at.astype(np.int64)
         begin = np.cumsum(count + LENGTH - 1) - (count + LENGTH - 1)
         w = _words_at(buf)
         anchor = mix(w[begin + offset] * U64(0x9E3779B97F4A7C15) + mix(w[begin + offset + 8]))
@@ -295,27 +316,33 @@ def _mark_bucket(table: pa.Table) -> pa.Table:
             end[:-1] &= ~hit[1:] | (step[1:] == 0)
             a, b = np.flatnonzero(new), np.flatnonzero(end)
             d = local[run[a]]
-            found.append((ids[d], keys[d], blocks[d], at[run[a]] + step[a], at[run[b]] + step[b] + LENGTH))
+            found.append((ids[d], keys[d], at[run[a]] + step[a], at[run[b]] + step[b] + LENGTH))
         if found:
-            ids, keys, blocks, a, b = (np.concatenate(x) for x in zip(*found))
-            order = np.argsort(blocks, kind="stable")
-            for part in np.split(order, np.flatnonzero(np.diff(blocks[order])) + 1):
+            ids, keys, a, b = (np.concatenate(x) for x in zip(*found))
+            block = result_block(ids, keys, blocks)
+            order = np.argsort(block, kind="stable")
+            for part in np.split(order, np.flatnonzero(np.diff(block[order])) + 1):
                 if len(part):
-                    out_block.append(int(blocks[part[0]]))
-                    out_marks.append(pack("qqii", ids[part], keys[part], a[part], b[part]))
+                    out_block.append(int(block[part[0]]))
+                    out_marks.append(pack("qiii", ids[part], keys[part], a[part], b[part]))
     return pa.table({"block": pa.array(out_block, pa.int64()), "marks": pa.array(out_marks, pa.binary())})
 
 
-def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts compressed for their one shuffle."""
-    press = zstandard.ZstdCompressor(level=3)
-    for batch in batches:
-        for lo in range(0, batch.num_rows, 1000):
-            part = batch.slice(lo, 1000)
-            texts = pa.array([press.compress(t or b"") for t in part.column(3).to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [*part.columns[:3], texts], names=["doc_id", "key", "block", "packed"]
-            )
+def _squeeze(blocks: int):
+    """Texts compressed for their one shuffle, with their block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 1000):
+                part = batch.slice(lo, 1000)
+                block = result_block(part.column(0).fill_null(int(NO_ID)).to_numpy(), part.column(1).to_numpy(), blocks)
+                texts = pa.array([press.compress(t or b"") for t in part.column(2).to_pylist()], pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:2], pa.array(block), texts], names=["doc_id", "key", "block", "packed"]
+                )
+
+    return run
 
 
 def merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -332,7 +359,7 @@ RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 s
 
 def _finish(with_text: bool):
     def run(texts: pa.Table, marks: pa.Table) -> pa.Table:
-        got = [unpack("qqii", m) for m in marks.column("marks").to_pylist()]
+        got = [unpack("qiii", m) for m in marks.column("marks").to_pylist()]
         spans: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
         if got:
             ids, keys, a, b = (np.concatenate(x) for x in zip(*got))
@@ -364,15 +391,19 @@ def remove_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     with `with_text`, the remaining bytes (`kept`)."""
     total = text_bytes(docs)
     buckets, blocks = bucket_count(total, BUCKET_BYTES), bucket_count(total, BLOCK_BYTES)
+    # the key tells apart different texts of rows that repeat a doc_id
     rows = base_docs(docs).select(
-        "doc_id", F.xxhash64("text").alias("key"),
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block"), F.col("text").cast("binary").alias("text"),
+        "doc_id", F.pmod(F.xxhash64("text"), F.lit(1 << 32)).alias("key"), F.col("text").cast("binary").alias("text")
     )
+
+    def mark(table: pa.Table) -> pa.Table:
+        return _mark_bucket(table, blocks)
+
     marks = (
-        rows.mapInArrow(_deal(buckets), "bucket long, stretches binary, block long, marks binary")
-        .groupBy("bucket").applyInArrow(_mark_bucket, "block long, marks binary")
+        rows.mapInArrow(_deal(buckets, blocks), "bucket long, stretches binary, block long, marks binary")
+        .groupBy("bucket").applyInArrow(mark, "block long, marks binary")
     )
-    texts = rows.mapInArrow(_squeeze, "doc_id long, key long, block long, packed binary")
+    texts = rows.mapInArrow(_squeeze(blocks), "doc_id long, key long, block long, packed binary")
     schema = RESULT + (", kept binary" if with_text else "")
     return texts.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(_finish(with_text), schema)
 

@@ -1,6 +1,9 @@
 """Connected components of a distributed edge list.
 
-Alternating star contraction: a large-star step links every larger neighbour
+First every block of at most BLOCK_EDGES edges is contracted by its own task
+to stars (least node of each local component); the number of blocks follows
+the number of edges, so a task's share is bounded.  One block is then done;
+several are joined by alternating star contraction: a large-star step links every larger neighbour
 of a node to the smallest node it knows, a small-star step does so for its
 smaller neighbours.  Edges only ever move towards smaller nodes, and after a
 logarithmic number of rounds each component is a star around its least node.
@@ -11,12 +14,48 @@ written to the shared checkpoint folder.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapkeep.llm.frames import cut
 
 
+#: Edges that one task contracts at most (16 bytes each).
+BLOCK_EDGES = 1_000_000
+
+
+def local_stars(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, least node of its component) for all but the least nodes."""
+    nodes, index = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = index[:len(u)], index[len(u):]
+    label = np.arange(len(nodes))
+    while True:
+        la, lb = label[a], label[b]
+        if (la == lb).all():
+            break
+        low = np.minimum(la, lb)
+        np.minimum.at(label, la, low)
+        np.minimum.at(label, lb, low)
+        while (label[label] != label).any():
+            label = label[label]
+    far = np.flatnonzero(label != np.arange(len(nodes)))
+    return nodes[far], nodes[label[far]]
+
+
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    us, vs = [], []
+    for batch in batches:
+        us.append(batch.column(0).to_numpy())
+        vs.append(batch.column(1).to_numpy())
+    if us:
+        u, v = local_stars(np.concatenate(us), np.concatenate(vs))
+        yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+
+
 def _least(edges: DataFrame) -> DataFrame:
     """edges(u, v) with the least of u and its neighbours as column m."""
     m = edges.groupBy("u").agg(F.min("v").alias("m"))
@@ -38,8 +77,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Nodes without an edge do not appear; self-loops and repeated edges are
     allowed; no edges give an empty table.
     """
-    edges = cut(edges.select("u", "v").where("u <> v").distinct(), "edges")
-    mark = _sum(edges)
+    edges = edges.select("u", "v").where("u <> v")
+    blocks = -(-edges.count() // BLOCK_EDGES)
+    edges = cut(edges.repartition(max(1, blocks)).mapInArrow(_contract, "u long, v long"), "edges")
+    mark = _sum(edges) if blocks > 1 else (0, None)
     while mark[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()

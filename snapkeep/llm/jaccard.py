@@ -3,11 +3,12 @@
 Documents with equal sets form one class; classes are joined.
 
 1. Every set is ordered by a global rule (frequent shingles last, then by
-   hash); two sets of similarity 0.8 share a shingle among the first
-   n - ceil(0.8 n) + 1 of each, so only classes sharing one of these meet.
+   hash); two sets of similarity 0.8 share at least l shingles among the first
+   n - ceil(0.8 n) + l of each, for every l.  With l = 1 + n // 32 only classes
+   sharing that many meet; l of the smaller set holds for the pair.
 2. Classes sharing a shingle form a tile, sorted by set size; within a tile
    only sizes within the ratio 0.8 are compared (size bands).
-3. Each set has a bitmap signature of about one to two bits per shingle, every
+3. Each set has a bitmap signature of four to eight bits per shingle, every
    shingle flipping one hashed bit.  Bits that differ bound the symmetric
    difference from below, so the overlap from above; pairs that cannot reach
    0.8 are dropped.
@@ -33,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,10 +45,14 @@ from snapkeep.llm.wordhash import U64, Words, mix, shingles, slices
 SHINGLE = 5
 #: Similarity as a fraction of 100.
 PERCENT = 80
-#: A shingle of more classes than this counts as hot.  The list of hot
-#: shingles steers the order only (any order gives the same result), and its
-#: length is bounded: the most frequent MAX_HOT.
+#: A tile of more classes than this goes to the path for hot shingles.
 HOT_DF = 256
+#: Shingles seen in more documents than this, counted over those that a chunk
+#: of a task saw at least LOCAL_DF times, come last in the order.  The list
+#: steers the order only (any order gives the same result) and is bounded:
+#: the most frequent MAX_HOT.
+LIST_DF = 64
+LOCAL_DF = 3
 MAX_HOT = 200_000
 #: Rows of a block when classes sharing a hot shingle are compared.
 BLOCK = 2048
@@ -65,14 +71,19 @@ def needed_overlap(total: np.ndarray) -> np.ndarray:
     return -(-PERCENT * total // (100 + PERCENT))
 
 
+def least_shared(n):
+    """How many shingles of the prefix a set of n must share with a match."""
+    return 1 + n // 32
+
+
 def prefix_length(n: int) -> int:
-    return n - -(-PERCENT * n // 100) + 1 if n else 0
+    return min(n, n - -(-PERCENT * n // 100) + least_shared(n))
 
 
 def bitmap_words(n: int) -> int:
     """64-bit words of the bitmap of a set of n: a power of two, 4 or more."""
     words = 4
-    while words * 64 < n:
+    while words * 64 < 4 * n:
         words *= 2
     return words
 
@@ -114,12 +125,12 @@ def hot_shingles(docs: DataFrame) -> np.ndarray:
     """The most frequent shingles (sorted hashes), at most MAX_HOT.
 
     Tasks count all shingles of their documents in chunks and send those seen
-    more than once in a chunk; the sums decide.
+    LOCAL_DF times or more; the sums decide.
     """
 
     def flush(parts: list[np.ndarray]) -> pa.RecordBatch:
         values, n = np.unique(np.concatenate(parts), return_counts=True)
-        often = n >= 4
+        often = n >= LOCAL_DF
         return pa.RecordBatch.from_arrays(
             [pa.array(values[often].view(np.int64)), pa.array(n[often])], names=["token", "n"]
         )
@@ -138,7 +149,7 @@ def hot_shingles(docs: DataFrame) -> np.ndarray:
 
     rows = (
         docs.select("text").mapInArrow(run, "token long, n long")
-        .groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") > HOT_DF)
+        .groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") > LIST_DF)
         .orderBy(F.desc("n"), "token").limit(MAX_HOT).select("token").collect()
     )
     return np.sort(np.array([r["token"] for r in rows], dtype=np.int64).view(U64))
@@ -210,8 +221,9 @@ def _pack_postings(buckets: int):
 
 
 def _group_pairs(token: np.ndarray, key: np.ndarray, size: np.ndarray):
-    """Pairs of classes sharing a token within the size band, each once, and
-    the postings of tokens shared by more than HOT_DF classes."""
+    """Pairs of classes sharing a token within the size band, as (a, b, shared
+    tokens needed, shared tokens here), and the postings of tokens shared by
+    more than HOT_DF classes."""
     order = np.lexsort((key, size, token))
     token, key, size = token[order], key[order], size[order]
     fresh = np.ones(len(token), dtype=bool)
@@ -233,9 +245,10 @@ def _group_pairs(token: np.ndarray, key: np.ndarray, size: np.ndarray):
         i, j = i[ok], j[ok]
         small = i
         a, b = np.minimum(key[i], key[j]), np.maximum(key[i], key[j])
-        found.append(np.stack([a, b], axis=1))
-    pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), dtype=np.int64)
-    return pairs, token[large], key[large], size[large]
+        found.append(np.stack([a, b, least_shared(size[i])], axis=1))
+    pairs, shared = np.unique(np.concatenate(found), axis=0, return_counts=True) if found else (
+        np.zeros((0, 3), dtype=np.int64), np.zeros(0, dtype=np.int64))
+    return np.column_stack([pairs, shared]), token[large], key[large], size[large]
 
 
 def _bucket_pairs(table: pa.Table) -> pa.Table:
@@ -251,7 +264,8 @@ def _bucket_pairs(table: pa.Table) -> pa.Table:
         "a": pa.concat_arrays([pa.array(pairs[:, 0]), pa.array(k)]),
         "b": pa.concat_arrays([pa.array(pairs[:, 1]), pa.nulls(len(t), pa.int64())]),
         "token": pa.concat_arrays([none, pa.array(t.view(np.int64))]),
-        "n": pa.concat_arrays([none, pa.array(s)]),
+        "n": pa.concat_arrays([pa.array(pairs[:, 2]), pa.array(s)]),
+        "shared": pa.concat_arrays([pa.array(pairs[:, 3]), pa.nulls(len(t), pa.int64())]),
     })
 
 
@@ -307,18 +321,35 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.mapInArrow(_link_batches, "a long, b long").select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
+def _compress_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    squeeze = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        for at in range(0, batch.num_rows, 1000):
+            part = batch.slice(at, 1000)
+            texts = [squeeze.compress(t) for t in _encoded(part.column(1))]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.binary())], names=["doc_id", "packed"])
+
+
 def class_sets(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """Shingle arrays of the classes `keys(key, doc_id)`, from one document each."""
-    some = docs.join(keys, "doc_id").select("key", "text")
+    """Shingle arrays of the classes `keys(key, doc_id)`, from one document each.
+
+    Texts travel compressed, as this join moves all of them.
+    """
+    packed = docs.where("doc_id is not null").mapInArrow(_compress_batches, "doc_id long, packed binary")
+    some = packed.join(keys, "doc_id").select("key", "packed")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        expand = zstandard.ZstdDecompressor()
         for batch in batches:
-            key = batch.column(0).to_numpy()
-            rows = [(int(k), s.tobytes()) for k, s in zip(key, doc_sets(_encoded(batch.column(1)))) if set_key(s) == k]
-            columns = list(zip(*rows)) or [(), ()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.binary())], names=["key", "shingles"]
-            )
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                texts = [expand.decompress(z) for z in part.column(1).to_pylist()]
+                pairs = zip(part.column(0).to_pylist(), doc_sets(texts))
+                rows = [(k, s.tobytes()) for k, s in pairs if set_key(s) == k]
+                columns = list(zip(*rows)) or [(), ()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.binary())], names=["key", "shingles"]
+                )
 
     return some.mapInArrow(run, "key long, shingles binary").dropDuplicates(["key"])
 
@@ -340,11 +371,13 @@ def _neighbour_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
 
 
 def _block_pairs(table: pa.Table) -> pa.Table:
-    """One pair of blocks: bitmap survivors of different components.
+    """One pair of blocks: bitmap survivors of different components, of each
+    row the `nearest` ones only, where that is given.
 
     Rows are ordered by size within each side and compared row by row with
     the run of the other side inside the size band.
     """
+    nearest = table.column("nearest")[0].as_py()
     side = table.column("side").to_numpy()
     key, n, root = (table.column(c).to_numpy() for c in ("key", "n", "root"))
     maps = table.column("bitmap").to_pylist()
@@ -365,14 +398,23 @@ def _block_pairs(table: pa.Table) -> pa.Table:
         if len(y):
             total = n[x] + n[y]
             differ = np.bitwise_count(rows[y] ^ rows[x]).sum(axis=1, dtype=np.int64)
-            y = y[(total - differ) // 2 >= needed_overlap(total)]
+            ok = (total - differ) // 2 >= needed_overlap(total)
+            y = y[ok]
+            if nearest and len(y) > nearest:
+                y = y[np.argsort(differ[ok], kind="stable")[:nearest]]
             found += [(min(key[x], k), max(key[x], k)) for k in key[y]]
     pairs = np.unique(np.array(found, dtype=np.int64).reshape(-1, 2), axis=0)
     return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
 
-def hot_cross_pairs(hot: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
-    """Possible pairs sharing a hot shingle whose components still differ."""
+def hot_cross_pairs(hot: DataFrame, roots: DataFrame, classes: DataFrame, nearest: int = 0) -> DataFrame:
+    """Possible pairs sharing a hot shingle whose components still differ.
+
+    With `nearest`, only so many for each row, through an eighth of the
+    shingles: enough to join most components before the full comparison.
+    """
+    if nearest:
+        hot = hot.where("pmod(xxhash64(token), 8) = 0")
     rows = hot.join(roots, F.col("key") == F.col("node"), "left").select(
         "token", "key", "n", F.coalesce("root", "key").alias("root")
     )
@@ -385,7 +427,7 @@ def hot_cross_pairs(hot: DataFrame, roots: DataFrame, classes: DataFrame) -> Dat
     spread = spread.select(
         "token", "key", "n", "root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
         F.when(F.col("block") <= F.col("other"), 0).otherwise(1).alias("side"),
-    ).join(classes.select("key", "bitmap"), "key")
+    ).join(classes.select("key", "bitmap"), "key").withColumn("nearest", F.lit(nearest))
     return spread.groupBy("token", "i", "j").applyInArrow(_block_pairs, "a long, b long").distinct()
 
 
@@ -404,7 +446,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     shared = cut(
         real.select("key", "n", "rare").mapInArrow(
             _pack_postings(buckets), "bucket long, tokens binary, owners binary, keys binary, sizes binary"
-        ).groupBy("bucket").applyInArrow(_bucket_pairs, "a long, b long, token long, n long"),
+        ).groupBy("bucket").applyInArrow(_bucket_pairs, "a long, b long, token long, n long, shared long"),
         "jaccard-shared",
     )
     hot_rows = cut(
@@ -417,7 +459,9 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         hot_rows.select("token", "n", "key").repartitionByRange("token", "n", "key").sortWithinPartitions("token", "n", "key")
         .mapInArrow(_neighbour_batches, "a long, b long")
     )
-    pairs = shared.where("b is not null").select("a", "b").unionByName(near).distinct()
+    # a pair that also shares hot shingles may fall short here and is found by those
+    met = shared.where("b is not null").groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.max("n").alias("need"))
+    pairs = met.where("shared >= need").select("a", "b").unionByName(near).distinct()
     pairs = cut(bounded(pairs, classes), "jaccard-pairs")
     wanted = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).unionByName(
         hot_rows.select("key")
@@ -425,9 +469,12 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     sets = cut(class_sets(docs, classes.join(wanted, "key", "left_semi").select("key", "doc_id")), "jaccard-sets")
     edges = cut(linked(pairs, sets), "jaccard-links")
     roots = cut(connected_components(edges), "jaccard-roots")
-    more = cut(linked(hot_cross_pairs(hot_rows, roots, classes), sets), "jaccard-links")
-    if not more.isEmpty():
-        roots = cut(connected_components(edges.unionByName(more)), "jaccard-roots")
+    # near links first, so that few components are left for the full comparison
+    for nearest in (4, 0):
+        more = cut(linked(hot_cross_pairs(hot_rows, roots, classes, nearest), sets), "jaccard-links")
+        if not more.isEmpty():
+            edges = edges.unionByName(more)
+            roots = cut(connected_components(edges), "jaccard-roots")
     rows = feats.select("doc_id", "n", "key").join(roots, F.col("key") == F.col("node"), "left")
     rows = rows.select("doc_id", "n", "key", F.coalesce("root", "key").alias("root"))
     least = rows.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))

@@ -31,7 +31,7 @@ from __future__ import annotations
 
 import hashlib
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -158,7 +158,7 @@ def gather(buf: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return buf[np.repeat(shift, size) + np.arange(size.sum())]
 
 
-def _segments(texts: list[bytes]) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
+def _segments(texts: Iterable[bytes]) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
     """Batches of (text, place in it, bytes); long texts overlap by LENGTH - 1."""
     owner, place, parts, size = [], [], [], 0
     for i, t in enumerate(texts):
@@ -182,7 +182,9 @@ def _deal(buckets: int, blocks: int):
         for batch in batches:
             ids = batch.column(0).fill_null(int(NO_ID)).to_numpy()
             keys = batch.column(1).to_numpy()
-            texts = [t or b"" for t in batch.column(2).to_pylist()]
+            column = batch.column(2)
+            # texts become Python objects a few at a time
+            texts = (t or b"" for lo in range(0, len(column), 500) for t in column.slice(lo, 500).to_pylist())
             for owner, place, parts in _segments(texts):
                 yield _deal_batch(buckets, blocks, ids, keys, np.array(owner), np.array(place), parts)
 

@@ -121,6 +121,7 @@ def test_jaccard_edge_cases(ship, edge_docs):
 def test_jaccard_hot_groups(ship, monkeypatch):
     """Groups larger than the hot limit, with a chain of near copies and a shared passage."""
     monkeypatch.setattr(jaccard, "HOT_DF", 6)
+    monkeypatch.setattr(jaccard, "LIST_DF", 6)
     monkeypatch.setattr(jaccard, "BLOCK", 8)
     rnd = random.Random(3)
     word = lambda: "".join(rnd.choices("abcdefgh", k=5))
@@ -147,6 +148,30 @@ def test_jaccard_on_table_and_stage(ship, small):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted({c for _, _, c in want})
 
 
+@pytest.mark.parametrize("block", [1_000_000, 7])
+def test_components(ship, monkeypatch, block):
+    from snapkeep.llm import components
+
+    monkeypatch.setattr(components, "BLOCK_EDGES", block)
+    rnd = random.Random(4)
+    edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(20)] + [(200, 200)]
+    edges += [(300 + rnd.randrange(30), 300 + rnd.randrange(30)) for _ in range(25)]
+    df = ship.createDataFrame([e if i % 2 else e[::-1] for i, e in enumerate(edges)], "u long, v long")
+    got = {r["node"]: r["root"] for r in components.connected_components(df).collect()}
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for u, v in edges:
+        a, b = find(u), find(v)
+        parent[max(a, b)] = min(a, b)
+    assert got == {x: find(x) for u, v in edges if u != v for x in (u, v)}
+    assert components.connected_components(df.where("false")).count() == 0
+
+
 def test_bitmap_bound_never_drops_a_link():
     rng = np.random.default_rng(1)
     for n in (5, 60, 300, 1500):

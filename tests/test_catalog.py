@@ -43,3 +43,9 @@ def test_entry_smoke(spark):
     df = entry(spark)
     assert df.count() > 0
     assert df.columns[0] == "offset" and df.columns[-1] == "extract_date"
+
+
+def test_plan_report_covers_every_query():
+    with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), encoding="utf-8") as f:
+        report = f.read()
+    assert [q for q in QUERIES if q not in report] == []

@@ -8,12 +8,11 @@ bytes share the least 16-byte gram (by hash) of these 50 bytes, so suffixes
 are dealt to buckets by that gram, and everything the longest-previous-factor
 array needs up to length 50 lies in one bucket.  Consecutive suffixes with the
 same least gram travel as one stretch of text, about 3.6 bytes for each byte
-of the corpus before compression.  In a bucket the suffixes are put in order
-of their first 50 bytes (by fingerprint) and position; neighbours of equal
-rank have a common prefix of 50 or more, and walking to the previous smaller
-position in that order (the next smaller one never has a longer common prefix
-there, as ties are in order of position) tells whether the longest previous
-factor reaches 50.  Whole suffix positions never meet in one place.
+of the corpus before compression.  In a bucket the suffixes are put in
+lexicographic order of their first 50 bytes, then of document; common prefixes
+of neighbours and the previous and next smaller positions in that order give
+the longest previous factor, and a suffix whose factor reaches 50 starts a
+repeat.  Whole suffix positions never meet in one place.
 
 Skew: a stretch that occurs several times in a task's batch is sent once, for
 the least doc_id; the others are removed there and then, as an earlier
@@ -231,31 +230,60 @@ def _deal_batch(buckets, blocks, ids, keys, owner, place, parts) -> pa.RecordBat
     )
 
 
-def repeated_suffixes(fingerprint: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """Which suffixes have a longest previous factor of LENGTH or more.
-
-    In the order (first LENGTH bytes, document), equal neighbours have common
-    prefixes of at least LENGTH; the first of them is the previous smaller
-    position of every later one whose document is larger.
+def suffix_order(buf: np.ndarray, at: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The suffixes from `at` in lexicographic order of their first LENGTH
+    bytes, ties by document, and the common prefix of each with the one before
+    it in that order (at most LENGTH, 0 for the first)."""
+    w = _words_at(buf)
+    places = (*range(0, LENGTH - 7, 8), LENGTH - 8)
+    # the last word overlaps the one before it: equal bytes do not change the order
+    words = [w[at + k] for k in places]
+    order = np.lexsort((doc, *(x.byteswap() for x in reversed(words))))
+    common = np.zeros(len(order), dtype=np.int64)
+    same = np.arange(1, len(order))
+    for k, x in zip(places, words):
+        differ = x[order[same]] ^ x[order[same - 1]]
+        # whole bytes below the lowest differing bit
+        bytes_equal = np.bitwise_count((differ & (~differ + U64(1))) - U64(1)).astype(np.int64) >> 3
+        common[same] = k + bytes_equal
+        same = same[differ == 0]
+    return order, common
+
+
+def smaller_neighbour(doc: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Common prefix of every suffix with the previous one in suffix order of a
+    smaller document, 0 where it is shorter than LENGTH.
+
+    Candidates jump over suffixes of no smaller document by the candidates of
+    those, all at once, so chains of equal documents take few rounds; a chain
+    ends where its common prefix falls below LENGTH.
     """
-    order = np.lexsort((doc, fingerprint))
-    first = np.ones(len(order), dtype=bool)
-    first[1:] = fingerprint[order][1:] != fingerprint[order][:-1]
-    earliest = doc[order[first]][np.cumsum(first) - 1]
-    out = np.zeros(len(order), dtype=bool)
-    out[order] = earliest < doc[order]
+    n = len(doc)
+    before = np.arange(-1, n - 1)
+    reach = common.copy()
+    open_ = np.flatnonzero(reach >= LENGTH)
+    while len(open_ := open_[doc[before[open_]] >= doc[open_]]):
+        over = before[open_]
+        reach[open_], before[open_] = np.minimum(reach[open_], reach[over]), before[over]
+        open_ = open_[reach[open_] >= LENGTH]
+    return np.where(reach >= LENGTH, reach, 0)
+
+
+def longest_previous_factor(buf: np.ndarray, at: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Longest previous factor of each suffix, up to LENGTH: the longer common
+    prefix with its previous and its next smaller position in suffix order,
+    where an earlier document is a smaller position; 0 where it is shorter
+    than LENGTH, as such matches need not lie in one bucket."""
+    order, common = suffix_order(buf, at, doc)
+    docs = doc[order]
+    previous = smaller_neighbour(docs, common)
+    # the next one is the previous one of the reversed order
+    following = smaller_neighbour(docs[::-1], np.append(common[1:], 0)[::-1])[::-1]
+    out = np.empty(len(order), dtype=np.int64)
+    out[order] = np.maximum(previous, following)
     return out
 
 
-def suffix_fingerprints(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """64-bit fingerprints of the LENGTH bytes from each place."""
-    w = _words_at(buf)
-    h = np.full(len(at), 1, dtype=U64)
-    for k in (*range(0, LENGTH - 7, 8), LENGTH - 8):
-        h = mix(h * U64(0x9E3779B97F4A7C15) + w[at + k])
-    return h
-
-
 def _unpack_stretches(data: bytes) -> tuple:
     ids, keys, step, high, low, count, offset, text = unpack("qiiibibb", data)
     step = step.astype(np.int64)
@@ -310,7 +338,7 @@ def _mark_bucket(table: pa.Table, blocks: int) -> pa.Table:
                 continue
             run = np.repeat(part, count[part])
             step = np.arange(len(run)) - np.repeat(np.cumsum(count[part]) - count[part], count[part])
-            hit = repeated_suffixes(suffix_fingerprints(buf, begin[run] + step), ids[local[run]])
+            hit = longest_previous_factor(buf, begin[run] + step, ids[local[run]]) >= LENGTH
             # consecutive hits of a stretch are one mark
             new = hit.copy()
             new[1:] &= ~hit[:-1] | (step[1:] == 0)

@@ -209,6 +209,31 @@ def test_repeats_in_small_segments_and_on_table(ship, edge_docs, small, monkeypa
     assert got == {d: v for (d, _), v in brute.repeats(small).items()}
 
 
+def test_longest_previous_factor():
+    rnd = random.Random(6)
+    text = bytes(rnd.choices(b"ab\x00\xff", k=400)) + b"a" * 300
+    parts = [text[i:i + 120] for i in (rnd.randrange(580) for _ in range(40))]
+    buf = np.frombuffer(b"".join(parts), dtype=np.uint8)
+    at = np.concatenate([np.arange(120 * i, 120 * i + 71) for i in range(40)])
+    doc = np.repeat(np.array([rnd.randrange(12) for _ in parts]), 71)
+    raw = bytes(buf)
+    strings = [raw[a:a + repeats.LENGTH] for a in at]
+    order, common = repeats.suffix_order(buf, at, doc)
+    assert [(strings[i], doc[i]) for i in order] == sorted((x, d) for x, d in zip(strings, doc))
+    for k in range(1, len(order)):
+        x, y = strings[order[k - 1]], strings[order[k]]
+        assert common[k] == next((i for i in range(50) if x[i] != y[i]), 50)
+    least = {}
+    for x, d in zip(strings, doc):
+        least[x] = min(least.get(x, d), d)
+    want = [50 if least[x] < d else 0 for x, d in zip(strings, doc)]
+    assert repeats.longest_previous_factor(buf, at, doc).tolist() == want
+    # any order of documents: both neighbours are needed
+    docs, common = np.array([3, 1, 2, 2, 0]), np.array([0, 50, 50, 50, 50])
+    assert repeats.smaller_neighbour(docs, common).tolist() == [0, 0, 50, 50, 0]
+    assert repeats.smaller_neighbour(docs, np.array([0, 50, 50, 49, 50])).tolist() == [0, 0, 50, 0, 0]
+
+
 # ---------------------------------------------------------------- decontamination
 
 

@@ -50,7 +50,7 @@ BUCKET_BYTES = 16 << 20
 BLOCK_BYTES = 8 << 20
 #: Bytes scanned at once, and suffixes ordered at once.
 SEGMENT = 4 << 20
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 NO_ID = np.iinfo(np.int64).max
 
 _TYPES = {"b": np.dtype("u1"), "i": np.dtype("<u4"), "q": np.dtype("<i8")}
@@ -233,12 +233,33 @@ def _deal_batch(buckets, blocks, ids, keys, owner, place, parts) -> pa.RecordBat
 def suffix_order(buf: np.ndarray, at: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The suffixes from `at` in lexicographic order of their first LENGTH
     bytes, ties by document, and the common prefix of each with the one before
-    it in that order (at most LENGTH, 0 for the first)."""
+    it in that order (at most LENGTH, 0 for the first).
+
+    Ordered by eight bytes after eight: only groups that agree so far and
+    differ later are put in order again, repeats are not.
+    """
     w = _words_at(buf)
     places = (*range(0, LENGTH - 7, 8), LENGTH - 8)
     # the last word overlaps the one before it: equal bytes do not change the order
     words = [w[at + k] for k in places]
-    order = np.lexsort((doc, *(x.byteswap() for x in reversed(words))))
+    order = np.lexsort((doc, words[0].byteswap()))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = words[0][order[1:]] != words[0][order[:-1]]
+    mixed = np.arange(len(order))
+    for k in range(1, len(words)):
+        tied = mixed[~new[mixed]]
+        here, before = order[tied], order[tied - 1]
+        differ = np.zeros(len(tied), dtype=bool)
+        for x in words[k:]:
+            differ |= x[here] != x[before]
+        group = np.cumsum(new)
+        again = np.zeros(len(order) + 1, dtype=bool)
+        again[group[tied[differ]]] = True
+        mixed = np.flatnonzero(again[group])
+        x = words[k][order[mixed]].byteswap()
+        sort = np.lexsort((x, group[mixed]))
+        order[mixed], x = order[mixed][sort], x[sort]
+        new[mixed[1:]] |= x[1:] != x[:-1]
     common = np.zeros(len(order), dtype=np.int64)
     same = np.arange(1, len(order))
     for k, x in zip(places, words):

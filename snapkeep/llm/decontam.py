@@ -47,6 +47,8 @@ REPETITIONS = math.ceil(math.log(1 - TARGET_RECALL) / math.log(1 - (1 - WORST_DI
 #: Items are searched in blocks of at most this many words, so what a task
 #: holds of the benchmark is bounded whatever its size.
 BLOCK_WORDS = 500_000
+#: Symbols of walks held at once (8 bytes each).
+WALK_SYMBOLS = 6_000_000
 
 OUT = "doc_id long, item_id long, distance long, start_word long, end_word long"
 
@@ -178,8 +180,10 @@ def find_leaks(texts: list[bytes], index: ItemIndex) -> list[tuple[int, int, int
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         for i in np.unique(cand[:, 0]):
             mine = cand[cand[:, 0] == i]
-            for part in range(0, len(mine), 2000):
-                _check_windows(words, index, int(i), mine[part:part + 2000], best)
+            # walks of long items take more room a window: fewer at once
+            step = max(1, WALK_SYMBOLS // (2 * REPETITIONS * int(index.length[i])))
+            for part in range(0, len(mine), step):
+                _check_windows(words, index, int(i), mine[part:part + step], best)
         out += [(lo + t, index.ids[i], *v) for (t, i), v in sorted(best.items())]
     return out
 

@@ -19,8 +19,9 @@ they are used only by sets made of little else (large groups of near copies).
 Their tiles never meet in one task: neighbours by size are compared first,
 their links give components, and only members of *different* components are
 compared after that, in blocks of a bounded size, every block pair a task's
-group of its own.  No pair between different texts is lost for the
-components; pairs inside one component are not expanded.
+group of its own; the blocks of a shingle's largest component meet those of
+the other components, not each other.  No pair between different texts is
+lost for the components; pairs inside one component are not expanded.
 
 Defined cases: null or empty texts have no set, link with nothing and are
 their own component; a row with a null doc_id gets the least id of its
@@ -418,12 +419,24 @@ def hot_cross_pairs(hot: DataFrame, roots: DataFrame, classes: DataFrame, neares
     rows = hot.join(roots, F.col("key") == F.col("node"), "left").select(
         "token", "key", "n", F.coalesce("root", "key").alias("root")
     )
-    # shingles whose classes are all in one component are done
-    open_ = rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("m"))
-    open_ = open_.where("lo <> hi").select("token", F.ceil(F.col("m") / BLOCK).cast("long").alias("blocks"))
-    rows = rows.join(open_, "token").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")))
+    # shingles whose classes are all in one component are done; of the others the
+    # largest component's rows need no comparison among themselves
+    sizes = rows.groupBy("token", "root").agg(F.count("*").alias("m"))
+    open_ = sizes.groupBy("token").agg(
+        F.max(F.struct("m", "root")).alias("top"), F.sum("m").alias("m"), F.count("*").alias("roots")
+    ).where("roots > 1").select(
+        "token", F.col("top.root").alias("top"),
+        F.ceil((F.col("m") - F.col("top.m")) / BLOCK).cast("long").alias("others"),
+        F.ceil(F.col("top.m") / BLOCK).cast("long").alias("tops"),
+    )
+    # blocks of other rows come first, then those of the largest component
+    in_top = F.col("root") == F.col("top")
+    rows = rows.join(open_, "token").withColumn(
+        "block", F.when(in_top, F.col("others") + F.pmod(F.xxhash64("key"), F.col("tops")))
+        .otherwise(F.pmod(F.xxhash64("key"), F.col("others")))
+    ).withColumn("partners", F.when(in_top, F.col("others")).otherwise(F.col("others") + F.col("tops")))
     # every row goes to the block pairs it belongs to, on the side it takes there
-    spread = rows.select("token", "key", "n", "root", "block", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("other"))
+    spread = rows.select("token", "key", "n", "root", "block", F.explode(F.expr("sequence(0L, partners - 1)")).alias("other"))
     spread = spread.select(
         "token", "key", "n", "root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
         F.when(F.col("block") <= F.col("other"), 0).otherwise(1).alias("side"),

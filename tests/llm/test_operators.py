@@ -148,6 +148,19 @@ def test_jaccard_on_table_and_stage(ship, small):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted({c for _, _, c in want})
 
 
+def test_hot_pairs_leave_out_the_largest_component(ship, monkeypatch):
+    """All pairs of different components meet, rows of the largest one only with others."""
+    monkeypatch.setattr(jaccard, "BLOCK", 4)
+    values = np.arange(1, 41, dtype=np.uint64)
+    root_of = {k: 0 if k < 30 else (30 if k < 37 else k) for k in range(40)}
+    maps = bytearray(jaccard.bitmap(values))
+    classes = ship.createDataFrame([(k, 40, maps) for k in root_of], "key long, n long, bitmap binary")
+    hot = ship.createDataFrame([(7, k, 40) for k in root_of] + [(8, k, 40) for k in range(5)], "token long, key long, n long")
+    roots = ship.createDataFrame(list(root_of.items()), "node long, root long")
+    got = {tuple(r) for r in jaccard.hot_cross_pairs(hot, roots, classes).collect()}
+    assert got == {(a, b) for a in root_of for b in root_of if a < b and root_of[a] != root_of[b]}
+
+
 @pytest.mark.parametrize("block", [1_000_000, 7])
 def test_components(ship, monkeypatch, block):
     from snapkeep.llm import components

@@ -49,6 +49,9 @@ REPETITIONS = math.ceil(math.log(1 - TARGET_RECALL) / math.log(1 - (1 - WORST_DI
 BLOCK_WORDS = 500_000
 #: Symbols of walks held at once (8 bytes each).
 WALK_SYMBOLS = 6_000_000
+#: Pairs of equal grams of texts and items held at once; one text and one item
+#: that share more are held whole.
+SHARED_GRAMS = 2_000_000
 
 OUT = "doc_id long, item_id long, distance long, start_word long, end_word long"
 
@@ -109,6 +112,11 @@ class ItemIndex:
         self.gram = g[order]
         self.item = (np.concatenate(item) if item else empty)[order]
         self.place = (np.concatenate(place) if place else empty)[order]
+        # each gram's range of entries; within it the entries follow the items
+        self.start = np.flatnonzero(np.diff(self.gram, prepend=self.gram[:1] ^ U64(1)))
+        self.distinct = self.gram[self.start]
+        self.start_after = np.append(self.start[1:], len(self.gram))
+        self.rank = np.repeat(np.arange(len(self.start)), self.start_after - self.start) * len(self.ids) + self.item
         self.quick = np.zeros(1 << 22, dtype=bool)
         self.quick[(self.gram & U64((1 << 22) - 1)).astype(np.int64)] = True
         self.length = np.array([len(w) for w in self.words], dtype=np.int64)
@@ -143,6 +151,54 @@ def best_stretch(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return int(d[end]), end - int(np.argmin(back)), end
 
 
+def _shared_grams(words: Words, index: ItemIndex, p: np.ndarray, gram: np.ndarray) -> Iterator[tuple]:
+    """(word, item, place in the item) of the grams that texts share with items.
+
+    About SHARED_GRAMS come at once: whole texts together, and a text that
+    shares more than that alone, one range of items after another.  All of a
+    text's grams with one item are always together.
+    """
+    count = index.start_after[gram] - index.start[gram]
+    text = words.text[p]
+    edge = np.flatnonzero(np.diff(text, prepend=-1))
+    size = np.add.reduceat(count, edge) if len(edge) else count
+    groups, held = [], SHARED_GRAMS
+    for a, n in zip(edge, size):
+        if held + n > SHARED_GRAMS:
+            groups.append(int(a))
+            held = 0
+        held += n
+    items = len(index.ids)
+    for a, b in zip(groups, [*groups[1:], len(p)]):
+        ranges = min(items, -(-int(count[a:b].sum()) // SHARED_GRAMS))
+        limits = np.arange(ranges + 1) * items // ranges
+        for i, j in zip(limits[:-1], limits[1:]):
+            first = np.searchsorted(index.rank, gram[a:b] * items + i)
+            n = np.searchsorted(index.rank, gram[a:b] * items + j) - first
+            if n.any():
+                hit = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+                yield np.repeat(p[a:b], n), index.item[hit], index.place[hit]
+
+
+def _candidates(words: Words, index: ItemIndex, at: np.ndarray, item: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Distinct (item, text, diagonal) rows that share enough grams, in that order."""
+    text = words.text[at]
+    diagonal = at - words.first[text] - place
+    order = np.lexsort((diagonal, item, text))
+    text, item, diagonal = text[order], item[order], diagonal[order]
+    # enough shared grams within 2e + 1 neighbouring diagonals
+    need = index.length[item] - (GRAM - 1) - GRAM * index.edits[item]
+    k = np.arange(len(text))
+    last = np.minimum(k + need - 1, len(text) - 1)
+    ok = (k + need - 1 < len(text)) & (text[last] == text) & (item[last] == item)
+    ok &= diagonal[last] - diagonal <= 2 * index.edits[item]
+    marks = np.zeros(len(text) + 1, dtype=np.int64)
+    np.add.at(marks, k[ok], 1)
+    np.add.at(marks, last[ok] + 1, -1)
+    inside = np.flatnonzero(np.cumsum(marks[:-1]) > 0)
+    return np.unique(np.stack([item[inside], text[inside], diagonal[inside]], axis=1), axis=0)
+
+
 def find_leaks(texts: list[bytes], index: ItemIndex) -> list[tuple[int, int, int, int, int]]:
     """(text, item_id, distance, start word, end word), best stretch of each pair."""
     out: list[tuple[int, int, int, int, int]] = []
@@ -153,37 +209,19 @@ def find_leaks(texts: list[bytes], index: ItemIndex) -> list[tuple[int, int, int
         g = run_hash(words.hash, GRAM)
         p = np.flatnonzero(index.quick[(g & U64((1 << 22) - 1)).astype(np.int64)])
         p = p[words.text[p] == words.text[p + GRAM - 1]] if len(p) else p
-        first = np.searchsorted(index.gram, g[p])
-        count = np.searchsorted(index.gram, g[p], side="right") - first
-        p, first, count = p[count > 0], first[count > 0], count[count > 0]
-        if not len(p):
-            continue
-        hit = np.repeat(first - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
-        at, item = np.repeat(p, count), index.item[hit]
-        text = words.text[at]
-        diagonal = at - words.first[text] - index.place[hit]
-        order = np.lexsort((diagonal, item, text))
-        text, item, diagonal = text[order], item[order], diagonal[order]
-        # enough shared grams within 2e + 1 neighbouring diagonals
-        need = index.length[item] - (GRAM - 1) - GRAM * index.edits[item]
-        k = np.arange(len(text))
-        last = np.minimum(k + need - 1, len(text) - 1)
-        ok = (k + need - 1 < len(text)) & (text[last] == text) & (item[last] == item)
-        ok &= diagonal[last] - diagonal <= 2 * index.edits[item]
-        marks = np.zeros(len(text) + 1, dtype=np.int64)
-        np.add.at(marks, k[ok], 1)
-        np.add.at(marks, last[ok] + 1, -1)
-        inside = np.flatnonzero(np.cumsum(marks[:-1]) > 0)
-        if not len(inside):
-            continue
-        cand = np.unique(np.stack([item[inside], text[inside], diagonal[inside]], axis=1), axis=0)
+        gram = np.minimum(np.searchsorted(index.distinct, g[p]), len(index.distinct) - 1)
+        real = index.distinct[gram] == g[p]
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for i in np.unique(cand[:, 0]):
-            mine = cand[cand[:, 0] == i]
-            # walks of long items take more room a window: fewer at once
-            step = max(1, WALK_SYMBOLS // (2 * REPETITIONS * int(index.length[i])))
-            for part in range(0, len(mine), step):
-                _check_windows(words, index, int(i), mine[part:part + step], best)
+        for at, item, place in _shared_grams(words, index, p[real], gram[real]):
+            cand = _candidates(words, index, at, item, place)
+            for mine in np.split(cand, np.flatnonzero(np.diff(cand[:, 0])) + 1):
+                if not len(mine):
+                    continue
+                i = int(mine[0, 0])
+                # walks of long items take more room a window: fewer at once
+                step = max(1, WALK_SYMBOLS // (2 * REPETITIONS * int(index.length[i])))
+                for part in range(0, len(mine), step):
+                    _check_windows(words, index, i, mine[part:part + step], best)
         out += [(lo + t, index.ids[i], *v) for (t, i), v in sorted(best.items())]
     return out
 

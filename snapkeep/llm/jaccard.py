@@ -331,10 +331,21 @@ def _compress_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.binary())], names=["doc_id", "packed"])
 
 
+def _keyed_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts to the distinct (key, shingles) of a part of a batch."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 1000):
+            sets = {set_key(s): s.tobytes() for s in doc_sets(_encoded(batch.column(0).slice(at, 1000))) if len(s)}
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(sets.keys(), pa.int64()), pa.array(sets.values(), pa.binary())], names=["key", "shingles"]
+            )
+
+
 def class_sets(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """Shingle arrays of the classes `keys(key, doc_id)`, from one document each.
 
-    Texts travel compressed, as this join moves all of them.
+    Texts travel compressed, as this join moves all of them.  Classes of rows
+    without doc_id only are taken from those rows.
     """
     packed = docs.where("doc_id is not null").mapInArrow(_compress_batches, "doc_id long, packed binary")
     some = packed.join(keys, "doc_id").select("key", "packed")
@@ -352,7 +363,9 @@ def class_sets(docs: DataFrame, keys: DataFrame) -> DataFrame:
                     [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.binary())], names=["key", "shingles"]
                 )
 
-    return some.mapInArrow(run, "key long, shingles binary").dropDuplicates(["key"])
+    no_id = docs.where("doc_id is null").select("text").mapInArrow(_keyed_batches, "key long, shingles binary")
+    no_id = no_id.join(keys.where("doc_id is null").select("key"), "key", "left_semi")
+    return some.mapInArrow(run, "key long, shingles binary").unionByName(no_id).dropDuplicates(["key"])
 
 
 def _neighbour_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

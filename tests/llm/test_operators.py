@@ -118,6 +118,16 @@ def test_jaccard_edge_cases(ship, edge_docs):
     assert jaccard.jaccard_components(frame(ship, edge_docs).where("false")).count() == 0
 
 
+def test_jaccard_rows_without_id_link(ship, edge_docs):
+    """A text that only rows without doc_id have joins its near copies, and joins two of them to one component."""
+    w = [f"w{i}" for i in range(100)]
+    other = lambda a, b: " ".join(f"x{i}" if a <= i < b else x for i, x in enumerate(w))
+    docs = edge_docs + [(900, other(0, 7)), (901, other(93, 100)), (None, " ".join(w)), (None, " ".join(w)), (None, "alone " * 9)]
+    got = by_text(jaccard.jaccard_components(frame(ship, docs)), "doc_id", "n_shingles", "component_id")
+    assert got == sorted(brute.jaccard_components(docs), key=str)
+    assert (901, 96, 900) in got and (None, 96, 900) in got
+
+
 def test_jaccard_hot_groups(ship, monkeypatch):
     """Groups larger than the hot limit, with a chain of near copies and a shared passage."""
     monkeypatch.setattr(jaccard, "HOT_DF", 6)
@@ -280,6 +290,22 @@ def test_leaks_against_brute_force(ship):
     assert decontam.leaks(frame(ship, docs), table.where("false")).count() == 0
 
 
+def test_leaks_in_small_groups_of_grams(monkeypatch):
+    """The same leaks whether all shared grams are held at once or few, down to one item's."""
+    rnd = random.Random(2)
+    vocab = [f"v{i}" for i in range(12)]  # few words: grams are in many items and many places
+    items = [(i, " ".join(rnd.choices(vocab, k=rnd.randint(8, 30)))) for i in range(40)]
+    index = decontam.ItemIndex(items)
+    texts = [" ".join([*rnd.choices(vocab, k=rnd.randint(0, 150)), items[i][1], *rnd.choices(vocab, k=rnd.randint(0, 150))]).encode()
+             for i in range(30)]
+    texts += [b"", *(" ".join(["v1", *rnd.choices(vocab, k=5), "v2"] * 40).encode() for _ in range(2))]
+    want = decontam.find_leaks(texts, index)
+    for limit in (3000, 100, 1):
+        monkeypatch.setattr(decontam, "SHARED_GRAMS", limit)
+        assert decontam.find_leaks(texts, index) == want
+    assert len(want) > 20 and not decontam.find_leaks([b"none of these words"], index)
+
+
 # ---------------------------------------------------------------- packing
 
 

@@ -59,3 +59,12 @@ def stable(df: DataFrame) -> DataFrame:
 
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def drop_stable(df: DataFrame) -> None:
+    """Delete the files behind a frame that `stable` returned; it cannot be read afterwards."""
+    from ..session import remove_path
+
+    file = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+    if file.isDefined():
+        remove_path(df.sparkSession, file.get())

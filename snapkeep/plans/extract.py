@@ -32,7 +32,7 @@ from ..functions.casts import envelope_columns, exact_int
 from ..functions.json import parse_json
 from ..functions.naming import col
 from ..operators.latest import latest_per_key, observe_dropped
-from ..operators.layout import stable
+from ..operators.layout import drop_stable, stable
 from ..sinks.tables import write_table
 from ..sources.parquet import day_literal
 
@@ -183,21 +183,26 @@ def extract_snapshot(
 
     The write overwrites only the day it carries (dynamic partition
     overwrite), so a rerun for a day is idempotent and leaves other days
-    alone.  Returns the row metrics of the run.
+    alone.  Returns the row metrics of the run.  A checkpoint of the input
+    (`stable_input`, or the join form) is deleted after the write.
 
     `layout`/`output_partitions` reshape the write tasks (see
     `operators.layout.shape_output`; ``output_partitions=5`` alone caps the
     files of the day at five, at the cost of write parallelism).  The default writes from the compaction's own tasks.
     """
-    snap, obs = latest_snapshot(
-        envelope, schema, key, extract_date, keep_ties, method, date_col, stable_input, decode, strict_int
-    )
+    held = stable_input or method == "join"
+    rows, key_cols = _prepared(envelope, schema, key, keep_ties, held, decode)
+    snap, obs = _snapshot_of(rows, key_cols, schema, extract_date, keep_ties, method, date_col, decode, strict_int)
     out_obs = Observation("extract_output")
     snap = snap.observe(out_obs, F.count(F.lit(1)).alias("output_rows"))
     if layout is None and not output_partitions:
         layout = "none"
-    write_table(
-        snap, out_root, fmt="parquet", mode="overwrite", partition_by=[date_col],
-        overwrite="dynamic", partitions=output_partitions, layout=layout,
-    )
+    try:
+        write_table(
+            snap, out_root, fmt="parquet", mode="overwrite", partition_by=[date_col],
+            overwrite="dynamic", partitions=output_partitions, layout=layout,
+        )
+    finally:
+        if held:
+            drop_stable(rows)
     return {**obs.get, **out_obs.get}

@@ -112,7 +112,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return root
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """The folder under the shared checkpoint folder that holds all scratch tables of this application."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/snapkeep-{_conf_value(spark, 'spark.app.id') or 'session'}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder name under the shared checkpoint folder."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique folder name under the application's scratch root."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder wherever Spark's file systems keep it; none is fine."""
+    sc = spark.sparkContext
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete the application's scratch tables.
+
+    For the session's owner, once the frames that read them were consumed:
+    a frame returned earlier cannot be read again after this.
+    """
+    remove_path(spark, scratch_root(spark))

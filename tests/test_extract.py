@@ -1,4 +1,6 @@
 import datetime as dt
+import os
+from urllib.parse import urlparse
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -6,6 +8,7 @@ from pyspark.sql import types as T
 from snapkeep.catalog import EVENT_PAYLOAD, events_envelope
 from snapkeep.plans.extract import decode_envelope, extract_snapshot, latest_snapshot
 from snapkeep.schemas import ENVELOPE
+from snapkeep.session import remove_scratch, scratch_path
 from snapkeep.sources.parquet import read_snapshot
 
 EVENTS = "/root/testdata/sf0.001/events.parquet"
@@ -158,6 +161,32 @@ def test_composite_key_is_parsed_once_and_join_form_is_not_cached(spark):
     assert "InMemoryRelation" not in plan and "LogicalRDD" in plan
 
 
+def _files(root):
+    return sorted(os.path.join(d, f) for d, _, names in os.walk(root) for f in names)
+
+
+def test_repeated_extracts_leave_only_the_snapshot(spark, tmp):
+    env = events_envelope(spark.read.parquet(EVENTS))
+    held = urlparse(spark.sparkContext.getCheckpointDir()).path
+    before = _files(held)
+    for form in ({"stable_input": True}, {"method": "join"}, {"stable_input": True, "decode": "early"}):
+        metrics = extract_snapshot(env, EVENT_PAYLOAD, "user_id", tmp + "/lake", extract_date="2024-03-07", **form)
+        assert metrics["output_rows"] == read_snapshot(spark, tmp + "/lake").count()
+    assert _files(held) == before
+    assert {os.path.basename(os.path.dirname(f)) for f in _files(tmp + "/lake") if f.endswith(".parquet")} == {
+        "extract_date=2024-03-07"}
+
+
+def test_remove_scratch_deletes_what_the_application_wrote(spark, tmp, monkeypatch):
+    monkeypatch.setattr("snapkeep.session.ensure_checkpoint_dir", lambda spark: tmp)
+    path = scratch_path(spark, "part")
+    spark.range(5).write.parquet(path)
+    assert path.startswith(tmp) and spark.read.parquet(path).count() == 5
+    remove_scratch(spark)
+    assert _files(tmp) == []
+    remove_scratch(spark)  # nothing left to delete
+
+
 def test_payload_field_clashing_with_envelope_columns(spark):
     import pytest
 

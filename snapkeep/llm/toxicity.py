@@ -14,7 +14,8 @@ Defined cases: a null or empty text, or one without a known term, gets the
 score of the bias alone; repeated rows get equal scores; without usable
 labels (none, or of one kind only) the bias is the smoothed share of toxic
 labels and there are no term weights; an empty table gives an empty table;
-labels with a null label or id are ignored; other columns are dropped.
+labels with a null label or id are ignored; of documents repeating an id the
+least text is learned from; other columns are dropped.
 """
 
 from __future__ import annotations
@@ -172,9 +173,10 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Mac
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
     )
-    # the limit bounds this side (two numbers a row)
-    sample = docs.join(F.broadcast(chosen), "doc_id").select("toxic", "text")
-    rows = sample.mapInArrow(_slot_batches, "toxic int, slots binary").collect()
+    # the limit bounds this side (two numbers a row); of rows that repeat a
+    # doc_id one is learned from, so the limit bounds what is collected too
+    sample = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text"))
+    rows = sample.select("toxic", "text").mapInArrow(_slot_batches, "toxic int, slots binary").collect()
     # partitions may arrive in any order; a fixed order makes the fit repeatable
     rows = sorted((bytes(r["slots"]), r["toxic"]) for r in rows)
     slots = [np.frombuffer(s, dtype="<u4").astype(np.int64) for s, _ in rows]

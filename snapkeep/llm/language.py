@@ -12,8 +12,8 @@ lang, source and doc_id are never inputs of a prediction.
 
 Defined cases: a null text, or one without a letter, is `und` with score 0;
 texts shorter than a window are filled up; very long texts are read whole in
-bounded batches; repeated rows get equal results; without training rows every
-text is `und`; with one language only it is always predicted; an empty table
+bounded batches; repeated rows get equal results; of documents repeating an id
+one is learned from; without training rows every text is `und`; with one language only it is always predicted; an empty table
 gives an empty table; other columns are dropped.
 """
 
@@ -155,7 +155,9 @@ def train(docs: DataFrame, max_train: int = MAX_TRAIN) -> Network | None:
                 out.append(w[np.unique(np.linspace(0, len(w) - 1, TRAIN_WINDOWS).astype(int))].tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["lang", "windows"])
 
-    sample = usable.join(F.broadcast(chosen), "doc_id").select("lang", "text")
+    # of rows that repeat a doc_id one is learned from, so the limit bounds what is collected
+    sample = usable.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("row"))
+    sample = sample.select("row.lang", "row.text")
     rows = sorted((r["lang"], bytes(r["windows"])) for r in sample.mapInArrow(run, "lang string, windows binary").collect())
     if not rows:
         return None

@@ -489,6 +489,18 @@ def test_language_edge_cases(ship, edge_docs):
     assert language.identify_languages(none.where("false")).count() == 0
 
 
+def test_repeated_ids_do_not_exceed_the_sample(ship, monkeypatch):
+    ids = [i for i in range(40) if not brute.held_out(i)][:10]
+    docs = frame(ship, [(i, f"some words number {k} here") for i in ids for k in range(30 if i == ids[0] else 2)])
+    docs = docs.withColumn("lang", F.lit("en"))
+    sizes = []
+    monkeypatch.setattr(toxicity, "fit", lambda slots, toxic: sizes.append((len(slots), len(toxic))))
+    toxicity.train(docs, ship.createDataFrame([(i, i % 2) for i in ids], "doc_id bigint, toxic int"), 8)
+    monkeypatch.setattr(language, "fit", lambda windows, target, languages: sizes.append((len(windows), len(target))))
+    language.train(docs.select("doc_id", "text", "lang"), 8)
+    assert sizes == [(8, 8), (8, 8)]
+
+
 # ---------------------------------------------------------------- pipeline
 
 

@@ -2,21 +2,28 @@
 
 A document leaks an item when some stretch of its words is within
 `floor(0.2 * n)` word edits (insert, delete, replace; ASCII case ignored) of
-the item's n words.  Windows of the item's size are mapped by the CGK random
-walk, which turns few edits into few differing positions; bit sampling over
-repeated walks keeps a window when all sampled positions agree in at least
-one repetition; an exact edit distance decides.
+the item's n words.  Items are cut into pieces of at most `PIECE_WORDS` words
+and windows of a piece's size are mapped by the CGK random walk, which turns
+few edits into few differing positions; bit sampling over repeated walks keeps
+a window when all sampled positions agree in at least one repetition; an exact
+edit distance of the whole item decides wherever a window of any piece is kept.
 
 Which windows are embedded: by the q-gram lemma a stretch within e edits of n
 words keeps at least n - 2 - 3e of the item's 3-word grams, each shifted by
 at most e words.  Only windows on diagonals with that many shared grams can
 match, so leaving out the others loses nothing.
 
-Repetitions: with a share `WORST_DIFFERENCE` of embedded positions differing,
-two sampled positions agree with probability p = (1 - share)^2, and
+Why pieces: the share of embedded positions that a given share of edits makes
+differ grows with the length of the walk, so walks over whole long items would
+miss leaks.  The edits of a leak cannot exceed the allowed share in every
+piece, so at least one piece is within it, and its kept grams are on diagonals
+that are embedded.
+
+Repetitions: with a share `WORST_DIFFERENCE` of a piece's embedded positions
+differing, two sampled positions agree with probability p = (1 - share)^2, and
 `log(1 - TARGET_RECALL) / log(1 - p)` repetitions reach the target recall per
-window; several windows per leak only raise it (recall is measured in the
-tests against brute force).
+window; further pieces within the allowance raise it (recall is measured in
+the tests, for items of 20 to 1,600 words at the full allowance).
 
 Defined cases: items of fewer than `MIN_ITEM_WORDS` words and null items are
 never searched; null or empty texts leak nothing; repeated rows get equal
@@ -42,6 +49,8 @@ EDIT_SHARE = 0.2
 GRAM = 3
 TARGET_RECALL = 0.999
 WORST_DIFFERENCE = 0.6
+#: Items are embedded in pieces of at most this many words.
+PIECE_WORDS = 50
 SAMPLED = 2
 REPETITIONS = math.ceil(math.log(1 - TARGET_RECALL) / math.log(1 - (1 - WORST_DIFFERENCE) ** SAMPLED))
 #: Items are searched in blocks of at most this many words, so what a task
@@ -80,7 +89,7 @@ def walk_symbols(windows: np.ndarray, lengths: np.ndarray, steps: int) -> np.nda
 
 
 def sampled_steps(n: int) -> np.ndarray:
-    """The positions sampled in each repetition for items of n words.
+    """The positions sampled in each repetition for pieces of up to n words.
 
     A walk advances on every second step on average, so the first 2n of its
     3n steps cover the window.
@@ -89,6 +98,29 @@ def sampled_steps(n: int) -> np.ndarray:
     return (mix(r * U64(0xD6E8FEB86659FD93)) % U64(2 * n)).astype(np.int64).reshape(REPETITIONS, SAMPLED)
 
 
+def pieces(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """First words and lengths of the pieces of an item of n words."""
+    k = -(-n // PIECE_WORDS)
+    edge = np.arange(k + 1) * n // k
+    return edge[:-1], np.diff(edge)
+
+
+def piece_symbols(hashes: np.ndarray, start: np.ndarray, length: np.ndarray, m: int) -> np.ndarray:
+    """Sampled symbols of stretches of at most m of the `hashes`: (repetition, stretch, sample).
+
+    About WALK_SYMBOLS are held at once.
+    """
+    step = max(1, WALK_SYMBOLS // (2 * REPETITIONS * m))
+    out = np.zeros((REPETITIONS, len(start), SAMPLED), dtype=U64)
+    along = np.arange(m)
+    for a in range(0, len(start), step):
+        at, size = start[a:a + step, None], length[a:a + step]
+        rows = np.where(along < size[:, None], hashes[np.minimum(at + along, len(hashes) - 1)], U64(0))
+        walks = walk_symbols(rows, size, 2 * m)
+        out[:, a:a + step] = np.take_along_axis(walks, sampled_steps(m)[:, None, :], axis=2)
+    return out
+
+
 class ItemIndex:
     """Word hashes of a block of items and the places of their 3-word grams."""
 
@@ -124,11 +156,10 @@ class ItemIndex:
         self._keys: dict[int, np.ndarray] = {}
 
     def keys(self, i: int) -> np.ndarray:
-        """Sampled symbols of item i in every repetition."""
+        """Sampled symbols of the pieces of item i: (repetition, piece, sample)."""
         if i not in self._keys:
-            w = self.words[i]
-            walk = walk_symbols(w[None, :], np.array([len(w)]), 2 * len(w))[:, 0, :]
-            self._keys[i] = np.take_along_axis(walk, sampled_steps(len(w)), axis=1)
+            first, length = pieces(len(self.words[i]))
+            self._keys[i] = piece_symbols(self.words[i], first, length, int(length.max()))
         return self._keys[i]
 
 
@@ -218,7 +249,7 @@ def find_leaks(texts: list[bytes], index: ItemIndex) -> list[tuple[int, int, int
                 if not len(mine):
                     continue
                 i = int(mine[0, 0])
-                # walks of long items take more room a window: fewer at once
+                # long items have more pieces a window: fewer windows at once
                 step = max(1, WALK_SYMBOLS // (2 * REPETITIONS * int(index.length[i])))
                 for part in range(0, len(mine), step):
                     _check_windows(words, index, i, mine[part:part + step], best)
@@ -231,12 +262,16 @@ def _check_windows(words: Words, index: ItemIndex, i: int, cand: np.ndarray, bes
     item = index.words[i]
     size = words.first[cand[:, 1] + 1] - words.first[cand[:, 1]]
     start = np.clip(cand[:, 2], 0, size)
-    length = np.minimum(n, size - start)
-    take = np.minimum(words.first[cand[:, 1]][:, None] + start[:, None] + np.arange(n)[None, :], len(words.hash) - 1)
-    rows = np.where(np.arange(n)[None, :] < length[:, None], words.hash[take], U64(0))
-    walks = walk_symbols(rows, length, 2 * n)
-    picked = np.take_along_axis(walks, sampled_steps(n)[:, None, :], axis=2)
-    near = (picked == index.keys(i)[:, None, :]).all(axis=2).any(axis=0)
+    first, length = pieces(n)
+    # (window, piece): a piece's words on the window's diagonal, inside the text
+    at = cand[:, 2][:, None] + first
+    a, b = np.clip(at, 0, size[:, None]), np.clip(at + length, 0, size[:, None])
+    window, piece = np.nonzero(b > a)
+    a, b = a[window, piece], b[window, piece]
+    picked = piece_symbols(words.hash, words.first[cand[window, 1]] + a, b - a, int(length.max()))
+    same = (picked == index.keys(i)[:, piece]).all(axis=2).any(axis=0)
+    near = np.zeros(len(cand), dtype=bool)
+    near[window[same]] = True
     for t in np.unique(cand[near, 1]):
         w = words.hash[words.first[t]:words.first[t + 1]]
         at = np.sort(start[near & (cand[:, 1] == t)])

@@ -290,6 +290,28 @@ def test_leaks_against_brute_force(ship):
     assert decontam.leaks(frame(ship, docs), table.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("n", [20, 50, 200, 800, 1600])
+def test_leaks_of_long_items_at_the_full_allowance(n):
+    """Items with exactly floor(0.2 n) edits are found whatever their length."""
+    e = decontam.edits_allowed(n)
+    for seed in range(12):
+        rnd = random.Random(seed)
+        word = lambda: f"w{rnd.randrange(10**9)}"
+        item = [word() for _ in range(n)]
+        index = decontam.ItemIndex([(7, " ".join(item))])
+        spread, anywhere, moved = item[:], item[:], item[:]
+        for j in range(e):
+            spread[j * n // e] = word()
+        for k in rnd.sample(range(n), e):
+            anywhere[k] = word()
+        for k in sorted(rnd.sample(range(n), e), reverse=True):
+            moved[k:k + rnd.randrange(2)] = [word()]
+        text = lambda w: " ".join([*(word() for _ in range(9)), *w, *(word() for _ in range(9))]).encode()
+        found = decontam.find_leaks([text(spread), text(anywhere), text(moved), " ".join(spread).encode()], index)
+        assert [(t, i) for t, i, *_ in found] == [(t, 7) for t in range(4)]
+        assert found[0][2] == found[1][2] == e
+
+
 def test_leaks_in_small_groups_of_grams(monkeypatch):
     """The same leaks whether all shared grams are held at once or few, down to one item's."""
     rnd = random.Random(2)

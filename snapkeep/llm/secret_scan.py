@@ -7,6 +7,14 @@ lengths that fill the outer one exactly), a length-prefixed public key, an
 armoured key block with such content, or a signed token whose header and
 claims decode to JSON objects naming an algorithm.
 
+Base64 may be wrapped: white space, escaped line breaks (``\\n`` as in JSON or
+.env files) and escaped slashes between its stretches are left out for
+decoding, and the span covers them.  Where a wrapped key ends follows from its
+own lengths, and it must end with a stretch.  Armour may have header lines and
+a checksum line.  An armoured private key whose body is encrypted, or an
+OpenPGP one, is reported by its label if the body decodes to cipher blocks or
+starts with a secret-key packet.
+
 Defined cases: a null text is scanned as an empty one; results are per row,
 so repeated rows get equal results; an empty table gives an empty table; a
 very long text is scanned whole; other columns are ignored by `scan_secrets`
@@ -20,6 +28,7 @@ import binascii
 import hashlib
 import json
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -39,14 +48,29 @@ _ASSIGN = re.compile(
 _ASSIGN_HINTS = ("passw", "secret", "token", "api")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{%d,}" % HEX_MIN)
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]+)-----([A-Za-z0-9+/=\s]+)-----END \1-----", re.A)
+_ARMOUR = re.compile(r"-----(?=(BEGIN|END) ([A-Z0-9 ]+)-----)")
+_ESCAPED = re.compile(r"\\+(?:(u000[9AaDd]|[nrt])|(u003[Dd])|(u002[Bb])|(?:/|u002[Ff]))")
+_HEADER = re.compile(r"[A-Za-z][A-Za-z0-9-]*:")
+_CHECKSUM = re.compile(r"=[A-Za-z0-9+/]{4}")
 _TOKEN = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
+_STRETCH = re.compile(r"[A-Za-z0-9+/_-]+")
+#: Stretches of base64 with white space, escaped breaks or the backslash of an
+#: escaped slash between them (possessive, so that time is linear).
+_RUN = re.compile(r"[A-Za-z0-9+/_-]++(?:(?:\s|\\++(?:u000[9AaDd]|[nrt]|(?=/)))++[A-Za-z0-9+/_-]++)*+", re.A)
+_BREAK = re.compile(r"(?:\s|\\++(?:u000[9AaDd]|[nrt]|(?=/)))++", re.A)
+#: First stretch of a wrapped DER sequence or length-prefixed key.
+_WRAPPED = re.compile(
+    r"[MA](?:(?<![A-Za-z0-9+/_-][MA])|(?<=\\[nrt][MA])|(?<=\\u000[9AaDd][MA]))"
+    r"(?:(?<=M)[A-P]|(?<=A)AAA)[A-Za-z0-9+/_-]*+(?=\s|\\)", re.A
+)
 _HEX_ANY = re.compile(r"(?:[0-9A-Fa-f]{2}){24,}")
 
 #: Algorithm names of length-prefixed public keys.
 PUBLIC_KEY_NAMES = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-nistp256", b"ecdsa-sha2-nistp384",
                     b"ecdsa-sha2-nistp521")
+#: Fields of each, the name included.
+PUBLIC_KEY_FIELDS = dict(zip(PUBLIC_KEY_NAMES, (3, 5, 2, 3, 3, 3)))
 
 OUT = (
     "doc_id long, n_assign long, n_access long, n_hex long, n_confirmed long, base_sha256 string, spans string"
@@ -144,6 +168,104 @@ def is_signed_token(header: str, claims: str, signature: str) -> bool:
     return len(decode_base64(signature) or b"") >= 16
 
 
+def armour_blocks(text: str) -> Iterator[tuple[int, str, str, int]]:
+    """(start, label, body, end) of BEGIN lines followed by their END line."""
+    opened = None
+    for m in _ARMOUR.finditer(text):
+        kind, label = m.groups()
+        if kind == "END" and opened and opened[1] == label:
+            yield opened[0], label, text[opened[2]:m.start()], m.end(2) + 5
+        opened = (m.start(), label, m.end(2) + 5) if kind == "BEGIN" else None
+
+
+def is_armoured_key(label: str, body: str) -> bool:
+    """Headers and a checksum aside, the body decodes to a key, or to an
+    encrypted or OpenPGP private key as the label says."""
+    body = _ESCAPED.sub(lambda m: "\n" if m[1] else "=" if m[2] else "+" if m[3] else "/", body)
+    lines = [x.strip() for x in body.strip().splitlines()]
+    at = 0
+    while at < len(lines) and (not lines[at] or _HEADER.match(lines[at])):
+        at += 1
+    headers, parts = lines[:at], " ".join(lines[at:]).split()
+    if parts and _CHECKSUM.fullmatch(parts[-1]):
+        parts.pop()
+    data = decode_base64("".join(parts))
+    if not data:
+        return False
+    if is_der_key(data) or data.startswith(b"openssh-key-v1\0"):
+        return True
+    if "PRIVATE KEY" not in label:
+        return False
+    if label.startswith("PGP "):  # secret-key packet, new or old header
+        return len(data) >= 16 and (data[0] == 0xC5 or data[0] & 0xFC == 0x94)
+    encrypted = any(h.startswith("Proc-Type:") and "ENCRYPTED" in h for h in headers)
+    return encrypted and len(data) >= 16 and len(data) % 8 == 0
+
+
+def _bytes_at(chars: str, first: int, at: int, n: int) -> bytes:
+    """Bytes at..at+n of what the characters from `first` on decode to; fewer at their end."""
+    quads = chars[first + at // 3 * 4:first - (-(at + n) // 3) * 4]
+    data = decode_base64(quads[:-1] if len(quads) % 4 == 1 else quads) or b""
+    return data[at % 3:at % 3 + n]
+
+
+def key_size(chars: str, first: int) -> int | None:
+    """Bytes of the DER sequence or public key that starts at character `first`."""
+    head = _bytes_at(chars, first, 0, 6)
+    if len(head) < 6:
+        return None
+    if head[0] == 0x30:
+        n = head[1] & 0x7F
+        if not head[1] & 0x80:
+            return 2 + n
+        return 2 + n + int.from_bytes(head[2:2 + n], "big") if 1 <= n <= 4 else None
+    name = _bytes_at(chars, first, 4, head[3]) if head[:3] == b"\0\0\0" else b""
+    at = 0
+    for _ in range(PUBLIC_KEY_FIELDS.get(name, 0)):
+        size = _bytes_at(chars, first, at, 4)
+        if len(size) < 4:
+            return None
+        at += 4 + int.from_bytes(size, "big")
+    return at or None
+
+
+def wrapped_keys(text: str) -> Iterator[tuple[int, str, int]]:
+    """(start, kind, end) of keys in base64 of more than one stretch."""
+    run_end = key_end = 0
+    for m in _WRAPPED.finditer(text):
+        if m.start() < key_end:
+            continue
+        if m.start() >= run_end:
+            run_end = _RUN.match(text, m.start()).end()
+            starts, ends, before, parts = [], [], [0], []
+            at = m.start()
+            while at < run_end:
+                part = _STRETCH.match(text, at)
+                starts.append(at)
+                ends.append(part.end())
+                before.append(before[-1] + len(part[0]))
+                parts.append(part[0])
+                at = part.end()
+                if at < run_end:
+                    at = _BREAK.match(text, at).end()
+            chars = "".join(parts)
+        k = bisect_left(starts, m.start())
+        first = before[k]
+        size = key_size(chars, first)
+        if size is None:
+            continue
+        stop = first - (-size * 4 // 3)
+        last = bisect_left(before, stop)
+        if last <= k + 1 or last == len(before) or before[last] != stop:
+            continue
+        data = decode_base64(chars[first:before[last]])
+        kind = data and ("der" if is_der_key(data) else "pubkey" if is_public_key(data) else None)
+        if kind:
+            key_end = ends[last - 1]
+            key_end += len(text[key_end:key_end + 2]) - len(text[key_end:key_end + 2].lstrip("="))
+            yield m.start(), kind, key_end
+
+
 def base_spans(text: str) -> list[Span]:
     spans: list[Span] = []
     low = text.lower()
@@ -161,19 +283,24 @@ def confirmed_spans(text: str) -> list[Span]:
     taken: list[tuple[int, int]] = []
 
     def add(m: re.Match, kind: str) -> None:
-        spans.append((m.start(), KINDS.index(kind), m.end()))
-        taken.append(m.span())
+        mark(m.start(), kind, m.end())
+
+    def mark(start: int, kind: str, end: int) -> None:
+        spans.append((start, KINDS.index(kind), end))
+        taken.append((start, end))
 
     if "-----BEGIN " in text:
-        for m in _PEM.finditer(text):
-            data = decode_base64("".join(m[2].split()))
-            if data is not None and (is_der_key(data) or data.startswith(b"openssh-key-v1\0")):
-                add(m, "pem")
+        for start, label, body, end in armour_blocks(text):
+            if is_armoured_key(label, body):
+                mark(start, "pem", end)
     if "eyJ" in text:
         for m in _TOKEN.finditer(text):
             if is_signed_token(*m.groups()):
                 add(m, "token")
     free = lambda m: all(m.end() <= a or m.start() >= b for a, b in taken)
+    for start, kind, end in wrapped_keys(text):
+        if all(end <= a or start >= b for a, b in taken):
+            mark(start, kind, end)
     for m in _BASE64.finditer(text):
         if free(m) and (data := decode_base64(m[0])) is not None:
             if is_der_key(data):

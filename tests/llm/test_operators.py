@@ -102,6 +102,51 @@ def test_structures_are_confirmed():
     assert secret_scan.redact(text) == "é [secret] and [secret]"
 
 
+def test_wrapped_escaped_and_encrypted_keys():
+    rnd = random.Random(4)
+    number = lambda n: bytes([2, 0x82, n >> 8, n & 255, 1]) + rnd.randbytes(n - 1)
+    inner = b"\2\1\0" + number(257) + b"\2\3\1\0\1" + number(256) + number(130)
+    der = bytes([0x30, 0x82, len(inner) >> 8, len(inner) & 255]) + inner
+    ssh = b"".join(len(x).to_bytes(4, "big") + x for x in (b"ssh-rsa", b"\1\0\1", rnd.randbytes(257)))
+    fold = lambda data, n, by="\n": by.join(b64encode(data).decode()[i:][:n] for i in range(0, len(b64encode(data)), n))
+    block = lambda label, body: f"-----BEGIN {label}-----\n{body}\n-----END {label}-----"
+    legacy = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123456789ABCDEF\n\n"
+    packets = b"\x95\3\xbe" + rnd.randbytes(500)
+    armour = {
+        "wrapped": block("RSA PRIVATE KEY", fold(der, 64)),
+        "encrypted": block("RSA PRIVATE KEY", legacy + fold(rnd.randbytes(608), 64)),
+        "pgp": block("PGP PRIVATE KEY BLOCK", "Version: GnuPG v2\nComment: a, b-c\n\n" + fold(packets, 64) + "\n=aB3/"),
+        "pgp without headers": block("PGP PRIVATE KEY BLOCK", "\n" + fold(packets, 64) + "\n=aB3/"),
+    }
+    escapes = (lambda t: t, json.dumps, lambda t: json.dumps(json.dumps(t)), lambda t: t.replace("\n", "\\r\\n"),
+               lambda t: json.dumps(t).replace("/", "\\/"), lambda t: t.replace("\n", "\\n"), lambda t: t.replace("\n", "\r\n"))
+    for name, key in armour.items():
+        for escape in escapes:
+            written = escape(key)
+            text = f"é KEY={written} then"
+            start, end = text.index("-----BEGIN"), text.rindex("-----") + 5
+            assert secret_scan.confirmed_spans(text) == [(start, secret_scan.KINDS.index("pem"), end)], (name, written)
+            assert secret_scan.redact(text) == text[:start] + "[secret]" + text[end:]
+    for data, kind in ((der, "der"), (ssh, "pubkey")):
+        for width in (64, 70, 76):
+            for escape in escapes:
+                for before, after in (("", ""), ("key\n", "\nthe next line"), ("-----BEGIN X-----\n", "\nMIIBnotakey")):
+                    text = "é {" + escape(before + fold(data, width) + after) + "} x"
+                    [(start, k, end)] = secret_scan.confirmed_spans(text)
+                    assert secret_scan.KINDS[k] == kind
+                    key = text[start:end].replace("\\/", "/")
+                    for gap in ("\\\\n", "\\r", "\\n", "\r", "\n"):
+                        key = key.replace(gap, "")
+                    assert key == b64encode(data).decode(), (width, text)
+    # not keys: lengths that do not fill, bodies of no key, a label alone, a block without its end
+    assert secret_scan.confirmed_spans(fold(der[:-1], 64)) == [] and secret_scan.confirmed_spans(fold(der + b"\0\0\0", 64)) == []
+    for label in ("RSA PRIVATE KEY", "PGP PRIVATE KEY BLOCK"):
+        for body in ("...", "Proc-Type: 4,ENCRYPTED", "your key here", fold(bytes(64), 64)):
+            assert secret_scan.confirmed_spans(block(label, body)) == []
+    assert secret_scan.confirmed_spans(block("CERTIFICATE REQUEST", legacy + fold(bytes(64), 64))) == []
+    assert secret_scan.confirmed_spans(armour["encrypted"][:-9]) == []
+
+
 def test_redaction_keeps_rows(ship, edge_docs):
     docs = frame(ship, edge_docs + [(1, "password=abcdefgh1 x")])
     out = secret_scan.redact_documents(docs)

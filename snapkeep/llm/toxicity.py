@@ -7,6 +7,10 @@ of terms has a learned interaction, such as an insult next to a group
 mention.  It is trained by AdaGrad in numpy on a bounded sample of labelled
 documents and applied to whole texts by a map over the table.
 
+Terms are chosen by their own association with the label, and then by that of
+their pairs: a term as frequent in toxic as in clean texts takes part if, among
+the texts with one of the chosen terms, it tells toxic from clean ones.
+
 Only documents whose crc32(doc_id as text) mod 3 is not 1 are learned from;
 labels, language, source and doc_id are never inputs of a score.
 
@@ -35,11 +39,18 @@ SLOTS = 1 << 18
 FACTORS = 4
 #: Labelled documents the machine is fitted on at most.
 MAX_TRAIN = 12_000
-#: A term takes part if so many training documents have it and its share
-#: among toxic ones differs by so many standard errors.
+#: A term is chosen if so many training documents have it and its share among
+#: toxic ones differs by so many standard errors.
 MIN_DF = 5
 MIN_Z = 2.5
 MAX_TERMS = 16_384
+#: Chance, at most, that pairs without association add any term.
+PAIR_ERROR = 0.05
+#: Terms added by their pairs are fitted after the chosen ones; they start near
+#: zero with this sum of squared gradients, so that they move only where the
+#: chosen terms left errors.
+PARTNER_SPREAD = 0.01
+PARTNER_DAMPING = 1e-3
 THRESHOLD = 0.7
 EPOCHS = 12
 OUT = "doc_id long, held_out boolean, score double, predicted int"
@@ -102,6 +113,67 @@ def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
+def _divergence(k: np.ndarray, n: np.ndarray, share: float) -> np.ndarray:
+    """n times the relative entropy of k/n and `share`: exp(-this) bounds either
+    tail of the binomial distribution (Chernoff)."""
+    hit, miss = np.maximum(k, 1e-9), np.maximum(n - k, 1e-9)
+    return k * np.log(hit / (n * share)) + (n - k) * np.log(miss / (n * (1 - share)))
+
+
+def partner_terms(owner: np.ndarray, slot: np.ndarray, toxic: np.ndarray, use: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """Slots of `rest` whose share of toxic texts among those with a slot of
+    `use` is beyond chance (Bonferroni over all pairs)."""
+    place = np.full(SLOTS, -1, dtype=np.int64)
+    place[rest] = np.arange(len(rest))
+    other = place[slot] >= 0
+    row = place[slot[other]]
+    first = np.searchsorted(owner[other], np.arange(len(toxic) + 1))
+    order = np.argsort(slot, kind="stable")
+    start, end = np.searchsorted(slot[order], use), np.searchsorted(slot[order], use, side="right")
+    limit = np.log(2 * len(use) * max(1, len(rest)) / PAIR_ERROR)
+    found = np.zeros(len(rest), dtype=bool)
+    for a, b in zip(start, end):
+        texts = owner[order[a:b]]
+        share = toxic[texts].mean()
+        if not 0 < share < 1:
+            continue
+        size = first[texts + 1] - first[texts]
+        at = np.repeat(first[texts] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        met, mark = row[at], np.repeat(toxic[texts] > 0, size)
+        n, k = np.bincount(met, minlength=len(rest)), np.bincount(met[mark], minlength=len(rest))
+        seen = np.flatnonzero(n >= MIN_DF)
+        found[seen] |= _divergence(k[seen], n[seen], share) >= limit
+    return rest[found]
+
+
+def _descend(state: list, row: np.ndarray, owner: np.ndarray, toxic: np.ndarray, epochs: int, rng: np.random.Generator) -> None:
+    """AdaGrad over [bias, weight, factor and their sums of squared gradients]."""
+    bias, weight, factor, g_bias, g_weight, g_factor = state
+    n, terms = len(toxic), len(weight)
+    owner, row = owner[row >= 0], row[row >= 0]
+    first = np.searchsorted(owner, np.arange(n + 1))
+    for _ in range(epochs):
+        order = rng.permutation(n)
+        for part in np.array_split(order, max(1, n // 256)):
+            size = first[part + 1] - first[part]
+            own = np.repeat(np.arange(len(part)), size)
+            r = row[np.repeat(first[part] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())]
+            out, total = _sums(r, own, len(part), weight, factor)
+            err = (sigmoid(bias + out) - toxic[part]) / len(part)
+            d_weight = np.bincount(r, weights=err[own], minlength=terms) + 1e-5 * weight
+            grad = err[own, None] * (total[own] - factor[r])
+            d_factor = np.stack([np.bincount(r, weights=grad[:, f], minlength=terms) for f in range(FACTORS)], axis=1)
+            d_factor += 1e-4 * factor
+            d_bias = err.sum()
+            g_bias += d_bias**2
+            g_weight += d_weight**2
+            g_factor += d_factor**2
+            bias -= 0.3 * d_bias / np.sqrt(g_bias)
+            weight -= 0.3 * d_weight / np.sqrt(g_weight)
+            factor -= 0.03 * d_factor / np.sqrt(g_factor)
+    state[:] = bias, weight, factor, g_bias, g_weight, g_factor
+
+
 def fit(slots: list[np.ndarray], toxic: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> Machine:
     """Fit on the slots of each training text and its 0/1 label."""
     n = len(slots)
@@ -121,33 +193,22 @@ def fit(slots: list[np.ndarray], toxic: np.ndarray, epochs: int = EPOCHS, seed:
     use = use[np.argsort(-z[use], kind="stable")][:MAX_TERMS]
     if not len(use):
         return none
-    place[use] = np.arange(len(use))
-    keep = place[slot] >= 0
-    owner, row = owner[keep], place[slot[keep]]
-    first = np.searchsorted(owner, np.arange(n + 1))
     rng = np.random.default_rng(seed)
-    weight = np.zeros(len(use))
-    factor = rng.normal(0, 0.05, (len(use), FACTORS))
-    g_bias, g_weight, g_factor = 1e-8, np.full(len(use), 1e-8), np.full(factor.shape, 1e-8)
-    for _ in range(epochs):
-        order = rng.permutation(n)
-        for part in np.array_split(order, max(1, n // 256)):
-            size = first[part + 1] - first[part]
-            own = np.repeat(np.arange(len(part)), size)
-            r = row[np.repeat(first[part] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())]
-            out, total = _sums(r, own, len(part), weight, factor)
-            err = (sigmoid(bias + out) - toxic[part]) / len(part)
-            d_weight = np.bincount(r, weights=err[own], minlength=len(use)) + 1e-5 * weight
-            grad = err[own, None] * (total[own] - factor[r])
-            d_factor = np.stack([np.bincount(r, weights=grad[:, f], minlength=len(use)) for f in range(FACTORS)], axis=1)
-            d_factor += 1e-4 * factor
-            d_bias = err.sum()
-            g_bias += d_bias**2
-            g_weight += d_weight**2
-            g_factor += d_factor**2
-            bias -= 0.3 * d_bias / np.sqrt(g_bias)
-            weight -= 0.3 * d_weight / np.sqrt(g_weight)
-            factor -= 0.03 * d_factor / np.sqrt(g_factor)
+    state = [bias, np.zeros(len(use)), rng.normal(0, 0.05, (len(use), FACTORS)),
+             1e-8, np.full(len(use), 1e-8), np.full((len(use), FACTORS), 1e-8)]
+    place[use] = np.arange(len(use))
+    _descend(state, place[slot], owner, toxic, epochs, rng)
+    rest = np.setdiff1d(np.flatnonzero(df >= MIN_DF), use)
+    more = partner_terms(owner, slot, toxic, use, rest)
+    if len(more):
+        place[more] = len(use) + np.arange(len(more))
+        _, weight, factor, _, g_weight, g_factor = state
+        state[1] = np.concatenate([weight, np.zeros(len(more))])
+        state[2] = np.concatenate([factor, rng.normal(0, PARTNER_SPREAD, (len(more), FACTORS))])
+        state[4] = np.concatenate([g_weight, np.full(len(more), PARTNER_DAMPING)])
+        state[5] = np.concatenate([g_factor, np.full((len(more), FACTORS), PARTNER_DAMPING)])
+        _descend(state, place[slot], owner, toxic, epochs, rng)
+    bias, weight, factor = state[:3]
     return Machine(float(bias), place, weight, factor)
 
 

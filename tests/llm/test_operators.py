@@ -527,6 +527,22 @@ def test_toxicity_learns_pairs():
     assert p[0] < 0.3 and p[1] < 0.3 and p[2] > 0.7
 
 
+def test_toxicity_learns_pairs_of_a_neutral_term():
+    """A term as frequent in toxic as in clean texts, toxic only beside another."""
+    rng = np.random.default_rng(1)
+    slots, y = [], []
+    for _ in range(4000):
+        a, b = rng.random() < 0.3, rng.random() < 0.5
+        slots.append(np.array([10] * int(a) + [20] * int(b) + [int(rng.integers(100, 130))], dtype=np.int64))
+        y.append(float(a and b or not a and not b and rng.random() < 3 / 7))
+    has, y = np.array([20 in s for s in slots]), np.array(y)
+    assert abs(y[has].mean() - y[~has].mean()) < 0.03
+    m = toxicity.fit(slots, y, epochs=20)
+    assert m.place[20] >= 0
+    p = toxicity.sigmoid(m.logits(np.array([10, 20, 10, 20]), np.array([0, 1, 2, 2]), 3))
+    assert p[0] < 0.3 and p[1] < 0.3 and p[2] > 0.7
+
+
 def test_toxicity_edge_cases(ship, edge_docs):
     labels = ship.createDataFrame([(i, 1, 0) for i in range(6)] + [(None, 1, 1), (9, 1, None)], "doc_id bigint, quality int, toxic int")
     for lab in (labels, labels.where("false")):

@@ -25,7 +25,8 @@ differing, two sampled positions agree with probability p = (1 - share)^2, and
 window; further pieces within the allowance raise it (recall is measured in
 the tests, for items of 20 to 1,600 words at the full allowance).
 
-Defined cases: items of fewer than `MIN_ITEM_WORDS` words and null items are
+Defined cases: items of fewer than `MIN_ITEM_WORDS` words leak where all their
+words stand in a row, without edits; items without a word and null items are
 never searched; null or empty texts leak nothing; repeated rows get equal
 results; repeated items are reported once per item_id; without items, or
 without documents, there are no leaks; texts of any length are searched
@@ -127,11 +128,16 @@ class ItemIndex:
     def __init__(self, items: list[tuple[int, str]]):
         words = Words([t.encode() for _, t in items])
         self.ids, self.words = [], []
+        short: dict[int, list[tuple[int, int]]] = {}
         for i, (item_id, _) in enumerate(items):
             w = words.hash[words.first[i]:words.first[i + 1]]
             if len(w) >= MIN_ITEM_WORDS:
                 self.ids.append(item_id)
                 self.words.append(w)
+            elif len(w):
+                short.setdefault(len(w), []).append((int(run_hash(w, len(w))[0]), item_id))
+        #: by number of words, the hashes of short items in order and their ids
+        self.short = {n: (np.array([h for h, _ in sorted(x)], dtype=U64), [i for _, i in sorted(x)]) for n, x in short.items()}
         grams, item, place = [], [], []
         for i, w in enumerate(self.words):
             g = run_hash(w, GRAM)
@@ -230,13 +236,30 @@ def _candidates(words: Words, index: ItemIndex, at: np.ndarray, item: np.ndarray
     return np.unique(np.stack([item[inside], text[inside], diagonal[inside]], axis=1), axis=0)
 
 
+def _short_leaks(words: Words, index: ItemIndex) -> Iterator[tuple[int, int, int, int, int]]:
+    """(text, item_id, 0, start word, end word) of the first copy of short items."""
+    for n, (hashes, ids) in index.short.items():
+        h = run_hash(words.hash, n)
+        p = np.flatnonzero(words.text[:len(h)] == words.text[n - 1:]) if len(h) else np.zeros(0, dtype=np.int64)
+        at = np.searchsorted(hashes, h[p])
+        same = hashes[np.minimum(at, len(hashes) - 1)] == h[p]
+        p, at = p[same], at[same]
+        for k in np.unique(words.text[p] * len(hashes) + at, return_index=True)[1]:
+            t, i = int(words.text[p[k]]), int(at[k])
+            start = int(p[k] - words.first[t])
+            while i < len(ids) and hashes[i] == hashes[at[k]]:
+                yield t, ids[i], 0, start, start + n
+                i += 1
+
+
 def find_leaks(texts: list[bytes], index: ItemIndex) -> list[tuple[int, int, int, int, int]]:
     """(text, item_id, distance, start word, end word), best stretch of each pair."""
     out: list[tuple[int, int, int, int, int]] = []
-    if not len(index.gram):
-        return out
     for lo, hi in slices(texts):
         words = Words(texts[lo:hi])
+        out += [(lo + t, *found) for t, *found in _short_leaks(words, index)]
+        if not len(index.gram):
+            continue
         g = run_hash(words.hash, GRAM)
         p = np.flatnonzero(index.quick[(g & U64((1 << 22) - 1)).astype(np.int64)])
         p = p[words.text[p] == words.text[p + GRAM - 1]] if len(p) else p

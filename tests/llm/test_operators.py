@@ -357,6 +357,16 @@ def test_leaks_of_long_items_at_the_full_allowance(n):
         assert found[0][2] == found[1][2] == e
 
 
+def test_short_items_are_searched_exactly():
+    items = [(1, "What is this"), (2, "what IS this"), (3, "why"), (4, "one two three four five six seven"), (5, "  ")]
+    texts = [b"so what is\nThis and what is this", b"what is", b"this", b"WHY not why", b"",
+             b"zero one two three four five six seven", b"one two three four five six"]
+    want = [(0, 1, 0, 1, 4), (0, 2, 0, 1, 4), (3, 3, 0, 0, 1), (5, 4, 0, 1, 8)]
+    assert sorted(decontam.find_leaks(texts, decontam.ItemIndex(items))) == want
+    long = (6, " ".join(f"w{i}" for i in range(20)))
+    assert sorted(decontam.find_leaks(texts, decontam.ItemIndex([*items, long]))) == want
+
+
 def test_leaks_in_small_groups_of_grams(monkeypatch):
     """The same leaks whether all shared grams are held at once or few, down to one item's."""
     rnd = random.Random(2)

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from snapkeep.llm import (
-    decontam, jaccard, language, packing, quality, repeats, secret_scan, shards, toxicity, url_lists,
+    conversations, decontam, jaccard, language, packing, quality, repeats, secret_scan, shards, toxicity, url_lists,
 )
 from snapkeep.llm.frames import read_table, ship_package
 
@@ -58,6 +58,10 @@ def q_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_query(read_table(spark, sf_dir, "documents"))
 
 
+def q_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_conversations(read_table(spark, sf_dir, "conversations"))
+
+
 def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -79,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "op8_packing": q_packing,
         "op9_benchmark_leaks": q_benchmark_leaks,
         "op10_quality_lines": q_quality_lines,
+        "op13_conversation_repair": q_conversation_repair,
     }.items()
 }
 

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from snapkeep.llm import (
-    conversations, decontam, jaccard, language, packing, quality, repeats, secret_scan, shards, toxicity, url_lists,
+    centroids, conversations, decontam, jaccard, language, packing, quality, repeats, secret_scan, shards, toxicity, url_lists,
 )
 from snapkeep.llm.frames import read_table, ship_package
 
@@ -58,6 +58,10 @@ def q_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_query(read_table(spark, sf_dir, "documents"))
 
 
+def q_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def q_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair_conversations(read_table(spark, sf_dir, "conversations"))
 
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "op8_packing": q_packing,
         "op9_benchmark_leaks": q_benchmark_leaks,
         "op10_quality_lines": q_quality_lines,
+        "op11_centroid_clusters": q_centroid_clusters,
         "op13_conversation_repair": q_conversation_repair,
     }.items()
 }
@@ -176,4 +181,5 @@ SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_lines, n_failed_lines, md5(clean) AS clean_md5
 FROM f JOIN per USING (doc_id)
 """,
+    "op11_centroid_clusters": centroids.clusters_sql(),
 }

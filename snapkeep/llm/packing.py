@@ -55,17 +55,40 @@ def load_encoder(ranks_path: str, pattern: str, special: dict[str, int]):
     return tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
 
 
+class TwoFileEncoder:
+    """The rank file's encoder, and the JSON file's tokenizer for texts that it refuses.
+
+    The rank file's pattern matcher has a bounded stack and raises on runs of
+    about a million white-space characters; the JSON file's tokenizer
+    takes any text and gives the same ids, several times slower.
+    """
+
+    def __init__(self, fast, json_path: str):
+        self.fast, self.json_path, self.slow = fast, json_path, None
+
+    def encode_to_numpy(self, text: str, allowed_special="all") -> np.ndarray:
+        try:
+            return self.fast.encode_to_numpy(text, allowed_special=allowed_special)
+        except ValueError:
+            if self.slow is None:
+                from tokenizers import Tokenizer
+
+                self.slow = Tokenizer.from_file(self.json_path)
+            return np.array(self.slow.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+
+
 def default_encoder():
-    """Ids of the vocabulary `byte_bpe_50k`, from its rank file.
+    """Ids of the vocabulary `byte_bpe_50k`.
 
-    The rank file holds the same vocabulary as the JSON file and gives the
-    same ids several times faster (tested on both); the special string keeps
-    its id, as it does with the JSON file.
+    They come from its rank file, which holds the same vocabulary as the JSON
+    file and gives the same ids several times faster (tested on both); the
+    special string keeps its id, as it does with the JSON file.  A text that
+    the rank file's encoder cannot take goes through the JSON file.
     """
     import public_tokenizers
 
-    return load_encoder(vocabulary_path(f"{TOKENIZER}.tiktoken"), public_tokenizers.PATTERN,
-                        {"<|endoftext|>": 50256})
+    fast = load_encoder(vocabulary_path(f"{TOKENIZER}.tiktoken"), public_tokenizers.PATTERN, {"<|endoftext|>": 50256})
+    return TwoFileEncoder(fast, vocabulary_path(f"{TOKENIZER}.json"))
 
 
 _encoders: dict = {}

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from snapkeep.llm import (
-    centroids, conversations, decontam, jaccard, language, packing, quality, repeats, secret_scan, shards, toxicity, url_lists,
+    centroids, conversations, decontam, genetic_packing, jaccard, language, packing, quality, repeats, secret_scan, shards, toxicity, url_lists,
 )
 from snapkeep.llm.frames import read_table, ship_package
 
@@ -62,6 +62,10 @@ def q_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster_vectors(read_table(spark, sf_dir, "embeddings"))
 
 
+def q_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return genetic_packing.pack_documents(read_table(spark, sf_dir, "documents"))
+
+
 def q_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair_conversations(read_table(spark, sf_dir, "conversations"))
 
@@ -88,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "op9_benchmark_leaks": q_benchmark_leaks,
         "op10_quality_lines": q_quality_lines,
         "op11_centroid_clusters": q_centroid_clusters,
+        "op12_genetic_packing": q_genetic_packing,
         "op13_conversation_repair": q_conversation_repair,
     }.items()
 }

@@ -29,13 +29,19 @@ from .operators.profile import null_profile
 from .plans.counts import table_counts
 from .plans.enrichment import enrich_entity
 from .plans.extract import decode_envelope, extract_snapshot
+from .plans.incremental import compact, live_snapshot, read_live
 from .schemas import ENVELOPE
 from .session import scratch_path
+from .sinks.buckets import Buckets
 from .sinks.tables import write_table
-from .sources.csv import read_csv
+from .sinks.versions import read_current, write_version
+from .sources.csv import read_csv, read_csv_by_name
+from .sources.footers import footer_counts, footer_stats
 from .sources.inventory import partition_inventory
+from .sources.ledger import read_ledger
 from .sources.parquet import read_parquet, read_parquets, read_snapshot
 from .sources.topic import slice_offsets
+from .streaming.latest import write_stream_latest
 from .streaming.sink import read_stream_files, write_stream
 
 TABLES = [
@@ -373,6 +379,164 @@ def q_null_profile(spark, d):
     return null_profile(_docs_labelled(spark, d), ["lang", "source"], null=["quality"], not_null=["lang"])
 
 
+# --------------------------------------------------------------------------
+# Standing snapshots: slices of a topic merged one after another.
+
+
+def bucket_count(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def dense_envelope(events: DataFrame) -> DataFrame:
+    """Events as messages with gapless offsets in every topic partition: event
+    ids are dealt to the partitions in turn.  A user's messages lie in several
+    partitions, so offsets of a key can tie."""
+    env = events_envelope(events, with_edge_messages=False)
+    env = env.withColumn("partition", F.pmod("offset", F.lit(TOPIC_PARTITIONS)).cast("int"))
+    return env.withColumn("offset", F.expr(f"offset div {TOPIC_PARTITIONS}"))
+
+
+SLICES = 3
+DELETE_PAYLOAD = EVENT_PAYLOAD + ", gone boolean"
+
+
+def _merged_slices(spark, d) -> str:
+    """The events as a topic that grows: one run after each third of it."""
+    root = scratch_path(spark, "events-standing")
+    events = table(spark, d, "events")
+    n = events.agg(F.max("event_id")).first()[0] + 1
+    for i in range(1, SLICES + 1):
+        # every run gets the topic as it is by then; its ledger knows what is new
+        grown = dense_envelope(events.where(F.col("event_id") < n * i // SLICES))
+        compact(grown, EVENT_PAYLOAD, root, key="user_id", buckets=bucket_count(spark), dense=True)
+    return root
+
+
+def q_incremental_compaction(spark, d):
+    return read_live(spark, _merged_slices(spark, d))
+
+
+def q_offset_ledger(spark, d):
+    return read_ledger(spark, _merged_slices(spark, d))
+
+
+def _with_deletes(events: DataFrame) -> DataFrame:
+    """The dense topic, a tombstone for every tenth user and a record with a
+    delete flag for every tenth from five, later than all others."""
+    env = dense_envelope(events)
+    users = events.where(F.col("user_id") % 5 == 0).groupBy("user_id").agg(F.max("event_id").alias("last"))
+    mark = F.when(F.col("user_id") % 10 == 5, F.to_json(F.struct("user_id", F.lit(True).alias("gone"))))
+    return env.unionByName(users.select(
+        F.col("user_id").cast("string").cast("binary").alias("key"), mark.cast("binary").alias("value"),
+        F.lit("events").alias("topic"), F.lit(TOPIC_PARTITIONS).alias("partition"),
+        (F.lit(1 << 40) + F.col("user_id")).alias("offset"), F.lit(None).cast("timestamp").alias("timestamp"),
+        F.lit(0).alias("timestampType"),
+    ))
+
+
+def q_latest_with_deletes(spark, d):
+    root = scratch_path(spark, "events-with-deletes")
+    events = table(spark, d, "events")
+    n = events.agg(F.max("event_id")).first()[0] + 1
+    first = dense_envelope(events.where(F.col("event_id") < n // 2))
+    for env in (first, _with_deletes(events)):
+        compact(env, DELETE_PAYLOAD, root, deletes=True, delete_flag="gone", buckets=bucket_count(spark))
+    return read_live(spark, root).drop("gone")
+
+
+def q_live_snapshot(spark, d):
+    env = _with_deletes(table(spark, d, "events"))
+    return live_snapshot(env, DELETE_PAYLOAD, EXTRACT_DAY, delete_flag="gone", date_col="extract_date").drop("gone")
+
+
+def q_stream_latest_per_key(spark, d):
+    src = scratch_path(spark, "events-topic-files")
+    env = events_envelope(table(spark, d, "events"))
+    write_table(env.repartition(4, "partition"), src, mode="overwrite")
+    out = scratch_path(spark, "events-latest-stream")
+    # two files a micro-batch: several merges, then one more start on the same checkpoint
+    for _ in range(2):
+        stream = read_stream_files(spark, src, ENVELOPE, max_files_per_trigger=2)
+        write_stream_latest(stream, EVENT_PAYLOAD, f"{out}/snapshot", f"{out}/checkpoint", key="user_id", buckets=bucket_count(spark))
+    return read_live(spark, f"{out}/snapshot")
+
+
+def q_latest_per_key_aggregate(spark, d):
+    return latest_per_key(
+        table(spark, d, "events"), "event_type", "user_id", keep_ties=False, tiebreak="event_id", method="aggregate"
+    )
+
+
+def q_enrich_bucketed(spark, d):
+    root, n = scratch_path(spark, "bucketed"), bucket_count(spark)
+    write_version(table(spark, d, "orders"), f"{root}/orders", buckets=Buckets("o_custkey", n))
+    write_version(table(spark, d, "customer"), f"{root}/customer", buckets=Buckets("c_custkey", n))
+    return enrich_entity(
+        read_current(spark, f"{root}/orders"),
+        [
+            Lookup(read_current(spark, f"{root}/customer"), key="c_custkey", on="o_custkey",
+                   columns=["c_name", "c_nationkey", "c_mktsegment"]),
+            Lookup(table(spark, d, "nation"), key="n_nationkey", on="c_nationkey", columns=["n_name"]),
+        ],
+        codes=["o_orderpriority"],
+        dates={"o_orderdate": "o_orderdate"},
+        columns=ENRICH_COLUMNS,
+    )
+
+
+def q_staged_overwrite(spark, d):
+    root = scratch_path(spark, "part-versions")
+    write_version(table(spark, d, "part"), root)
+    # the table replaced by a frame that reads it
+    write_version(read_current(spark, root).where("p_size > 10"), root, partition_by=["p_brand"])
+    return read_current(spark, root)
+
+
+JUNK_EVERY = 50
+
+
+def q_extract_quarantine(spark, d):
+    out = scratch_path(spark, "events-quarantine")
+    env = events_envelope(table(spark, d, "events"))
+    junk = (F.col("offset") % JUNK_EVERY == 0) & (F.col("partition") < TOPIC_PARTITIONS)
+    env = env.withColumn("value", F.when(junk, F.lit("{cut").cast("binary")).otherwise(F.col("value")))
+    extract_snapshot(
+        env, T.StructType.fromDDL(EVENT_PAYLOAD), "user_id", f"{out}/snapshot", extract_date=EXTRACT_DAY,
+        quarantine_root=f"{out}/rejected",
+    )
+    rejected = read_snapshot(spark, f"{out}/rejected", EXTRACT_DAY)
+    kept = read_snapshot(spark, f"{out}/snapshot", EXTRACT_DAY)
+    return rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("offset").alias("offsets")).unionByName(
+        kept.agg(F.lit("latest").alias("reason"), F.count(F.lit(1)).alias("n_rows"), F.sum("offset").alias("offsets")))
+
+
+def q_extract_capped(spark, d):
+    out = scratch_path(spark, "events-snapshot-capped")
+    env = events_envelope(table(spark, d, "events"))
+    extract_snapshot(env, T.StructType.fromDDL(EVENT_PAYLOAD), "user_id", out, extract_date=EXTRACT_DAY, output_partitions=2)
+    found = partition_inventory(read_snapshot(spark, out, EXTRACT_DAY), ["extract_date"])
+    return found.select("extract_date", "n_rows", (F.col("n_files") <= 2).alias("capped"))
+
+
+def q_csv_by_name(spark, d):
+    out = scratch_path(spark, "part-csv-orders")
+    part = table(spark, d, "part")
+    extra = part.where("p_partkey % 2 = 1").select(*reversed(part.columns), F.lit("x, y").alias("note"))
+    write_table(part.where("p_partkey % 2 = 0"), out, fmt="csv", mode="append", options={"header": "true"})
+    write_table(extra, out, fmt="csv", mode="append", options={"header": "true"})
+    return read_csv_by_name(spark, out, part.schema)
+
+
+def q_row_counts_footers(spark, d):
+    return footer_counts(spark, {t: f"{d}/{t}.parquet" for t in TABLES})
+
+
+def q_partition_footers(spark, d):
+    out = scratch_path(spark, "events-footers")
+    write_table(_events_by_day(spark, d), out, mode="overwrite", partition_by=["EVENT_DATE"])
+    return footer_stats(spark, out, ["event_date"], ["event_id"])
+
+
 # --------------------------------------------------------------------------
 # Equivalent SQL (DuckDB dialect subset; ANSI where possible).
 
@@ -393,7 +557,61 @@ _DOCS_LABELLED = (
     "documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"
 )
 
+# Latest by the dense offset (event id // 4), ties kept.
+_DENSE_LATEST_SQL = (
+    'SELECT event_id // 4 AS "offset", CAST(user_id AS VARCHAR) AS key, event_id, ts, user_id, event_type, value, props{more} '
+    "FROM (SELECT *, max(event_id // 4) OVER (PARTITION BY user_id) AS m FROM events) WHERE event_id // 4 = m{where}"
+)
+
+_ENRICH_SQL = (
+    "SELECT o.o_orderkey, o.o_custkey, c.c_name, c.c_nationkey, n.n_name, o.o_orderstatus, "
+    "o.o_totalprice, substring(o.o_orderpriority, 1, 5) AS o_orderpriority, "
+    "CAST(o.o_orderdate AS DATE) AS o_orderdate, c.c_mktsegment "
+    "FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey "
+    "LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey"
+)
+
 SQL: dict[str, str] = {
+    "incremental_compaction": _DENSE_LATEST_SQL.format(more="", where=""),
+    "offset_ledger": (
+        "WITH c AS (SELECT max(event_id) + 1 AS n FROM events), "
+        "s AS (SELECT event_id % 4 AS p, event_id // 4 AS o, "
+        "CASE WHEN event_id < n // 3 THEN 1 WHEN event_id < 2 * n // 3 THEN 2 ELSE 3 END AS v FROM events, c) "
+        "SELECT CAST(v AS BIGINT) AS version, 'events' AS topic, CAST(p AS INTEGER) AS partition, min(o) AS start_offset, "
+        "max(o) + 1 AS end_offset, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_lost, CAST(0 AS BIGINT) AS n_holes "
+        "FROM s GROUP BY v, p"
+    ),
+    "latest_with_deletes": _DENSE_LATEST_SQL.format(more="", where=" AND user_id % 5 <> 0"),
+    "live_snapshot": _DENSE_LATEST_SQL.format(
+        more=f", DATE '{EXTRACT_DAY}' AS extract_date", where=" AND user_id % 5 <> 0"),
+    "stream_latest_per_key": (
+        'SELECT event_id AS "offset", CAST(user_id AS VARCHAR) AS key, event_id, ts, user_id, event_type, value, props '
+        "FROM events JOIN (SELECT user_id, max(event_id) AS event_id FROM events GROUP BY user_id) USING (user_id, event_id)"
+    ),
+    "latest_per_key_aggregate": (
+        "SELECT event_id, ts, user_id, event_type, value, props FROM ("
+        "SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY user_id DESC, event_id DESC) AS rn "
+        "FROM events WHERE event_type IS NOT NULL AND user_id IS NOT NULL) t WHERE rn = 1"
+    ),
+    "enrich_bucketed": _ENRICH_SQL,
+    "staged_overwrite": "SELECT * FROM part WHERE p_size > 10",
+    "extract_quarantine": (
+        "SELECT 'tombstone' AS reason, CAST(1 AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS offsets "
+        "UNION ALL SELECT 'not_json', 1 + count(*), CAST(1 + sum(event_id) AS BIGINT) FROM events WHERE event_id % 50 = 0 "
+        "UNION ALL SELECT 'latest', count(*), CAST(sum(m) AS BIGINT) FROM "
+        "(SELECT max(event_id) AS m FROM events WHERE event_id % 50 <> 0 GROUP BY user_id)"
+    ),
+    "extract_capped": (
+        f"SELECT DATE '{EXTRACT_DAY}' AS extract_date, count(DISTINCT user_id) AS n_rows, TRUE AS capped FROM events"
+    ),
+    "csv_by_name": "SELECT * FROM part",
+    "row_counts_footers": " UNION ALL ".join(
+        f"SELECT '{t}' AS \"table\", count(*) AS n_rows FROM {t}" for t in TABLES
+    ),
+    "partition_footers": (
+        "SELECT CAST(ts AS DATE) AS event_date, count(*) AS n_rows, min(event_id) AS min_event_id, max(event_id) AS max_event_id "
+        "FROM events GROUP BY CAST(ts AS DATE)"
+    ),
     "scan_with_schema": "SELECT o_orderkey, o_custkey, CAST(NULL AS VARCHAR) AS not_there FROM orders",
     "scan_multi_path": "SELECT * FROM orders UNION ALL SELECT * FROM orders",
     "csv_infer": (
@@ -417,13 +635,7 @@ SQL: dict[str, str] = {
         "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate, "
         "o_orderpriority FROM orders"
     ),
-    "enrich_chain": (
-        "SELECT o.o_orderkey, o.o_custkey, c.c_name, c.c_nationkey, n.n_name, o.o_orderstatus, "
-        "o.o_totalprice, substring(o.o_orderpriority, 1, 5) AS o_orderpriority, "
-        "CAST(o.o_orderdate AS DATE) AS o_orderdate, c.c_mktsegment "
-        "FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey "
-        "LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey"
-    ),
+    "enrich_chain": _ENRICH_SQL,
     "enrich_unmatched": f"SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic FROM {_DOCS_LABELLED}",
     "max_per_key": "SELECT event_type, max(event_id) AS event_id FROM events GROUP BY event_type",
     "latest_per_key": _LATEST_SQL.format(k="user_id", o="event_id"),
@@ -531,4 +743,17 @@ QUERIES: dict[str, Query] = {
     "stream_decode_envelope": q_stream_decode_envelope,
     "code_fallback": q_code_fallback,
     "null_profile": q_null_profile,
+    "latest_per_key_aggregate": q_latest_per_key_aggregate,
+    "incremental_compaction": q_incremental_compaction,
+    "offset_ledger": q_offset_ledger,
+    "latest_with_deletes": q_latest_with_deletes,
+    "live_snapshot": q_live_snapshot,
+    "stream_latest_per_key": q_stream_latest_per_key,
+    "extract_quarantine": q_extract_quarantine,
+    "extract_capped": q_extract_capped,
+    "enrich_bucketed": q_enrich_bucketed,
+    "staged_overwrite": q_staged_overwrite,
+    "csv_by_name": q_csv_by_name,
+    "row_counts_footers": q_row_counts_footers,
+    "partition_footers": q_partition_footers,
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +30,23 @@ def parse_json(c: str | Column, schema: T.StructType | str, corrupt_column: str
     return F.from_json(c, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt_column})
 
 
+def key_fields(schema: T.StructType, key: Sequence[str]) -> list[str]:
+    """The schema's own spelling of the key fields, matched exactly or else by case-folding."""
+    by_lower = {f.name.lower(): f.name for f in schema.fields}
+    names = []
+    for k in key:
+        if k not in schema.fieldNames() and k.lower() not in by_lower:
+            raise ValueError(f"key {k!r} is not a field of the payload schema")
+        names.append(k if k in schema.fieldNames() else by_lower[k.lower()])
+    return names
+
+
+def is_json_object(c: str | Column) -> Column:
+    """Whether the text is one JSON object; false for null, junk, truncated text and other JSON values."""
+    c = col(c) if isinstance(c, str) else c
+    return F.coalesce(F.startswith(F.ltrim(F.get_json_object(c, "$")), F.lit("{")), F.lit(False))
+
+
 def flatten_struct(df: DataFrame, struct_col: str, keep: list[str] | None = None) -> DataFrame:
     """`select(keep..., struct_col.*)`: expand a struct next to kept columns."""
     keep = keep or []

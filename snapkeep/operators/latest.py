@@ -26,6 +26,11 @@ Two physical forms:
   broadcast of the (small, size-checked) maxima and the big side is never
   shuffled; otherwise AQE splits a skewed (key, order).  Ties are always
   kept, however many rows tie.
+* ``method="aggregate"`` (``keep_ties=False`` only): ``max_by`` of the whole
+  row over (order, tiebreak), combined on the map side: one row for each key
+  and map task is shuffled, and no task holds more than one row of a key at a
+  time.  Spark aggregates values of variable size over rows sorted by the
+  grouping key, so the map side sorts as the window form does.
 """
 
 from __future__ import annotations
@@ -69,14 +74,19 @@ def latest_per_key(
     keep_ties: bool = True,
     tiebreak: str | Sequence[str] | None = None,
     method: str | None = None,
+    known_not_null: bool = False,
 ) -> DataFrame:
-    """Rows with the highest `order` value for each `key` (see module doc)."""
+    """Rows with the highest `order` value for each `key` (see module doc).
+
+    `known_not_null` leaves out the filter for null keys and orders where the
+    rows are known to have none.
+    """
     keys = [resolve_name(df, k) for k in _as_list(key)]
     orders = [resolve_name(df, o) for o in _as_list(order)]
     ties = [resolve_name(df, t) for t in _as_list(tiebreak)]
     if not keys or not orders:
         raise ValueError("key and order are required")
-    base = not_null_rows(df, keys + orders)
+    base = df if known_not_null else not_null_rows(df, keys + orders)
     if method is None:
         method = "join" if keep_ties and len(orders) == 1 else "rank"
 
@@ -89,20 +99,27 @@ def latest_per_key(
         # Joining on (key, order) spreads a hot key over many partitions.
         return base.join(top, on=keys + orders, how="inner").select(*[col(c) for c in df.columns])
 
-    if method != "rank":
+    if method not in ("rank", "aggregate"):
         raise ValueError(f"unknown method {method!r}")
+    if not keep_ties and not ties:
+        # Without an explicit tiebreak every other orderable column breaks
+        # ties, so the pick is deterministic (a recomputed task after an
+        # executor loss picks the same row).
+        ties = [
+            f.name for f in df.schema.fields
+            if f.name not in keys + orders and not isinstance(f.dataType, T.MapType)
+        ]
+    if method == "aggregate":
+        if keep_ties:
+            raise ValueError("method='aggregate' keeps one row per key; use keep_ties=False")
+        # Structs compare field by field with nulls lowest, as the window's order does.
+        best = F.max_by(F.struct(*[col(c) for c in df.columns]), F.struct(*[col(c) for c in orders + ties]))
+        top = base.groupBy(*[col(k).alias(f"{_RANK}_{i}") for i, k in enumerate(keys)]).agg(best.alias(_RANK))
+        return top.select(*[F.col(_RANK).getField(c).alias(c) for c in df.columns])
     order_by = [col(o).desc() for o in orders]
     if keep_ties:
         fn = F.rank()
     else:
-        # Without an explicit tiebreak every other orderable column breaks
-        # ties, so the pick is deterministic (a recomputed task after an
-        # executor loss picks the same row).
-        if not ties:
-            ties = [
-                f.name for f in df.schema.fields
-                if f.name not in keys + orders and not isinstance(f.dataType, T.MapType)
-            ]
         order_by += [col(t).desc_nulls_last() for t in ties]
         fn = F.row_number()
     w = Window.partitionBy(*[col(k) for k in keys]).orderBy(*order_by)

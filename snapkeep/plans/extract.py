@@ -29,12 +29,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.casts import envelope_columns, exact_int
-from ..functions.json import parse_json
+from ..functions.json import key_fields, parse_json
 from ..functions.naming import col
 from ..operators.latest import latest_per_key, observe_dropped
 from ..operators.layout import drop_stable, stable
 from ..sinks.tables import write_table
 from ..sources.parquet import day_literal
+from .quarantine import quarantine
 
 _PARSED = "__snapkeep_value"
 
@@ -69,16 +70,6 @@ def stamp_date(df: DataFrame, date_col: str, day: str | dt.date | None) -> DataF
 _KEY = "__snapkeep_key_"
 
 
-def _key_names(schema: T.StructType, key: Sequence[str]) -> list[str]:
-    by_lower = {f.name.lower(): f.name for f in schema.fields}
-    names = []
-    for k in key:
-        if k not in schema.fieldNames() and k.lower() not in by_lower:
-            raise ValueError(f"key {k!r} is not a field of the payload schema")
-        names.append(k if k in schema.fieldNames() else by_lower[k.lower()])
-    return names
-
-
 def _prepared(envelope, schema, key, keep_ties: bool, stable_input: bool, decode: str):
     """Rows entering the compaction and the key columns to compact on.
 
@@ -96,7 +87,7 @@ def _prepared(envelope, schema, key, keep_ties: bool, stable_input: bool, decode
     if decode == "early":
         rows, key_cols = decode_envelope(envelope, schema, keep=keep), keys
     elif decode == "late":
-        names = _key_names(schema, keys)
+        names = key_fields(schema, keys)
         key_schema = T.StructType([schema[n] for n in names])
         extra = [col(c) for c in keep if c not in ("offset", "key")]
         rows = envelope.select(*envelope_columns(), *extra)
@@ -178,6 +169,7 @@ def extract_snapshot(
     stable_input: bool = False,
     decode: str = "late",
     strict_int: bool = False,
+    quarantine_root: str | None = None,
 ) -> dict[str, int]:
     """Write the latest snapshot as one date partition of `out_root`.
 
@@ -186,17 +178,27 @@ def extract_snapshot(
     alone.  Returns the row metrics of the run.  A checkpoint of the input
     (`stable_input`, or the join form) is deleted after the write.
 
-    `layout`/`output_partitions` reshape the write tasks (see
-    `operators.layout.shape_output`; ``output_partitions=5`` alone caps the
-    files of the day at five, at the cost of write parallelism).  The default writes from the compaction's own tasks.
+    `output_partitions` caps the files of the day: the decoded rows pass a
+    round-robin shuffle into that many write tasks, so the compaction and the
+    decode keep theirs.  `layout` picks another shape (see
+    `operators.layout.shape_output`); the default writes from the compaction's
+    own tasks.
+
+    `quarantine_root` keeps the messages that the compaction drops as a dated
+    partition of their own (see `quarantine`); the metrics then count them by
+    reason, and `input_rows` counts all messages.
     """
+    sorted_messages = None
+    if quarantine_root:
+        sorted_messages = quarantine(envelope, schema, key, quarantine_root, extract_date, date_col)
+        envelope, stable_input = sorted_messages.accepted, False
     held = stable_input or method == "join"
     rows, key_cols = _prepared(envelope, schema, key, keep_ties, held, decode)
     snap, obs = _snapshot_of(rows, key_cols, schema, extract_date, keep_ties, method, date_col, decode, strict_int)
     out_obs = Observation("extract_output")
     snap = snap.observe(out_obs, F.count(F.lit(1)).alias("output_rows"))
-    if layout is None and not output_partitions:
-        layout = "none"
+    if layout is None:
+        layout = "repartition" if output_partitions else "none"
     try:
         write_table(
             snap, out_root, fmt="parquet", mode="overwrite", partition_by=[date_col],
@@ -205,4 +207,6 @@ def extract_snapshot(
     finally:
         if held:
             drop_stable(rows)
-    return {**obs.get, **out_obs.get}
+        if sorted_messages:
+            sorted_messages.remove()
+    return {**obs.get, **out_obs.get, **(sorted_messages.counts if sorted_messages else {})}

@@ -17,7 +17,9 @@ def partition_inventory(
     partition value of a file-source frame.
 
     Runs as one distributed aggregation over partition discovery, at every
-    directory depth; no file listing passes through the driver.
+    directory depth.  Spark's own file index lists the table on the driver (in
+    parallel tasks beyond its threshold of paths); rows are read for the count
+    only.  `sources.footer_stats` answers row counts without reading rows.
     """
     names = [resolve_name(df, c) for c in partition_cols]
     if not (files or sizes):

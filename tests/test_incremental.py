@@ -1,0 +1,224 @@
+"""Incremental compaction: slices add up to one extract; ledger; deletes; streams."""
+
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from snapkeep.plans import compact, latest_snapshot, live_snapshot, publish, read_live, read_state
+from snapkeep.plans.incremental import apply_batch, keyed_messages, merged_state
+from snapkeep.schemas import ENVELOPE, struct
+from snapkeep.sinks import Buckets, read_version
+from snapkeep.sources import read_snapshot
+from snapkeep.sources.ledger import (
+    EARLIEST, OffsetGap, read_ledger, recorded_ends, starting_offsets, unread,
+)
+from snapkeep.streaming import read_stream_files, write_stream_latest
+
+SCHEMA = struct("id bigint, name string, gone boolean")
+
+
+def messages(n, seed, partitions=3, keys=12, marks=0.2, own_partition=False):
+    """(key, value, partition, offset) with dense offsets in every partition."""
+    rnd = random.Random(seed)
+    nxt = [0] * partitions
+    out = []
+    for i in range(n):
+        k = rnd.randrange(keys)
+        p = k % partitions if own_partition else rnd.randrange(partitions)
+        roll = rnd.random()
+        if roll < marks / 2:
+            value = None
+        elif roll < marks:
+            value = json.dumps({"id": k, "gone": True})
+        elif roll < marks + 0.05:
+            value = "{not json"
+        else:
+            value = json.dumps({"id": k, "name": f"n{i}", "gone": False})
+        out.append((None if rnd.random() < 0.03 else str(k), value, p, nxt[p]))
+        nxt[p] += 1
+    return out
+
+
+def envelope(spark, rows):
+    return spark.createDataFrame(
+        [(None if k is None else bytearray(k.encode()), None if v is None else bytearray(v.encode()), "t", p, o, None, 0)
+         for k, v, p, o in rows], ENVELOPE)
+
+
+def got(df, *columns):
+    return sorted(map(tuple, df.select(*columns).collect()), key=str)
+
+
+def plain_live(rows, keep_ties, deletes):
+    """Latest records by plain Python: {(key, offset, name)}."""
+    best = {}
+    for k, v, p, o in rows:
+        try:
+            rec = None if v is None else json.loads(v)
+        except ValueError:
+            continue
+        key = k if deletes else None if rec is None else rec["id"]
+        if key is None or (rec is None and not deletes):
+            continue
+        gone = deletes and (rec is None or rec.get("gone", False))
+        best.setdefault(key, []).append((o, p, gone, None if rec is None else rec.get("name")))
+    out = []
+    for key, mine in best.items():
+        top = max(m[0] for m in mine) if keep_ties else max(m[:2] for m in mine)
+        tied = [m for m in mine if (m[0] if keep_ties else m[:2]) == top]
+        if deletes:
+            tied = [m for m in tied if not m[2]]
+        out += [(m[0], m[3]) for m in tied]
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("deletes", [False, True])
+@pytest.mark.parametrize("keep_ties", [False, True])
+def test_slices_equal_one_run(spark, tmp, keep_ties, deletes):
+    rows = messages(240, 7 + keep_ties)
+    how = dict(keep_ties=keep_ties, deletes=deletes, delete_flag="gone" if deletes else None)
+    key = None if deletes else "id"
+    for cut in (60, 61, 150, 240):
+        done = compact(envelope(spark, rows[:cut]), SCHEMA, f"{tmp}/s", key=key, buckets=4, **how)
+    assert done["version"] == 4
+    assert got(read_live(spark, f"{tmp}/s"), "offset", "name") == plain_live(rows, keep_ties, deletes)
+    compact(envelope(spark, rows), SCHEMA, f"{tmp}/one", key=key, buckets=4, **how)
+    columns = ["offset", "key", "id", "name", "gone"]
+    assert got(read_live(spark, f"{tmp}/s"), *columns) == got(read_live(spark, f"{tmp}/one"), *columns)
+
+
+def test_equals_the_extract(spark, tmp):
+    rows = messages(200, 3, marks=0)
+    for cut in (90, 200):
+        compact(envelope(spark, rows[:cut]), SCHEMA, f"{tmp}/s", key="id", buckets=3)
+    publish(spark, f"{tmp}/s", f"{tmp}/lake", "2024-03-07")
+    snap, _ = latest_snapshot(envelope(spark, rows), SCHEMA, "id", "2024-03-07")
+    columns = ["offset", "key", "id", "name", "gone", "extract_date"]
+    assert got(read_snapshot(spark, f"{tmp}/lake", "2024-03-07"), *columns) == got(snap, *columns)
+
+
+def test_one_pass_with_deletes(spark):
+    rows = messages(300, 11)
+    for keep_ties in (True, False):
+        live = live_snapshot(envelope(spark, rows), SCHEMA, "2024-01-01", keep_ties=keep_ties, delete_flag="gone")
+        assert got(live, "offset", "name") == plain_live(rows, keep_ties, True)
+
+
+def test_an_older_message_does_not_bring_a_deleted_key_back(spark, tmp):
+    compact(envelope(spark, [("1", '{"id": 1, "name": "a"}', 0, 0), ("1", None, 0, 1)]), SCHEMA, f"{tmp}/s", deletes=True, buckets=2)
+    assert read_live(spark, f"{tmp}/s").count() == 0 and read_state(spark, f"{tmp}/s").count() == 1
+    older = [("1", None, 0, 1), ("1", '{"id": 1, "name": "old"}', 1, 0)]
+    compact(envelope(spark, older), SCHEMA, f"{tmp}/s", deletes=True, buckets=2)
+    assert read_live(spark, f"{tmp}/s").count() == 0
+    compact(envelope(spark, [("1", '{"id": 1, "name": "new"}', 0, 2)]), SCHEMA, f"{tmp}/s", deletes=True)
+    assert got(read_live(spark, f"{tmp}/s"), "name") == [("new",)]
+
+
+def test_only_the_slice_is_shuffled(spark, tmp):
+    rows = messages(200, 5, marks=0)
+    compact(envelope(spark, rows[:100]), SCHEMA, f"{tmp}/s", key="id", buckets=4)
+    new, keys = keyed_messages(envelope(spark, rows[100:]), SCHEMA, "id", False, None)
+    merged = merged_state(read_state(spark, f"{tmp}/s"), new, SCHEMA, keys, ["id"], Buckets("id", 4), True, False)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    at = plan.index("Union")
+    assert "Exchange" not in plan[:at]
+    state = plan[at:plan.index("Exchange", at)]
+    assert "Bucketed: true" in state, plan
+
+
+def test_a_repeated_or_empty_slice_changes_nothing(spark, tmp):
+    rows = messages(80, 2, marks=0)
+    compact(envelope(spark, rows), SCHEMA, f"{tmp}/s", key="id", buckets=2)
+    before = got(read_live(spark, f"{tmp}/s"), "offset", "name")
+    again = compact(envelope(spark, rows), SCHEMA, f"{tmp}/s", key="id")
+    assert again["version"] == 1 and again["input_rows"] == 0
+    assert got(read_live(spark, f"{tmp}/s"), "offset", "name") == before
+
+
+def test_empty_topic(spark, tmp):
+    done = compact(envelope(spark, []), SCHEMA, f"{tmp}/s", key="id", buckets=2)
+    assert done["output_rows"] == 0 and read_live(spark, f"{tmp}/s").count() == 0
+    done = compact(envelope(spark, messages(30, 1, marks=0)), SCHEMA, f"{tmp}/s", key="id")
+    assert done["output_rows"] > 0
+
+
+def test_ledger_records_and_continues(spark, tmp):
+    rows = messages(90, 4)
+    compact(envelope(spark, rows[:50]), SCHEMA, f"{tmp}/s", key="id", buckets=2)
+    first = recorded_ends(spark, f"{tmp}/s")
+    expected = {p: 1 + max(o for _, _, q, o in rows[:50] if q == p) for p in range(3)}
+    assert first == {"t": expected}
+    assert unread(envelope(spark, rows), first).count() == 40
+    compact(envelope(spark, rows), SCHEMA, f"{tmp}/s", key="id")
+    told = {(r["version"], r["partition"]): r for r in read_ledger(spark, f"{tmp}/s").collect()}
+    for p in range(3):
+        assert told[1, p]["end_offset"] == told[2, p]["start_offset"] == expected[p]
+        assert told[2, p]["n_holes"] == told[2, p]["n_lost"] == 0
+    assert sum(r["n_rows"] for r in told.values()) == 90
+    assert starting_offsets({}) == "earliest"
+    assert starting_offsets(first, {"t": range(5)})["t"] == {**expected, 3: EARLIEST, 4: EARLIEST}
+
+
+def test_expired_messages_fail_the_run(spark, tmp):
+    rows = [(str(i), json.dumps({"id": i, "name": "x"}), 0, i) for i in range(30)]
+    compact(envelope(spark, rows[:10]), SCHEMA, f"{tmp}/s", key="id", buckets=2)
+    with pytest.raises(OffsetGap, match="t-0: read up to 10, the slice begins at 12"):
+        compact(envelope(spark, rows[12:]), SCHEMA, f"{tmp}/s", key="id")
+    assert read_version(spark, f"{tmp}/s")["version"] == 1 and read_live(spark, f"{tmp}/s").count() == 10
+    # a hole inside is normal on a compacted topic, and an error only on request
+    with pytest.raises(OffsetGap):
+        compact(envelope(spark, rows[10:20] + rows[22:]), SCHEMA, f"{tmp}/s", key="id", dense=True)
+    compact(envelope(spark, rows[10:20] + rows[22:]), SCHEMA, f"{tmp}/s", key="id")
+    assert {r["n_holes"] for r in read_ledger(spark, f"{tmp}/s").where("version = 2").collect()} == {2}
+
+
+def test_a_failed_merge_is_repeated_from_the_same_offsets(spark, tmp, monkeypatch):
+    from snapkeep.plans import incremental
+
+    rows = messages(100, 6, marks=0)
+    compact(envelope(spark, rows[:40]), SCHEMA, f"{tmp}/s", key="id", buckets=2)
+    monkeypatch.setattr(incremental, "write_version", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError, match="lost"):
+        compact(envelope(spark, rows), SCHEMA, f"{tmp}/s", key="id")
+    monkeypatch.undo()
+    compact(envelope(spark, rows), SCHEMA, f"{tmp}/s", key="id")
+    assert got(read_live(spark, f"{tmp}/s"), "offset", "name") == plain_live(rows, True, False)
+
+
+def test_a_snapshot_of_another_shape_is_refused(spark, tmp):
+    rows = messages(20, 1, marks=0)
+    compact(envelope(spark, rows[:10]), SCHEMA, f"{tmp}/s", key="id", buckets=2)
+    for bad in (dict(key="id", buckets=3), dict(key="name"), dict(key="id", keep_ties=False)):
+        with pytest.raises(ValueError):
+            compact(envelope(spark, rows), SCHEMA, f"{tmp}/s", **bad)
+    with pytest.raises(ValueError, match="payload fields"):
+        compact(envelope(spark, rows), "id bigint, other string", f"{tmp}/s", key="id")
+    with pytest.raises(ValueError, match="clash"):
+        compact(envelope(spark, rows), "id bigint, topic string", f"{tmp}/x", key="id")
+    with pytest.raises(ValueError, match="name the payload"):
+        compact(envelope(spark, rows), SCHEMA, f"{tmp}/x")
+
+
+def test_stream_keeps_the_latest_also_after_a_restart(spark, tmp):
+    rows = messages(180, 8, marks=0)
+    for i, cut in enumerate(((0, 70), (70, 120))):
+        envelope(spark, rows[slice(*cut)]).coalesce(1).write.mode("append").parquet(f"{tmp}/topic")
+    how = dict(root=f"{tmp}/s", checkpoint=f"{tmp}/c", key="id", buckets=3)
+    source = lambda: read_stream_files(spark, f"{tmp}/topic", ENVELOPE, max_files_per_trigger=1)
+    write_stream_latest(source(), SCHEMA, **how)
+    assert read_version(spark, f"{tmp}/s")["streams"] == {"messages": 1}
+    assert got(read_live(spark, f"{tmp}/s"), "offset", "name") == plain_live(rows[:120], True, False)
+    envelope(spark, rows[120:]).coalesce(1).write.mode("append").parquet(f"{tmp}/topic")
+    write_stream_latest(source(), SCHEMA, **how)
+    assert got(read_live(spark, f"{tmp}/s"), "offset", "name") == plain_live(rows, True, False)
+
+
+def test_a_batch_that_runs_again_counts_once(spark, tmp):
+    rows = messages(60, 9, marks=0)
+    how = dict(stream="m", schema=SCHEMA, root=f"{tmp}/s", key="id", buckets=2)
+    assert apply_batch(envelope(spark, rows[:30]), 0, **how)
+    assert apply_batch(envelope(spark, rows[30:]), 1, **how)
+    assert not apply_batch(envelope(spark, rows[30:]), 1, **how)
+    assert got(read_live(spark, f"{tmp}/s"), "offset", "name") == plain_live(rows, True, False)

@@ -130,3 +130,30 @@ def test_rows_tied_on_one_key_spread_over_tasks(spark):
     assert len(rows) == n
     largest = max(rows.count(p) for p in set(rows))
     assert len(set(rows)) >= 4 and largest <= n // 2
+
+
+def test_aggregate_form_equals_the_window(spark):
+    import random
+
+    rnd = random.Random(5)
+    pick = lambda *xs: rnd.choice(xs)
+    rows = [(pick(None, 1, 2, 3, 4), pick(None, 1, 5, 5), pick(None, "a", "b"), pick(None, 0.5, float("nan"), -1.0), i % 7)
+            for i in range(300)]
+    df = spark.createDataFrame(rows, "k int, o int, t string, d double, n int").repartition(5)
+    for tiebreak in (None, ["d", "t", "n"]):
+        how = dict(key="k", order="o", keep_ties=False, tiebreak=tiebreak)
+        window = latest_per_key(df, method="rank", **how)
+        grouped = latest_per_key(df, method="aggregate", **how)
+        assert sorted(map(str, grouped.collect())) == sorted(map(str, window.collect()))
+        assert grouped.columns == df.columns
+    two = latest_per_key(df, ["k", "t"], ["o", "d"], keep_ties=False, method="aggregate")
+    assert sorted(map(str, two.collect())) == sorted(map(str, latest_per_key(df, ["k", "t"], ["o", "d"], keep_ties=False, method="rank").collect()))
+
+
+def test_aggregate_form_has_no_window_and_combines_before_the_shuffle(spark):
+    df = spark.range(100).select((F.col("id") % 3).alias("k"), F.col("id").alias("o"))
+    plan = latest_per_key(df, "k", "o", keep_ties=False, method="aggregate")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and plan.count("Exchange") == 1
+    assert "partial_max_by" in plan[plan.index("Exchange"):]
+    with pytest.raises(ValueError, match="one row per key"):
+        latest_per_key(df, "k", "o", method="aggregate")

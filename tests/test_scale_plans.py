@@ -101,3 +101,31 @@ def test_counts_skip_schema_discovery(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<>" in plan
     assert out.first()["n_rows"] == spark.read.parquet("/root/testdata/sf0.001/orders.parquet").count()
+
+
+def test_bucketed_enrichment_joins_without_an_exchange(spark):
+    from snapkeep import catalog
+
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")  # the 25 nations only
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = catalog.q_enrich_bucketed(spark, "/root/testdata/sf0.01")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+    assert "SortMergeJoin" in plan and plan.count("Bucketed: true") == 2
+    assert plan.count("Exchange") == plan.count("BroadcastExchange") == 1
+
+
+def test_capped_extract_keeps_the_compaction_tasks(spark, tmp):
+    from snapkeep.operators.layout import shape_output
+    from snapkeep.plans import latest_snapshot
+    from snapkeep import catalog
+
+    env = catalog.events_envelope(catalog.table(spark, "/root/testdata/sf0.01", "events"))
+    snap, _ = latest_snapshot(env, catalog.EVENT_PAYLOAD, "user_id", "2024-03-07")
+    plan = shape_output(snap, 2, "repartition")._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce" not in plan
+    # the cap's exchange stands above the window and the full decode
+    assert plan.index("Exchange RoundRobinPartitioning(2)") < plan.index("Window ")

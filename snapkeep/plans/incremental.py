@@ -2,12 +2,14 @@
 
 The snapshot is a versioned table (`sinks.versions`) bucketed by the record
 key (`sinks.buckets`).  A run takes the messages that its ledger has not read
-(`sources.ledger`), keeps the latest of each key, deals only those into the
-snapshot's buckets, and ranks them together with the standing rows bucket by
-bucket: the snapshot is read and written in place, never shuffled, and the
-decode of full payloads stays with the slice's survivors.  Rows, offsets and
-deletes are committed in one log entry.  A run that fails leaves the last
-version; one that is repeated starts at the same offsets.
+(`sources.ledger`), keeps the latest of each key and deals only those into the
+snapshot's buckets.  They become a layer of their own: a run writes what the
+slice holds, however large the snapshot is.  Readers rank the layers with the
+base bucket by bucket, and the run that would exceed `max_layers` writes them
+merged into one.  Both shuffle the layers since the last merge, never the base,
+and full payloads are decoded for the slice's survivors only.  Rows, offsets and deletes are committed in one log
+entry.  A run that fails leaves the last version; one that is repeated starts
+at the same offsets.
 
 Runs over the slices of a topic give what one run over the whole topic gives
 (the latest rows by offset, ties kept or broken as in `latest_snapshot`), in
@@ -29,6 +31,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,7 +44,7 @@ from ..operators.latest import latest_per_key
 from ..operators.layout import drop_stable, stable
 from ..sinks.buckets import Buckets, deal
 from ..sinks.tables import write_table
-from ..sinks.versions import read_current, read_version, write_version
+from ..sinks.versions import read_folder, read_version, write_version
 from ..sources import ledger
 from .extract import stamp_date
 
@@ -53,6 +56,8 @@ _KEYED = "__snapkeep_key"
 _RECORD = "__snapkeep_record"
 
 DEFAULT_BUCKETS = 200
+#: Layers that a snapshot is read from at most before a run merges them.
+MAX_LAYERS = 8
 
 
 def _struct(schema: T.StructType | str) -> T.StructType:
@@ -122,23 +127,57 @@ def state_schema(schema: T.StructType) -> T.StructType:
     ])
 
 
-def merged_state(
-    state: DataFrame | None, messages: DataFrame, schema: T.StructType, message_keys: Sequence[str], keys: Sequence[str],
-    buckets: Buckets, keep_ties: bool, deletes: bool,
+def slice_rows(
+    messages: DataFrame, schema: T.StructType, message_keys: Sequence[str], keep_ties: bool, deletes: bool
 ) -> DataFrame:
-    """The standing rows and the slice's latest, ranked bucket by bucket.
+    """The slice's latest rows, decoded; one shuffle, after a map-side limit."""
+    return _decoded(_latest(messages, message_keys, keep_ties, deletes), schema)
 
-    Only `messages` is shuffled: once to find its latest rows (after a
-    map-side limit) and once, those rows only, into the buckets.
+
+def merged_layers(
+    base: DataFrame, newer: Sequence[DataFrame], buckets: Buckets, keep_ties: bool, deletes: bool
+) -> DataFrame:
+    """The latest rows of a bucketed base and newer rows, ranked bucket by bucket.
+
+    `newer` frames must not be bucketed scans: dealing them is a real shuffle
+    then.  Spark 4.1 takes a union of frames dealt alike for dealt, but runs a
+    union of columnar scans by appending their partitions, so that the rows of
+    a bucket would not meet.
     """
-    new = _decoded(_latest(messages, message_keys, keep_ties, deletes), schema)
-    new = deal(new, buckets)
-    if state is None:
-        return new
-    both = state.select(*new.columns).unionByName(new)
+    if not newer:
+        return base
+    both = base.unionByName(deal(reduce(DataFrame.unionByName, newer), buckets))
     # Both sides lost their null keys and offsets before.  A filter for them here
-    # would hide from the planner that the union's sides are dealt alike.
-    return _latest(both, keys, keep_ties, deletes, known_not_null=True)
+    # would hide from the planner that they are dealt alike.
+    return _latest(both, buckets.keys, keep_ties, deletes, known_not_null=True)
+
+
+def _standing(spark: SparkSession, root: str, entry: dict) -> tuple[DataFrame, list[DataFrame]]:
+    """The base of a version, and its layers as plain files."""
+    base, *newer = _layers(entry)
+    return read_folder(spark, root, entry, base), [read_folder(spark, root, entry, d, bucketed=False) for d in newer]
+
+
+def _layers(entry: dict | None) -> list[str]:
+    """The data folders of a version, oldest first."""
+    return [*(entry.get("layers") or []), entry["data"]] if entry else []
+
+
+def _add_layer(
+    spark: SparkSession, root: str, entry: dict | None, new: DataFrame, buckets: Buckets, keep_ties: bool, deletes: bool,
+    max_layers: int, keep_versions: int, facts: dict,
+) -> dict:
+    """Commit the slice's rows: as a layer, or merged with all there are."""
+    layers = _layers(entry)
+    if len(layers) >= max(1, max_layers):
+        base, newer = _standing(spark, root, entry)
+        new, layers = merged_layers(base, [*newer, new], buckets, keep_ties, deletes), []
+    else:
+        new = deal(new, buckets)
+    return write_version(
+        new, root, expected=entry["version"] if entry else 0, buckets=buckets, dealt=True, keep=keep_versions,
+        facts={**facts, "layers": layers, "keep_ties": keep_ties, "deletes": deletes},
+    )
 
 
 def compact(
@@ -151,6 +190,7 @@ def compact(
     deletes: bool = False,
     delete_flag: str | None = None,
     dense: bool = False,
+    max_layers: int = MAX_LAYERS,
     keep_versions: int = 2,
 ) -> dict:
     """Merge the unread messages of `envelope` into the snapshot at `root`.
@@ -161,7 +201,8 @@ def compact(
     payloads of those) and must be the same each time.  Raises
     `ledger.OffsetGap` before anything is written if messages expired unread.
     The number of buckets and the keys are the snapshot's own after the first
-    run.  Returns the run's metrics.
+    run.  ``max_layers=1`` rewrites the snapshot with every slice.  Returns the
+    run's metrics; `written_rows` are those of the layer or merged snapshot.
     """
     spark = envelope.sparkSession
     schema = _struct(schema)
@@ -173,45 +214,72 @@ def compact(
     keys = ["key"] if deletes else [k[len(_VALUE) + 1:] for k in message_keys]
     plan = Buckets(tuple(keys), buckets or DEFAULT_BUCKETS)
     if entry:
-        plan = _same_shape(entry, plan, buckets, keep_ties, schema)
+        plan = _same_shape(entry, plan, buckets, keep_ties, deletes, schema)
     rows = stable(rows)
     try:
         report = ledger.slice_report(rows, ends)
         ledger.check_slice(report, dense)
         if not report and entry:
-            return {"version": version, "input_rows": 0, "null_key_rows": 0, "output_rows": entry["n_rows"]}
+            return {"version": version, "input_rows": 0, "null_key_rows": 0, "written_rows": 0}
         no_key = F.lit(False)
         for k in message_keys:
             no_key = no_key | col(k).isNull()
         dropped = rows.where(no_key).count()
-        state = read_current(spark, root, version) if entry else None
-        merged = merged_state(state, rows, schema, message_keys, keys, plan, keep_ties, deletes)
-        done = write_version(
-            merged, root, expected=version, buckets=plan, dealt=True, keep=keep_versions,
-            facts={**ledger.facts(ledger.next_ends(ends, report), report), "keep_ties": keep_ties,
-                   "streams": (entry or {}).get("streams") or {}},
+        new = slice_rows(rows, schema, message_keys, keep_ties, deletes)
+        done = _add_layer(
+            spark, root, entry, new, plan, keep_ties, deletes, max_layers, keep_versions,
+            {**ledger.facts(ledger.next_ends(ends, report), report), "streams": (entry or {}).get("streams") or {}},
         )
     finally:
         drop_stable(rows)
     return {"version": done["version"], "input_rows": sum(s.n_rows for s in report), "null_key_rows": dropped,
-            "output_rows": done["n_rows"]}
+            "written_rows": done["n_rows"]}
 
 
-def _same_shape(entry: dict, plan: Buckets, buckets: int | None, keep_ties: bool, schema: T.StructType) -> Buckets:
+def _same_shape(
+    entry: dict, plan: Buckets, buckets: int | None, keep_ties: bool, deletes: bool, schema: T.StructType
+) -> Buckets:
     """The standing snapshot's buckets; an error if it was made for something else."""
     have = Buckets(**entry["buckets"])
     if have.keys != plan.keys or (buckets and buckets != have.count):
         raise ValueError(f"the snapshot is bucketed by {have.keys} into {have.count}, not {plan.keys} into {plan.count}")
-    if entry["keep_ties"] != keep_ties:
-        raise ValueError("the snapshot was made with another keep_ties")
+    if (entry["keep_ties"], entry["deletes"]) != (keep_ties, deletes):
+        raise ValueError("the snapshot was made with another keep_ties or deletes")
     if T.StructType.fromJson(entry["schema"]).fieldNames() != state_schema(schema).fieldNames():
         raise ValueError("the snapshot holds other payload fields; write a new one for a changed schema")
     return have
 
 
 def read_state(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
-    """The snapshot with its delete marks; its buckets are known to the planner."""
-    return read_current(spark, root, version)
+    """The snapshot with its delete marks, dealt by its key.
+
+    Without layers it is a scan whose buckets the planner knows; with them only
+    they are shuffled.  Joins on the key need no further shuffle either way.
+    """
+    entry = read_version(spark, root, version)
+    if entry is None:
+        raise FileNotFoundError(f"{root} has no {'committed version' if version is None else f'version {version}'}")
+    base, newer = _standing(spark, root, entry)
+    return merged_layers(base, newer, Buckets(**entry["buckets"]), entry["keep_ties"], entry["deletes"])
+
+
+def squash(spark: SparkSession, root: str, drop_marks: bool = False, keep_versions: int = 2) -> dict:
+    """Write all layers merged into one now; returns the new log entry.
+
+    `drop_marks` leaves out the delete marks.  Do that once no older message
+    of a deleted key can come, that is when every key's messages stay in one
+    topic partition, or all partitions have been read beyond the deletes.
+    """
+    entry = read_version(spark, root)
+    if entry is None:
+        raise FileNotFoundError(f"{root} has no committed version")
+    state = read_state(spark, root, entry["version"])
+    kept = ("ends", "keep_ties", "deletes", "streams")
+    return write_version(
+        state.where(~F.col(DELETED)) if drop_marks else state, root, expected=entry["version"],
+        buckets=Buckets(**entry["buckets"]), dealt=True, keep=keep_versions,
+        facts={**{k: entry[k] for k in kept}, "slices": [], "layers": []},
+    )
 
 
 def read_live(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
@@ -249,7 +317,7 @@ def live_snapshot(
 def apply_batch(
     messages: DataFrame, batch_id: int, stream: str, schema: T.StructType | str, root: str,
     key: str | Sequence[str] | None = None, buckets: int | None = None, keep_ties: bool = True, deletes: bool = False,
-    delete_flag: str | None = None, keep_versions: int = 2,
+    delete_flag: str | None = None, max_layers: int = MAX_LAYERS, keep_versions: int = 2,
 ) -> bool:
     """Merge one micro-batch of a stream; False if it was merged before.
 
@@ -263,22 +331,19 @@ def apply_batch(
     streams = dict((entry or {}).get("streams") or {})
     if streams.get(stream, -1) >= batch_id:
         return False
-    version = entry["version"] if entry else 0
     rows, message_keys = keyed_messages(messages, schema, key, deletes, delete_flag)
     keys = ["key"] if deletes else [k[len(_VALUE) + 1:] for k in message_keys]
     plan = Buckets(tuple(keys), buckets or DEFAULT_BUCKETS)
     if entry:
-        plan = _same_shape(entry, plan, buckets, keep_ties, schema)
-    state = read_current(spark, root, version) if entry else None
-    merged = merged_state(state, rows, schema, message_keys, keys, plan, keep_ties, deletes)
-    write_version(
-        merged, root, expected=version, buckets=plan, dealt=True, keep=keep_versions,
-        facts={"ends": (entry or {}).get("ends") or {}, "slices": [], "keep_ties": keep_ties,
-               "streams": {**streams, stream: batch_id}},
+        plan = _same_shape(entry, plan, buckets, keep_ties, deletes, schema)
+    new = slice_rows(rows, schema, message_keys, keep_ties, deletes)
+    _add_layer(
+        spark, root, entry, new, plan, keep_ties, deletes, max_layers, keep_versions,
+        {"ends": (entry or {}).get("ends") or {}, "slices": [], "streams": {**streams, stream: batch_id}},
     )
     return True
 
 
 __all__ = [
-    "Buckets", "apply_batch", "compact", "live_snapshot", "publish", "read_live", "read_state",
+    "Buckets", "apply_batch", "compact", "live_snapshot", "publish", "read_live", "read_state", "squash",
 ]

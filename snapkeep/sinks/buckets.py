@@ -13,6 +13,10 @@ table / 256 MB) and keep it: a table with another number is shuffled again.
 A bucket cannot be split, so a key that holds a large share of the rows
 makes its task long.  Snapshots hold few rows a key; for a table with hot or
 null foreign keys use an ordinary join, which AQE can split.
+
+Do not union bucketed frames and group the result by their keys: Spark 4.1
+leaves out the shuffle, but runs a union of columnar scans by appending their
+partitions, so equal keys stay apart (see `plans.incremental.merged_layers`).
 """
 
 from __future__ import annotations

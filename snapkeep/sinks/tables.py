@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.naming import lowercase_partitions
 from ..operators.layout import shape_output
@@ -36,8 +37,14 @@ def write_table(
     while static mode deletes the files it is about to read (the job fails
     and the data is gone), so never overwrite statically a path the frame
     reads.
-    Task output is committed atomically, so a lost executor's retried task
-    leaves no partial files.
+    An unpartitioned ``overwrite`` is staged: the rows are written beside the
+    table and take its place by a rename once all of them are there, so a
+    failed rerun leaves the old rows, and a table may be rewritten from itself.
+    Between the two renames the path is missing for a moment; readers that
+    cannot bear that, or object stores without a rename, use a versioned table
+    (`versions.write_version`).  ``overwrite="static"`` writes in place, as
+    above.  Task output is committed atomically, so a lost executor's retried
+    task leaves no partial files.
 
     `layout`/`partitions` shape the write tasks (see
     `operators.layout.shape_output`).  Partitioned writes default to a
@@ -48,6 +55,8 @@ def write_table(
     a layout caps the write at that many tasks, so at most that many files
     for each partition value (``"coalesce"``).
     """
+    if overwrite not in ("dynamic", "static"):
+        raise ValueError(f"unknown overwrite {overwrite!r}")
     opts = dict(options or {})
     parts: list[str] = []
     if partition_by:
@@ -57,12 +66,40 @@ def write_table(
     if layout is None:
         layout = "coalesce" if partitions else "rebalance" if parts else "none"
     df = shape_output(df, partitions, layout, by=parts if layout == "rebalance" else ())
-    w = df.write.format(fmt).mode(mode)
+    staged = mode == "overwrite" and not parts and overwrite != "static"
+    w = df.write.format(fmt).mode("errorifexists" if staged else mode)
     if parts:
         w = w.partitionBy(*parts)
     if opts:
         w = w.options(**opts)
-    w.save(path)
+    if staged:
+        _replace(df.sparkSession, path, w.save)
+    else:
+        w.save(path)
+
+
+def _replace(spark: SparkSession, path: str, save) -> None:
+    """`save` to a hidden folder beside `path`, then put it in the path's place."""
+    sc = spark.sparkContext
+    target = sc._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    fs = target.getFileSystem(sc._jsc.hadoopConfiguration())
+    mark = uuid.uuid4().hex[:12]
+    beside = [sc._jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{target.getName()}.{n}-{mark}") for n in ("new", "old")]
+    new, old = beside
+    try:
+        save(new.toString())
+        had = fs.exists(target)
+        if had and not fs.rename(target, old):
+            raise OSError(f"{path} could not be moved aside")
+        if not fs.rename(new, target):
+            if had:
+                fs.rename(old, target)
+            raise OSError(f"the new rows could not be moved to {path}")
+        if had:
+            fs.delete(old, True)
+        spark.catalog.refreshByPath(path)
+    finally:
+        fs.delete(new, True)  # there only after a failure
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists", **kw) -> None:

@@ -112,7 +112,8 @@ def write_version(
     `expected` is the version that `df` was made from (default: the last when
     the write starts); the commit fails if there is a newer one by then.
     `buckets` writes the rows bucketed and sorted (`dealt`: see
-    `buckets.write_bucketed`); `facts` are further values of the entry.  Versions before the last `keep` are
+    `buckets.write_bucketed`); `facts` are further values of the entry; folders
+    of earlier versions that this one still needs stand under `layers`.  Versions before the last `keep` are
     removed after the commit, so readers of older frames need `keep` set
     accordingly.
     """
@@ -149,21 +150,33 @@ def read_current(spark: SparkSession, root: str, number: int | None = None) -> D
     entry = read_version(spark, root, number)
     if entry is None:
         raise FileNotFoundError(f"{root} has no {'committed version' if number is None else f'version {number}'}")
-    path = f"{root.rstrip('/')}/{entry['data']}"
+    return read_folder(spark, root, entry, entry["data"])
+
+
+def read_folder(spark: SparkSession, root: str, entry: Mapping, data: str, bucketed: bool = True) -> DataFrame:
+    """The rows of one data folder that a log entry refers to; `bucketed=False`
+    reads a bucketed folder as plain files."""
+    path = f"{root.rstrip('/')}/{data}"
     schema = T.StructType.fromJson(entry["schema"])
-    if entry["buckets"]:
+    if entry["buckets"] and bucketed:
         return read_bucketed(spark, path, schema, Buckets(**entry["buckets"]), fmt=entry["format"])
     return spark.read.format(entry["format"]).options(**entry["options"]).schema(schema).load(path)
 
 
 def drop_old_versions(spark: SparkSession, root: str, keep: int = 2) -> int:
     """Remove the data of versions before the last `keep`; their log entries
-    stay as the table's history.  Returns how many were removed."""
+    stay as the table's history.  Folders that a kept version names in its
+    `layers` stay too.  Returns how many were removed."""
     numbers = version_numbers(spark, root)
+    kept, old = (numbers[-keep:], numbers[:-keep]) if keep else ([], numbers)
+    used = {folder for n in kept for folder in read_version(spark, root, n).get("layers") or []}
     gone = 0
-    # newest first; once a folder is gone, all before it went earlier
-    for n in reversed(numbers[:-keep] if keep else numbers):
-        p, fs = _path(spark, f"{root.rstrip('/')}/{read_version(spark, root, n)['data']}")
+    # newest first; once an unused folder is gone, all before it went earlier
+    for n in reversed(old):
+        data = read_version(spark, root, n)["data"]
+        if data in used:
+            continue
+        p, fs = _path(spark, f"{root.rstrip('/')}/{data}")
         if not fs.exists(p):
             break
         fs.delete(p, True)

@@ -66,3 +66,20 @@ def test_cli_reads_a_json_schema_and_requires_one(spark, tmp):
     assert load_schema(tmp + "/schema.json") == want == load_schema(ddl)
     with pytest.raises(SystemExit):
         run(spark, ["extract", "--envelope", tmp + "/env", "--out", tmp + "/lake"])
+
+
+def test_cli_compacts_slices_and_publishes(spark, tmp):
+    ddl = _envelope(spark, tmp + "/env")
+    with open(tmp + "/schema.ddl", "w") as f:
+        f.write(ddl)
+    args = ["compact", "--schema", tmp + "/schema.ddl", "--root", tmp + "/s", "--key", "id", "--buckets", "2"]
+    spark.read.parquet(tmp + "/env").where("offset < 3").write.parquet(tmp + "/part")
+    assert run(spark, [*args, "--envelope", tmp + "/part"])["version"] == 1
+    done = run(spark, [*args, "--envelope", tmp + "/env", "--publish", tmp + "/lake", "--day", "2024-03-07"])
+    assert done["version"] == 2 and done["input_rows"] == 2
+    snap = read_snapshot(spark, tmp + "/lake", "2024-03-07")
+    assert {r["id"]: r["code"] for r in snap.collect()} == {"i1": "NEWCODE99", "i2": None, "i3": "XY"}
+    with pytest.raises(SystemExit):
+        run(spark, ["compact", "--topic", "t", "--schema", tmp + "/schema.ddl", "--root", tmp + "/s", "--key", "id"])
+    with pytest.raises(SystemExit):  # a password is no argument
+        run(spark, ["extract", "--topic", "t", "--password", "x", "--schema", tmp + "/schema.ddl", "--out", tmp + "/o"])

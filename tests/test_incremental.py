@@ -6,8 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from snapkeep.plans import compact, latest_snapshot, live_snapshot, publish, read_live, read_state
-from snapkeep.plans.incremental import apply_batch, keyed_messages, merged_state
+from snapkeep.plans import compact, latest_snapshot, live_snapshot, publish, read_live, read_state, squash
+from snapkeep.plans.incremental import apply_batch, keyed_messages, merged_layers, slice_rows
 from snapkeep.schemas import ENVELOPE, struct
 from snapkeep.sinks import Buckets, read_version
 from snapkeep.sources import read_snapshot
@@ -74,15 +74,17 @@ def plain_live(rows, keep_ties, deletes):
     return sorted(out, key=str)
 
 
+@pytest.mark.parametrize("max_layers", [1, 2, 8])
 @pytest.mark.parametrize("deletes", [False, True])
 @pytest.mark.parametrize("keep_ties", [False, True])
-def test_slices_equal_one_run(spark, tmp, keep_ties, deletes):
+def test_slices_equal_one_run(spark, tmp, keep_ties, deletes, max_layers):
     rows = messages(240, 7 + keep_ties)
-    how = dict(keep_ties=keep_ties, deletes=deletes, delete_flag="gone" if deletes else None)
+    how = dict(keep_ties=keep_ties, deletes=deletes, delete_flag="gone" if deletes else None, max_layers=max_layers)
     key = None if deletes else "id"
     for cut in (60, 61, 150, 240):
         done = compact(envelope(spark, rows[:cut]), SCHEMA, f"{tmp}/s", key=key, buckets=4, **how)
     assert done["version"] == 4
+    assert len(read_version(spark, f"{tmp}/s")["layers"]) == {1: 0, 2: 1, 8: 3}[max_layers]
     assert got(read_live(spark, f"{tmp}/s"), "offset", "name") == plain_live(rows, keep_ties, deletes)
     compact(envelope(spark, rows), SCHEMA, f"{tmp}/one", key=key, buckets=4, **how)
     columns = ["offset", "key", "id", "name", "gone"]
@@ -118,14 +120,42 @@ def test_an_older_message_does_not_bring_a_deleted_key_back(spark, tmp):
 
 def test_only_the_slice_is_shuffled(spark, tmp):
     rows = messages(200, 5, marks=0)
-    compact(envelope(spark, rows[:100]), SCHEMA, f"{tmp}/s", key="id", buckets=4)
-    new, keys = keyed_messages(envelope(spark, rows[100:]), SCHEMA, "id", False, None)
-    merged = merged_state(read_state(spark, f"{tmp}/s"), new, SCHEMA, keys, ["id"], Buckets("id", 4), True, False)
-    plan = merged._jdf.queryExecution().executedPlan().toString()
-    at = plan.index("Union")
-    assert "Exchange" not in plan[:at]
-    state = plan[at:plan.index("Exchange", at)]
-    assert "Bucketed: true" in state, plan
+    compact(envelope(spark, rows[:50]), SCHEMA, f"{tmp}/s", key="id", buckets=4)
+    compact(envelope(spark, rows[:100]), SCHEMA, f"{tmp}/s", key="id")
+    state = read_state(spark, f"{tmp}/s")
+    layered = state._jdf.queryExecution().executedPlan().toString()
+    one = squash(spark, f"{tmp}/s")
+    assert one["layers"] == [] and one["n_rows"] == state.count()
+    messages_, keys = keyed_messages(envelope(spark, rows[100:]), SCHEMA, "id", False, None)
+    new = slice_rows(messages_, SCHEMA, keys, True, False)
+    merged = merged_layers(read_state(spark, f"{tmp}/s"), [new], Buckets("id", 4), True, False)
+    for plan in (layered, merged._jdf.queryExecution().executedPlan().toString()):
+        at = plan.index("Union")
+        assert "Exchange" not in plan[:at]
+        assert "Bucketed: true" in plan[at:plan.index("Exchange", at)], plan
+
+
+def test_a_run_writes_its_slice_only(spark, tmp):
+    rows = [(str(i), json.dumps({"id": i, "name": "x"}), 0, i) for i in range(500)]
+    compact(envelope(spark, rows[:490]), SCHEMA, f"{tmp}/s", key="id", buckets=3)
+    assert compact(envelope(spark, rows), SCHEMA, f"{tmp}/s", key="id", max_layers=2)["written_rows"] == 10
+    more = [(str(i), json.dumps({"id": i, "name": "y"}), 0, 500 + i) for i in range(5)]
+    assert compact(envelope(spark, rows + more), SCHEMA, f"{tmp}/s", key="id", max_layers=2)["written_rows"] == 500
+    assert read_live(spark, f"{tmp}/s").where("name = 'y'").count() == 5
+    # folders that no kept version needs are gone
+    import os
+    compact(envelope(spark, rows + more + [("0", '{"id": 0}', 0, 505)]), SCHEMA, f"{tmp}/s", key="id")
+    assert len([d for d in os.listdir(f"{tmp}/s") if d.startswith("data-")]) == 2
+
+
+def test_marks_can_be_dropped(spark, tmp):
+    compact(envelope(spark, [("1", '{"id": 1}', 0, 0), ("2", '{"id": 2}', 0, 1)]), SCHEMA, f"{tmp}/s", deletes=True, buckets=2)
+    compact(envelope(spark, [("1", None, 0, 2)]), SCHEMA, f"{tmp}/s", deletes=True)
+    assert read_state(spark, f"{tmp}/s").count() == 2
+    assert squash(spark, f"{tmp}/s", drop_marks=True)["n_rows"] == 1
+    compact(envelope(spark, [("1", '{"id": 1, "name": "back"}', 0, 3)]), SCHEMA, f"{tmp}/s", deletes=True)
+    assert got(read_live(spark, f"{tmp}/s"), "id", "name") == [(1, "back"), (2, None)]
+    assert recorded_ends(spark, f"{tmp}/s") == {"t": {0: 4}}
 
 
 def test_a_repeated_or_empty_slice_changes_nothing(spark, tmp):
@@ -139,9 +169,9 @@ def test_a_repeated_or_empty_slice_changes_nothing(spark, tmp):
 
 def test_empty_topic(spark, tmp):
     done = compact(envelope(spark, []), SCHEMA, f"{tmp}/s", key="id", buckets=2)
-    assert done["output_rows"] == 0 and read_live(spark, f"{tmp}/s").count() == 0
+    assert done["written_rows"] == 0 and read_live(spark, f"{tmp}/s").count() == 0
     done = compact(envelope(spark, messages(30, 1, marks=0)), SCHEMA, f"{tmp}/s", key="id")
-    assert done["output_rows"] > 0
+    assert done["written_rows"] > 0
 
 
 def test_ledger_records_and_continues(spark, tmp):

@@ -178,3 +178,26 @@ def test_dynamic_rewrite_of_a_table_from_itself(spark, tmp):
     write_table(back.where(F.dayofmonth("extract_date") == 2), tmp + "/t", mode="overwrite",
                 partition_by=["extract_date"])
     assert tags_by_day(spark, tmp + "/t") == [(1, "a"), (2, "b")]
+
+
+def test_unpartitioned_overwrite_is_staged(spark, tmp):
+    import os
+
+    path = tmp + "/t"
+    write_table(spark.range(3), path, mode="overwrite")
+    bad = spark.range(10).select(F.when(F.col("id") == 9, F.raise_error(F.lit("boom"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="boom"):
+        write_table(bad, path, mode="overwrite")
+    assert sorted(r[0] for r in spark.read.parquet(path).collect()) == [0, 1, 2]
+    # rewritten from itself
+    write_table(spark.read.parquet(path).where("id > 0"), path, mode="overwrite")
+    assert sorted(r[0] for r in spark.read.parquet(path).collect()) == [1, 2]
+    assert os.listdir(tmp) == ["t"]
+    with pytest.raises(ValueError, match="unknown overwrite"):
+        write_table(spark.range(1), path, mode="overwrite", overwrite="other")
+
+
+def test_static_unpartitioned_overwrite_writes_in_place(spark, tmp):
+    write_table(spark.range(3), tmp + "/t", mode="overwrite", overwrite="static")
+    write_table(spark.range(1), tmp + "/t", mode="overwrite", overwrite="static")
+    assert spark.read.parquet(tmp + "/t").count() == 1

@@ -16,8 +16,16 @@ repeat.  Whole suffix positions never meet in one place.
 
 Skew: a stretch that occurs several times in a task's batch is sent once, for
 the least doc_id; the others are removed there and then, as an earlier
-document of the batch holds the very same bytes.  So a passage that a third
-of all documents share reaches its bucket once a batch, not once a document.
+document of the batch holds the very same bytes (their bytes are compared, not
+only their keys).  So a passage that a third of all documents share reaches
+its bucket once a batch, not once a document.  The stretches around it differ
+though, and would all meet in the bucket of its grams.  So grams with more than
+`HOT` different stretches are looked for in a sample of the documents, and
+their suffixes are dealt one by one, by all of their 50 bytes: equal ones still
+meet, and the others spread over all buckets.  The sample steers the dealing
+only.  At most `MAX_HOT` grams are listed; a larger group that was not found
+is ordered in pieces, again by the 50 bytes, so ordering never takes more than
+`CHUNK` suffixes or those of `HOT` stretches at a time.
 
 Defined cases: a null text has no bytes (hash of the empty string) and one
 shorter than 50 bytes loses nothing; rows that repeat a doc_id do not count
@@ -51,6 +59,13 @@ BLOCK_BYTES = 8 << 20
 #: Bytes scanned at once, and suffixes ordered at once.
 SEGMENT = 4 << 20
 CHUNK = 1 << 18
+#: Different stretches of a gram beyond which its suffixes are dealt singly.
+HOT = 1 << 14
+#: Hot grams listed at most (8 bytes each), the most frequent first.
+MAX_HOT = 1 << 20
+#: The sample that finds them: this many bytes, or this share if that is more.
+SAMPLE_BYTES = 16 << 20
+SAMPLE_SHARE = 1 / 256
 NO_ID = np.iinfo(np.int64).max
 
 _TYPES = {"b": np.dtype("u1"), "i": np.dtype("<u4"), "q": np.dtype("<i8")}
@@ -132,12 +147,39 @@ class Stretches:
         self.count = stop[np.searchsorted(stop, self.start, side="right")] - self.start
         self.least = least[self.start]
         self.segment = np.searchsorted(self.base, self.start, side="right") - 1
-        self.offset = np.zeros(len(self.start), dtype=np.int64)
-        left = np.arange(len(self.start))
+        self.offset = self._offsets(self.start, self.least)
+
+    def _offsets(self, start: np.ndarray, least: np.ndarray) -> np.ndarray:
+        """Place of the least gram in the strings from `start`."""
+        offset = np.zeros(len(start), dtype=np.int64)
+        left = np.arange(len(start))
         for j in range(GRAMS):
-            hit = self.hash[self.start[left] + j] == self.least[left]
-            self.offset[left[hit]] = j
+            hit = self.hash[start[left] + j] == least[left]
+            offset[left[hit]] = j
             left = left[~hit]
+        return offset
+
+    def route(self, hot: np.ndarray) -> np.ndarray:
+        """The key that each stretch is dealt by: its gram, or all of its bytes
+        where the gram is one of `hot` (sorted), whose stretches are first cut
+        into single suffixes."""
+        at = np.minimum(np.searchsorted(hot, self.least), max(0, len(hot) - 1))
+        is_hot = hot[at] == self.least if len(hot) else np.zeros(len(self.least), dtype=bool)
+        if not is_hot.any():
+            return mix(self.least.copy())
+        n = np.where(is_hot, self.count, 1)
+        step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        single = np.repeat(is_hot, n)
+        start, least = np.repeat(self.start, n) + step, np.repeat(self.least, n)
+        offset = np.repeat(self.offset, n)
+        moved = np.flatnonzero(single)
+        offset[moved] = self._offsets(start[moved], least[moved])
+        self.count = np.where(single, 1, np.repeat(self.count, n))
+        self.segment = np.repeat(self.segment, n)
+        self.start, self.least, self.offset = start, least, offset
+        key = least.copy()
+        key[moved] = string_keys(self.hash, start[moved])
+        return mix(key)
 
     def content_keys(self) -> np.ndarray:
         """Equal for stretches of equal bytes; stretches of more suffixes than
@@ -151,6 +193,29 @@ class Stretches:
         return key
 
 
+def string_keys(hashes: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """A key of the LENGTH bytes from each start, from the hashes of the grams in them."""
+    key = hashes[start].copy()
+    for at in (*range(GRAM, LENGTH - GRAM, GRAM), LENGTH - GRAM):
+        key = mix(key * U64(0x9E3779B97F4A7C15) + hashes[start + at])
+    return key
+
+
+def same_bytes(buf: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the spans from `a` and `b` hold equal bytes (sizes of 8 or more)."""
+    w = _words_at(buf)
+    same = np.ones(len(a), dtype=bool)
+    left = np.arange(len(a))
+    at = 0
+    while len(left):
+        # the last word of a span overlaps the one before it
+        place = np.minimum(at, size[left] - 8)
+        same[left] &= w[a[left] + place] == w[b[left] + place]
+        at += 8
+        left = left[same[left] & (size[left] > at)]
+    return same
+
+
 def gather(buf: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The bytes of spans of `buf`, one after another."""
     shift = start - (np.cumsum(size) - size)
@@ -174,7 +239,35 @@ def _segments(texts: Iterable[bytes]) -> Iterator[tuple[list[int], list[int], li
         yield owner, place, parts
 
 
-def _deal(buckets: int, blocks: int):
+def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts to (gram, number of different stretches of it in a batch)."""
+    for batch in batches:
+        column = batch.column(0)
+        texts = (t or b"" for lo in range(0, len(column), 500) for t in column.slice(lo, 500).to_pylist())
+        for _, _, parts in _segments(texts):
+            s = Stretches(parts)
+            _, one = np.unique(s.content_keys(), return_index=True)
+            gram, n = np.unique(s.least[one], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(n)], names=["gram", "n"])
+
+
+def hot_grams(rows: DataFrame, total: int) -> np.ndarray:
+    """Grams with more than about HOT different stretches, sorted.
+
+    A sample of documents shows them: a gram with HOT stretches in the corpus
+    has 64 or more in it.
+    """
+    share = max(SAMPLE_SHARE, min(1.0, SAMPLE_BYTES / max(total, 1)))
+    parts = 1 << 16
+    sample = rows.where(F.pmod(F.xxhash64("doc_id", "key"), F.lit(parts)) < int(share * parts)).select("text")
+    found = (
+        sample.mapInArrow(_count_grams, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+        .where(F.col("n") >= max(2.0, share * HOT)).orderBy(F.desc("n"), "gram").limit(MAX_HOT).select("gram").collect()
+    )
+    return np.sort(np.array([r["gram"] for r in found], dtype=np.int64).view(U64))
+
+
+def _deal(buckets: int, blocks: int, hot: np.ndarray):
     """(doc_id, key, text) to (bucket, stretches, block, marks)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,13 +278,14 @@ def _deal(buckets: int, blocks: int):
             # texts become Python objects a few at a time
             texts = (t or b"" for lo in range(0, len(column), 500) for t in column.slice(lo, 500).to_pylist())
             for owner, place, parts in _segments(texts):
-                yield _deal_batch(buckets, blocks, ids, keys, np.array(owner), np.array(place), parts)
+                yield _deal_batch(buckets, blocks, hot, ids, keys, np.array(owner), np.array(place), parts)
 
     return run
 
 
-def _deal_batch(buckets, blocks, ids, keys, owner, place, parts) -> pa.RecordBatch:
+def _deal_batch(buckets, blocks, hot, ids, keys, owner, place, parts) -> pa.RecordBatch:
     s = Stretches(parts)
+    route = s.route(hot)
     block_of = result_block(ids, keys, blocks)
     doc = owner[s.segment]
     at = place[s.segment] + s.start - s.base[s.segment]
@@ -199,9 +293,16 @@ def _deal_batch(buckets, blocks, ids, keys, owner, place, parts) -> pa.RecordBat
     order = np.lexsort((ids[doc], content))
     first = np.ones(len(order), dtype=bool)
     first[1:] = content[order][1:] != content[order][:-1]
-    least = ids[doc[order[first]]][np.cumsum(first) - 1]
+    earliest = order[first][np.cumsum(first) - 1]
     later = np.zeros(len(order), dtype=bool)
-    later[order] = ids[doc[order]] > least
+    later[order] = ids[doc[order]] > ids[doc[earliest]]
+    # equal keys are not yet equal bytes; what differs is sent like others
+    copies = later[order]
+    one, other = order[copies], earliest[copies]
+    same = s.count[one] == s.count[other]
+    one, other = one[same], other[same]
+    later[:] = False
+    later[one[same_bytes(s.buf, s.start[one], s.start[other], s.count[one] + LENGTH - 1)]] = True
     rows = []
     gone = np.flatnonzero(later)
     gone = gone[np.argsort(block_of[doc[gone]], kind="stable")]
@@ -211,7 +312,7 @@ def _deal_batch(buckets, blocks, ids, keys, owner, place, parts) -> pa.RecordBat
         block = int(block_of[d[0]])
         rows.append((block % buckets, None, block, marks))
     send = np.flatnonzero(~later)
-    bucket = (mix(s.least[send].copy()) % U64(buckets)).astype(np.int64)
+    bucket = (route[send] % U64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     send, bucket = send[order], bucket[order]
     for part in np.split(np.arange(len(send)), np.flatnonzero(np.diff(bucket)) + 1) if len(send) else ():
@@ -318,6 +419,24 @@ def _unpack_stretches(data: bytes) -> tuple:
     return ids, keys, local, at, count.astype(np.int64), offset, text
 
 
+def _pieces(buf: np.ndarray, at: np.ndarray) -> Iterator[np.ndarray]:
+    """The suffixes from `at` in pieces of about CHUNK, equal strings together."""
+    if len(at) <= 2 * CHUNK:
+        yield np.arange(len(at))
+        return
+    w = _words_at(buf)
+    pieces = -(-len(at) // CHUNK)
+    piece = np.empty(len(at), dtype=np.int32)
+    for lo in range(0, len(at), CHUNK):
+        here = at[lo:lo + CHUNK]
+        key = np.zeros(len(here), dtype=U64)
+        for k in (*range(0, LENGTH - 7, 8), LENGTH - 8):
+            key = mix(key * U64(0x9E3779B97F4A7C15) + w[here + k])
+        piece[lo:lo + CHUNK] = key % U64(pieces)
+    for p in range(pieces):
+        yield np.flatnonzero(piece == p)
+
+
 def _mark_bucket(table: pa.Table, blocks: int) -> pa.Table:
     """All rows of one bucket to marks: (block, marks)."""
     out_block = [b for b in table.column("block").to_pylist() if b is not None]
@@ -332,8 +451,9 @@ def _mark_bucket(table: pa.Table, blocks: int) -> pa.Table:
             for p, a in zip(parts, got):
                 p.append(a)
     if docs:
-        ids, keys, local, at, count, offset, buf = (np.concatenate(p) for p in parts)
-        del parts
+        # one after another, so that the parts of one field at a time are held twice
+        parts.reverse()
+        ids, keys, local, at, count, offset, buf = (np.concatenate(parts.pop()) for _ in range(7))
         begin = np.cumsum(count + LENGTH - 1) - (count + LENGTH - 1)
         w = _words_at(buf)
         anchor = mix(w[begin + offset] * U64(0x9E3779B97F4A7C15) + mix(w[begin + offset + 8]))
@@ -359,15 +479,16 @@ def _mark_bucket(table: pa.Table, blocks: int) -> pa.Table:
                 continue
             run = np.repeat(part, count[part])
             step = np.arange(len(run)) - np.repeat(np.cumsum(count[part]) - count[part], count[part])
-            hit = longest_previous_factor(buf, begin[run] + step, ids[local[run]]) >= LENGTH
-            # consecutive hits of a stretch are one mark
-            new = hit.copy()
-            new[1:] &= ~hit[:-1] | (step[1:] == 0)
-            end = hit.copy()
-            end[:-1] &= ~hit[1:] | (step[1:] == 0)
-            a, b = np.flatnonzero(new), np.flatnonzero(end)
-            d = local[run[a]]
-            found.append((ids[d], keys[d], at[run[a]] + step[a], at[run[b]] + step[b] + LENGTH))
+            for piece in _pieces(buf, begin[run] + step):
+                r, k = run[piece], step[piece]
+                hit = np.flatnonzero(longest_previous_factor(buf, begin[r] + k, ids[local[r]]) >= LENGTH)
+                r, k = r[hit], k[hit]
+                # consecutive hits of a stretch are one mark
+                new = np.ones(len(hit), dtype=bool)
+                new[1:] = (r[1:] != r[:-1]) | (k[1:] != k[:-1] + 1)
+                end = np.append(new[1:], True) if len(hit) else new
+                d = local[r[new]]
+                found.append((ids[d], keys[d], at[r[new]] + k[new], at[r[end]] + k[end] + LENGTH))
         if found:
             ids, keys, a, b = (np.concatenate(x) for x in zip(*found))
             block = result_block(ids, keys, blocks)
@@ -451,7 +572,7 @@ def remove_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
         return _mark_bucket(table, blocks)
 
     marks = (
-        rows.mapInArrow(_deal(buckets, blocks), "bucket long, stretches binary, block long, marks binary")
+        rows.mapInArrow(_deal(buckets, blocks, hot_grams(rows, total)), "bucket long, stretches binary, block long, marks binary")
         .groupBy("bucket").applyInArrow(mark, "block long, marks binary")
     )
     texts = rows.mapInArrow(_squeeze(blocks), "doc_id long, key long, block long, packed binary")

@@ -631,3 +631,86 @@ def test_pipeline_stages(ship, edge_docs, tmp):
     ship.createDataFrame([], "item_id bigint, text string").write.mode("overwrite").parquet(f"{tmp}/benchmark.parquet")
     docs.where("false").write.mode("overwrite").parquet(f"{tmp}/documents.parquet")
     assert corpus_pipeline.run(ship, tmp).count() == 0
+
+
+def shared_line_docs(n, seed=3):
+    """One 88-byte line in every document, random bytes around it."""
+    rnd = random.Random(seed)
+    noise = lambda k: "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz ", k=k))
+    line = noise(88)
+    return [(i, noise(rnd.randint(0, 70)) + line + noise(rnd.randint(0, 70))) for i in range(n)]
+
+
+def test_repeats_around_a_line_of_every_document(ship, monkeypatch):
+    docs = shared_line_docs(400) + [(1000 + i, "ab" * 90 + str(i)) for i in range(40)] + [(2000 + i, "z" * 300) for i in range(5)]
+    monkeypatch.setattr(repeats, "HOT", 30)
+    rows = repeats.base_docs(frame(ship, docs)).select(
+        "doc_id", F.pmod(F.xxhash64("text"), F.lit(1 << 32)).alias("key"), F.col("text").cast("binary").alias("text"))
+    hot = repeats.hot_grams(rows, 100_000)
+    assert len(hot) >= 3
+    got = {r["doc_id"]: tuple(r)[1:5] for r in repeats.remove_repeats(frame(ship, docs)).collect()}
+    assert got == {d: v for (d, _), v in brute.repeats(docs).items()}
+
+
+def test_repeats_of_a_hot_gram_are_dealt_over_all_buckets():
+    docs = shared_line_docs(3000)
+    ids, texts = np.arange(len(docs)), [t.encode() for _, t in docs]
+    (owner, place, parts), = repeats._segments(texts)
+    s = repeats.Stretches(parts)
+    gram, n = np.unique(s.least, return_counts=True)
+    hot = np.sort(gram[n > 100])
+
+    def largest(hot):
+        batch = repeats._deal_batch(16, 4, hot, ids, ids, np.array(owner), np.array(place), parts)
+        sizes = [0] * 16
+        for bucket, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if data is not None:
+                count = repeats.unpack("qiiibibb", data)[5]
+                sizes[bucket] += int(count.sum())
+        return sizes
+
+    before, after = largest(np.zeros(0, dtype=repeats.U64)), largest(hot)
+    # far below one bucket's share of the suffixes around the line
+    assert max(after) < 1.3 * sum(after) / 16 < max(before)
+
+
+def test_large_groups_are_ordered_in_pieces(monkeypatch):
+    texts = [t.encode() for _, t in shared_line_docs(200)]
+    buf = np.frombuffer(b"".join(texts) + b"\0" * 8, dtype=np.uint8)
+    ends = np.cumsum([len(t) for t in texts])
+    at = np.concatenate([np.arange(e - len(t), e - 49) for e, t in zip(ends, texts)])
+    doc = np.repeat(np.arange(200), [len(t) - 49 for t in texts])
+    whole = repeats.longest_previous_factor(buf, at, doc)
+    monkeypatch.setattr(repeats, "CHUNK", 500)
+    pieces = list(repeats._pieces(buf, at))
+    assert len(pieces) > 20 and max(map(len, pieces)) < 3 * 500
+    assert np.array_equal(np.sort(np.concatenate(pieces)), np.arange(len(at)))
+    got = np.zeros(len(at), dtype=np.int64)
+    for p in pieces:
+        got[p] = repeats.longest_previous_factor(buf, at[p], doc[p])
+    assert np.array_equal(got, whole)
+
+
+def test_repeats_do_not_rest_on_equal_keys(ship, edge_docs, monkeypatch):
+    monkeypatch.setattr(repeats.Stretches, "content_keys", lambda self: np.zeros(len(self.start), dtype=repeats.U64))
+    docs = [d for d in edge_docs if d[0] is not None]
+    batches = list(repeats._segments([(t or "").encode() for _, t in docs]))
+    ids = np.array([d for d, _ in docs])
+    first = {}
+    for d, t in docs:
+        b = (t or "").encode()
+        for p in range(len(b) - 49):
+            first[b[p:p + 50]] = min(first.get(b[p:p + 50], d), d)
+    for owner, place, parts in batches:
+        out = repeats._deal_batch(2, 2, np.zeros(0, dtype=repeats.U64), ids, np.arange(len(ids)), np.array(owner), np.array(place), parts)
+        for marks in out.column(3).to_pylist():
+            if marks is not None:
+                for d, k, a, b in zip(*repeats.unpack("qiii", marks)):
+                    text = (docs[k][1] or "").encode()
+                    assert all(first[text[p:p + 50]] < d for p in range(a, b - 49))
+
+
+def test_equal_spans_are_compared_byte_by_byte():
+    buf = np.frombuffer(b"abcdefghijXabcdefghijYabcdefghiZ" + b"\0" * 16, dtype=np.uint8)
+    a, b = np.array([0, 0, 0]), np.array([11, 11, 22])
+    assert repeats.same_bytes(buf, a, b, np.array([10, 11, 10])).tolist() == [True, False, False]

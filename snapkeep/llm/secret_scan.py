@@ -28,7 +28,7 @@ import binascii
 import hashlib
 import json
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -52,7 +52,10 @@ _ARMOUR = re.compile(r"-----(?=(BEGIN|END) ([A-Z0-9 ]+)-----)")
 _ESCAPED = re.compile(r"\\+(?:(u000[9AaDd]|[nrt])|(u003[Dd])|(u002[Bb])|(?:/|u002[Ff]))")
 _HEADER = re.compile(r"[A-Za-z][A-Za-z0-9-]*:")
 _CHECKSUM = re.compile(r"=[A-Za-z0-9+/]{4}")
-_TOKEN = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
+#: A whole run of token characters with a dot and another run behind it, and a
+#: run from a given place (possessive: each character is read once).
+_DOTTED = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]++(?=\.[A-Za-z0-9_-])")
+_PART = re.compile(r"[A-Za-z0-9_-]*+")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
 _STRETCH = re.compile(r"[A-Za-z0-9+/_-]+")
 #: Stretches of base64 with white space, escaped breaks or the backslash of an
@@ -168,6 +171,46 @@ def is_signed_token(header: str, claims: str, signature: str) -> bool:
     return len(decode_base64(signature) or b"") >= 16
 
 
+def dotted_tokens(text: str) -> Iterator[tuple[int, str, str, str, int]]:
+    """(start, header, claims, signature, end) of `eyJ...` runs joined by dots,
+    leftmost and not overlapping, in time linear in the text."""
+    done = 0
+    for m in _DOTTED.finditer(text):
+        start = text.find("eyJ", m.start(), m.end())
+        if m.start() < done or start < 0 or start + 3 == m.end():
+            continue
+        claims = _PART.match(text, m.end() + 1)
+        if not text.startswith(".", claims.end()):
+            continue
+        signature = _PART.match(text, claims.end() + 1)
+        done = signature.end()
+        yield start, text[start:m.end()], claims[0], signature[0], done
+
+
+class Taken:
+    """Disjoint intervals of a text, in order."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for a, b in sorted(spans):
+            if self.ends and a < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], b)
+            else:
+                self.starts.append(a)
+                self.ends.append(b)
+
+    def free(self, a: int, b: int) -> bool:
+        i = bisect_right(self.ends, a)
+        return i == len(self.ends) or b <= self.starts[i]
+
+    def add(self, a: int, b: int) -> None:
+        """An interval that is free."""
+        i = bisect_left(self.starts, a)
+        self.starts.insert(i, a)
+        self.ends.insert(i, b)
+
+
 def armour_blocks(text: str) -> Iterator[tuple[int, str, str, int]]:
     """(start, label, body, end) of BEGIN lines followed by their END line."""
     opened = None
@@ -280,36 +323,36 @@ def base_spans(text: str) -> list[Span]:
 def confirmed_spans(text: str) -> list[Span]:
     """Candidates whose decoded structure is that of a key or signed token."""
     spans: list[Span] = []
-    taken: list[tuple[int, int]] = []
-
-    def add(m: re.Match, kind: str) -> None:
-        mark(m.start(), kind, m.end())
 
     def mark(start: int, kind: str, end: int) -> None:
         spans.append((start, KINDS.index(kind), end))
-        taken.append((start, end))
 
     if "-----BEGIN " in text:
         for start, label, body, end in armour_blocks(text):
             if is_armoured_key(label, body):
                 mark(start, "pem", end)
     if "eyJ" in text:
-        for m in _TOKEN.finditer(text):
-            if is_signed_token(*m.groups()):
-                add(m, "token")
-    free = lambda m: all(m.end() <= a or m.start() >= b for a, b in taken)
+        for start, header, claims, signature, end in dotted_tokens(text):
+            if is_signed_token(header, claims, signature):
+                mark(start, "token", end)
+    taken = Taken([(a, b) for a, _, b in spans])
+
+    def found(start: int, kind: str, end: int) -> None:
+        mark(start, kind, end)
+        taken.add(start, end)
+
     for start, kind, end in wrapped_keys(text):
-        if all(end <= a or start >= b for a, b in taken):
-            mark(start, kind, end)
+        if taken.free(start, end):
+            found(start, kind, end)
     for m in _BASE64.finditer(text):
-        if free(m) and (data := decode_base64(m[0])) is not None:
+        if taken.free(*m.span()) and (data := decode_base64(m[0])) is not None:
             if is_der_key(data):
-                add(m, "der")
+                found(m.start(), "der", m.end())
             elif is_public_key(data):
-                add(m, "pubkey")
+                found(m.start(), "pubkey", m.end())
     for m in _HEX_ANY.finditer(text):
-        if free(m) and m[0][:2] == "30" and is_der_key(bytes.fromhex(m[0])):
-            add(m, "der")
+        if m[0][:2] == "30" and taken.free(*m.span()) and is_der_key(bytes.fromhex(m[0])):
+            found(m.start(), "der", m.end())
     return sorted(spans)
 
 

@@ -38,7 +38,9 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from snapkeep.functions.naming import quote
 from snapkeep.llm.components import connected_components
 from snapkeep.llm.frames import base_docs, bucket_count, cut, text_bytes
 from snapkeep.llm.wordhash import U64, Words, mix, shingles, slices
@@ -512,11 +514,25 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 def keep_one_each(docs: DataFrame) -> DataFrame:
     """One document of each component (its least doc_id), all columns unchanged.
 
-    Rows that repeat a doc_id are one document; a row without doc_id stays,
-    once for each text.
+    Rows that repeat a doc_id are one document and go or stay together; of
+    those that stay, and of rows without doc_id, which all stay, one is kept
+    for each text.  Such rows may differ in other columns; the least in those
+    that can be ordered is kept, whatever order they are read in.
     """
     names = docs.columns
-    gone = jaccard_components(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    left = docs.join(gone, docs["doc_id"] == F.col("gone_id"), "left_anti")
-    mark = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
-    return left.withColumn("__mark", mark).dropDuplicates(["doc_id", "__mark"]).select(*names)
+    gone_id, text_key = _free_name("gone", names), _free_name("text_key", names)
+    gone = jaccard_components(docs).where("doc_id <> component_id").select(F.col("doc_id").alias(gone_id)).distinct()
+    left = docs.join(gone, F.col("doc_id").cast("long") == F.col(gone_id), "left_anti")
+    others = [f.name for f in docs.schema.fields if f.name not in ("doc_id", "text") and not isinstance(f.dataType, T.MapType)]
+    row = F.struct(*[F.col(quote(n)) for n in names])
+    least = F.min_by(row, F.struct(*[F.col(quote(n)) for n in others])) if others else F.first(row)
+    one = left.groupBy("doc_id", F.sha2(F.col("text").cast("string"), 256).alias(text_key)).agg(least.alias("row"))
+    return one.select(*[F.col("row").getField(n).alias(n) for n in names])
+
+
+def _free_name(name: str, taken: list[str]) -> str:
+    """`name`, lengthened until no column is called so."""
+    lower = {t.lower() for t in taken}
+    while name.lower() in lower:
+        name = "_" + name
+    return name

@@ -187,4 +187,60 @@ SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM f JOIN per USING (doc_id)
 """,
     "op11_centroid_clusters": centroids.clusters_sql(),
+    # every 50-byte string with the least document it starts in; runs of strings
+    # that start in a later one are the removed spans
+    "op4_repeat_removal": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+-- stretches of 400 strings: taking one string from a long text costs its length
+c AS (
+  SELECT r, doc_id, base, substr(h, 2 * base + 1, 898) AS h
+  FROM (SELECT r, doc_id, h, unnest(range(0, length(h) // 2 - 49, 400)) AS base FROM d WHERE length(h) >= 100)
+),
+w AS (
+  SELECT r, doc_id, base + k AS p, substr(h, 2 * k - 1, 100) AS g
+  FROM (SELECT r, doc_id, base, h, unnest(range(1, length(h) // 2 - 48)) AS k FROM c)
+),
+f AS (SELECT g, min(doc_id) AS m FROM w GROUP BY g),
+hit AS (SELECT r, p, lag(p) OVER (PARTITION BY r ORDER BY p) AS b FROM w JOIN f USING (g) WHERE doc_id > m),
+run AS (
+  SELECT r, min(p) AS a, max(p) + 50 AS z
+  FROM (SELECT r, p, sum(CASE WHEN b IS NULL OR p > b + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY p) AS k FROM hit)
+  GROUP BY r, k
+),
+piece AS (
+  SELECT d.r, a, z, substr(h, 2 * before - 1, 2 * (a - before)) AS kept
+  FROM (SELECT r, a, z, lag(z, 1, 1) OVER (PARTITION BY r ORDER BY a) AS before FROM run) AS s JOIN d ON d.r = s.r
+),
+doc AS (
+  SELECT r, sum(z - a) AS n_removed, count(*) AS n_spans, max(z) AS tail, string_agg(kept, '' ORDER BY a) AS front FROM piece GROUP BY r
+)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(front, '') || substr(h, 2 * coalesce(tail, 1) - 1))) AS kept_sha256
+FROM d LEFT JOIN doc ON d.r = doc.r
+""",
+    # pairs through shared shingles, then everything reachable by links
+    "op6_jaccard_join": rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS w
+  FROM documents
+),
+s AS MATERIALIZED (
+  SELECT r, doc_id, CASE
+    WHEN len(w) = 0 THEN []
+    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS g
+  FROM d
+),
+x AS MATERIALIZED (SELECT r, unnest(g) AS t FROM s),
+c AS (SELECT a.r AS a, b.r AS b, count(*) AS n FROM x AS a JOIN x AS b ON a.t = b.t AND a.r < b.r GROUP BY 1, 2),
+l AS MATERIALIZED (
+  SELECT a, b FROM c JOIN s AS p ON p.r = a JOIN s AS q ON q.r = b WHERE 100 * n >= 80 * (len(p.g) + len(q.g) - n)
+),
+e AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+reach AS (SELECT r, r AS z FROM s UNION SELECT reach.r, e.b FROM reach JOIN e ON reach.z = e.a)
+SELECT s.doc_id, CAST(len(s.g) AS BIGINT) AS n_shingles, o.component_id
+FROM s JOIN (SELECT reach.r, min(doc_id) AS component_id FROM reach JOIN s AS t ON t.r = reach.z GROUP BY reach.r) AS o ON o.r = s.r
+""",
 }

@@ -252,6 +252,43 @@ def test_bitmap_bound_never_drops_a_link():
             assert ok or not linked
 
 
+# ---------------------------------------------------------------- secrets: time
+
+
+def test_tokens_are_those_of_the_plain_pattern():
+    import re
+
+    plain = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
+    rnd = random.Random(8)
+    for _ in range(3000):
+        text = "".join(rnd.choices(["eyJ", ".", "..", " ", "a", "-_", "é", "eyJx.y.z", "eyJ."], k=rnd.randint(1, 14)))
+        want = [(m.start(), *m.groups(), m.end()) for m in plain.finditer(text)]
+        assert list(secret_scan.dotted_tokens(text)) == want, text
+
+
+@pytest.mark.parametrize("text", ["eyJ" * 350_000, "eyJ." * 250_000, "eyJx.y." * 150_000, "a.b" * 350_000, "-----BEGIN X-----" * 50_000])
+def test_scan_time_of_long_runs(text):
+    import time
+
+    begin = time.perf_counter()
+    secret_scan.scan_text(text)
+    assert time.perf_counter() - begin < 5
+
+
+def test_taken_intervals():
+    rnd = random.Random(2)
+    spans = [(a, a + rnd.randint(1, 9)) for a in rnd.choices(range(200), k=12)]
+    taken = secret_scan.Taken(spans)
+    for _ in range(400):
+        a = rnd.randrange(220)
+        b = a + rnd.randint(1, 8)
+        free = all(b <= x or a >= y for x, y in spans)
+        assert taken.free(a, b) == free
+        if free:
+            taken.add(a, b)
+            spans.append((a, b))
+
+
 # ---------------------------------------------------------------- repeats
 
 
@@ -714,3 +751,25 @@ def test_equal_spans_are_compared_byte_by_byte():
     buf = np.frombuffer(b"abcdefghijXabcdefghijYabcdefghiZ" + b"\0" * 16, dtype=np.uint8)
     a, b = np.array([0, 0, 0]), np.array([11, 11, 22])
     assert repeats.same_bytes(buf, a, b, np.array([10, 11, 10])).tolist() == [True, False, False]
+
+
+def test_near_duplicates_with_any_column_names(ship, edge_docs):
+    docs = frame(ship, edge_docs)
+    for name in ("gone", "gone_id", "text_key", "__mark", "row", "root", "key"):
+        extra = docs.withColumn(name, F.col("n")) if name != "key" else docs
+        kept = jaccard.keep_one_each(extra)
+        assert kept.columns == extra.columns
+        assert kept.where(F.col(name).isNotNull()).count() == kept.count() if name not in ("key",) else True
+    texts = Counter((r["doc_id"], r["text"]) for r in jaccard.keep_one_each(docs).collect())
+    # a doc_id with two different texts keeps both, one row each
+    assert texts[410, edge_docs[-1][1]] == 1 and max(texts.values()) == 1
+
+
+def test_near_duplicates_pick_one_row_whatever_the_order(ship):
+    docs = [(1, "a b c d e f g h")] * 3
+    rows = [(d, t, "en", "s", 15, float(i), i, "k") for i, (d, t) in enumerate(docs)]
+    from conftest import SCHEMA
+
+    for order in (rows, rows[::-1]):
+        kept = jaccard.keep_one_each(ship.createDataFrame(order, SCHEMA).repartition(3)).collect()
+        assert [r["n"] for r in kept] == [0]

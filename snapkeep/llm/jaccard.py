@@ -62,9 +62,9 @@ BLOCK = 2048
 #: Text bytes behind one bucket of shingle postings.
 BUCKET_BYTES = 8 << 20
 
-FEATURES = "doc_id long, n long, key long, rare array<long>, hot array<long>, bitmap binary"
+FEATURES = "doc_id long, text_key long, n long, key long, rare array<long>, hot array<long>, bitmap binary"
 _FEATURE_SCHEMA = pa.schema([
-    ("doc_id", pa.int64()), ("n", pa.int64()), ("key", pa.int64()), ("rare", pa.list_(pa.int64())),
+    ("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()), ("key", pa.int64()), ("rare", pa.list_(pa.int64())),
     ("hot", pa.list_(pa.int64())), ("bitmap", pa.binary()),
 ])
 
@@ -159,7 +159,7 @@ def hot_shingles(docs: DataFrame) -> np.ndarray:
 
 
 def features(docs: DataFrame, hot: np.ndarray) -> DataFrame:
-    """Per document: set size, class key, prefix shingles, bitmap."""
+    """Per row of (doc_id, text, text_key): set size, class key, prefix shingles, bitmap."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -182,8 +182,8 @@ def features(docs: DataFrame, hot: np.ndarray) -> DataFrame:
                     often.append(s[is_hot][:take - len(first)].view(np.int64))
                     maps.append(bitmap(s))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), *(pa.array(c, f.type) for c, f in zip((n, key, rare, often, maps),
-                                                                           list(_FEATURE_SCHEMA)[1:]))],
+                    [part.column(0), part.column(2), *(pa.array(c, f.type) for c, f in zip((n, key, rare, often, maps),
+                                                                                           list(_FEATURE_SCHEMA)[2:]))],
                     schema=_FEATURE_SCHEMA,
                 )
 
@@ -461,9 +461,15 @@ def hot_cross_pairs(hot: DataFrame, roots: DataFrame, classes: DataFrame, neares
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of `docs`."""
+    return components_by_text(docs).drop("text_key")
+
+
+def components_by_text(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_key, n_shingles, component_id) for every row of `docs`;
+    `text_key` tells apart the texts of rows that repeat a doc_id."""
     docs = base_docs(docs)
     hot = hot_shingles(docs)
-    feats = cut(features(docs, hot), "jaccard-features")
+    feats = cut(features(docs.withColumn("text_key", F.xxhash64("text")), hot), "jaccard-features")
     buckets = bucket_count(text_bytes(docs), BUCKET_BYTES)
     real = feats.where("n > 0")
     # one row for each class: its size, bitmap and a document that has it
@@ -503,30 +509,36 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         if not more.isEmpty():
             edges = edges.unionByName(more)
             roots = cut(connected_components(edges), "jaccard-roots")
-    rows = feats.select("doc_id", "n", "key").join(roots, F.col("key") == F.col("node"), "left")
-    rows = rows.select("doc_id", "n", "key", F.coalesce("root", "key").alias("root"))
+    rows = feats.select("doc_id", "text_key", "n", "key").join(roots, F.col("key") == F.col("node"), "left")
+    rows = rows.select("doc_id", "text_key", "n", "key", F.coalesce("root", "key").alias("root"))
     least = rows.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return rows.join(least, "root", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
+        "doc_id", "text_key", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
 
 def keep_one_each(docs: DataFrame) -> DataFrame:
     """One document of each component (its least doc_id), all columns unchanged.
 
-    Rows that repeat a doc_id are one document and go or stay together; of
-    those that stay, and of rows without doc_id, which all stay, one is kept
-    for each text.  Such rows may differ in other columns; the least in those
-    that can be ordered is kept, whatever order they are read in.
+    Rows that repeat a doc_id with different texts are judged one by one: a
+    text goes if it is not in its component under the least doc_id.  Rows
+    without doc_id all stay.  Of rows with one doc_id and one text, or one text
+    and no doc_id, one is kept; they may differ in other columns, and the least
+    in those that can be ordered is taken, whatever order they are read in.
     """
     names = docs.columns
-    gone_id, text_key = _free_name("gone", names), _free_name("text_key", names)
-    gone = jaccard_components(docs).where("doc_id <> component_id").select(F.col("doc_id").alias(gone_id)).distinct()
-    left = docs.join(gone, F.col("doc_id").cast("long") == F.col(gone_id), "left_anti")
+    gone_id, gone_key, text_key = (_free_name(n, names) for n in ("gone_id", "gone_key", "text_key"))
+    gone = components_by_text(docs).where("doc_id <> component_id").select(
+        F.col("doc_id").alias(gone_id), F.col("text_key").alias(gone_key)
+    ).distinct()
+    keyed = docs.withColumn(text_key, F.xxhash64(F.col("text").cast("string")))
+    left = keyed.join(
+        gone, (F.col("doc_id").cast("long") == F.col(gone_id)) & (F.col(text_key) == F.col(gone_key)), "left_anti"
+    )
     others = [f.name for f in docs.schema.fields if f.name not in ("doc_id", "text") and not isinstance(f.dataType, T.MapType)]
     row = F.struct(*[F.col(quote(n)) for n in names])
     least = F.min_by(row, F.struct(*[F.col(quote(n)) for n in others])) if others else F.first(row)
-    one = left.groupBy("doc_id", F.sha2(F.col("text").cast("string"), 256).alias(text_key)).agg(least.alias("row"))
+    one = left.groupBy("doc_id", text_key).agg(least.alias("row"))
     return one.select(*[F.col("row").getField(n).alias(n) for n in names])
 
 

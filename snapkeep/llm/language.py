@@ -8,13 +8,17 @@ network is trained in numpy (Adam) on windows of a bounded sample of labelled
 documents and applied to batches of windows by a map over the table.
 
 Only documents whose crc32(doc_id as text) mod 3 is not 1 are learned from;
-lang, source and doc_id are never inputs of a prediction.
+lang, source and doc_id are never inputs of a prediction.  The sample is drawn
+within each language by a hash of the id, so that a rare language is learned
+however small its share is.
 
 Defined cases: a null text, or one without a letter, is `und` with score 0;
 texts shorter than a window are filled up; very long texts are read whole in
 bounded batches; repeated rows get equal results; of documents repeating an id
-one is learned from; without training rows every text is `und`; with one language only it is always predicted; an empty table
-gives an empty table; other columns are dropped.
+one is learned from, in its least language and text; of equally likely
+languages the first by name is predicted; without training rows every text is
+`und`; with one language only it is always predicted; an empty table gives an
+empty table; other columns are dropped.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapkeep.llm.frames import base_docs
@@ -32,11 +36,15 @@ from snapkeep.llm.toxicity import fold_of, held_out
 from snapkeep.llm.wordhash import slices
 
 WINDOW = 128
-STRIDE = 2
+#: Filters are placed at every byte.
+STRIDE = 1
 WIDTHS = (4, 6)
 FILTERS = 16
 EMBED = 4
-#: Labelled documents the network is fitted on at most, and windows of each.
+#: Labelled documents the network is fitted on at most, of one language and
+#: together, and windows of each.  The first of every language come first, so a
+#: language is left out only where there are more than MAX_TRAIN languages.
+MAX_PER_LANGUAGE = 1_000
 MAX_TRAIN = 4_000
 TRAIN_WINDOWS = 6
 EPOCHS = 6
@@ -142,10 +150,19 @@ def fit(windows: np.ndarray, target: np.ndarray, languages: list[str], epochs: i
     return net
 
 
-def train(docs: DataFrame, max_train: int = MAX_TRAIN) -> Network | None:
-    """Fit on at most `max_train` labelled documents, chosen by a hash of the id."""
+def train(docs: DataFrame, max_train: int = MAX_TRAIN, per_language: int = MAX_PER_LANGUAGE) -> Network | None:
+    """Fit on at most `max_train` labelled documents, `per_language` of each.
+
+    The rank within a language is limited before its shuffle (at most
+    `per_language` rows leave a task), so a frequent language is no hot group.
+    """
     usable = docs.where(F.col("lang").isNotNull() & (F.col("text") != "") & (fold_of(F.col("doc_id")) != 1))
-    chosen = usable.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
+    ids = usable.groupBy("doc_id").agg(F.min("lang").alias("lang"))
+    within = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = (
+        ids.withColumn("place", F.row_number().over(within)).where(F.col("place") <= per_language)
+        .orderBy("place", F.xxhash64("doc_id"), "doc_id").limit(max_train).select("doc_id")
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

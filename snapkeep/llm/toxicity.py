@@ -43,7 +43,6 @@ MAX_TRAIN = 12_000
 #: toxic ones differs by so many standard errors.
 MIN_DF = 5
 MIN_Z = 2.5
-MAX_TERMS = 16_384
 #: Chance, at most, that pairs without association add any term.
 PAIR_ERROR = 0.05
 #: Terms added by their pairs are fitted after the chosen ones; they start near
@@ -190,7 +189,7 @@ def fit(slots: list[np.ndarray], toxic: np.ndarray, epochs: int = EPOCHS, seed:
     share = positive / n
     z = np.abs(df_toxic - df * share) / np.sqrt(np.maximum(df * share * (1 - share), 1e-9))
     use = np.flatnonzero((df >= MIN_DF) & (z >= MIN_Z))
-    use = use[np.argsort(-z[use], kind="stable")][:MAX_TERMS]
+    use = use[np.argsort(-z[use], kind="stable")]
     if not len(use):
         return none
     rng = np.random.default_rng(seed)

@@ -25,8 +25,14 @@ differing, two sampled positions agree with probability p = (1 - share)^2, and
 window; further pieces within the allowance raise it (recall is measured in
 the tests, for items of 20 to 1,600 words at the full allowance).
 
-Defined cases: items of fewer than `MIN_ITEM_WORDS` words leak where all their
-words stand in a row, without edits; items without a word and null items are
+Short items.  Below `MIN_ITEM_WORDS` words a leak may share no 3-word gram
+with its item, and nothing is gained by an embedding.  Items of up to four words
+allow no edit: they leak where all their words stand in a row.  Items of five
+to seven allow one, which leaves one half of the item as it is; wherever a half
+stands in a text and all but one word of the other half stand around it, the
+exact edit distance decides.
+
+Defined cases: items without a word and null items are
 never searched; null or empty texts leak nothing; repeated rows get equal
 results; repeated items are reported once per item_id; without items, or
 without documents, there are no leaks; texts of any length are searched
@@ -128,16 +134,28 @@ class ItemIndex:
     def __init__(self, items: list[tuple[int, str]]):
         words = Words([t.encode() for _, t in items])
         self.ids, self.words = [], []
+        self.edited: list[tuple[int, np.ndarray]] = []
         short: dict[int, list[tuple[int, int]]] = {}
         for i, (item_id, _) in enumerate(items):
             w = words.hash[words.first[i]:words.first[i + 1]]
             if len(w) >= MIN_ITEM_WORDS:
                 self.ids.append(item_id)
                 self.words.append(w)
+            elif edits_allowed(len(w)):
+                self.edited.append((item_id, w))
             elif len(w):
                 short.setdefault(len(w), []).append((int(run_hash(w, len(w))[0]), item_id))
         #: by number of words, the hashes of short items in order and their ids
         self.short = {n: (np.array([h for h, _ in sorted(x)], dtype=U64), [i for _, i in sorted(x)]) for n, x in short.items()}
+        #: by length, the halves of short items with an edit: hashes in order, item and place in it
+        halves: dict[int, list[tuple[int, int, int]]] = {}
+        for k, (_, w) in enumerate(self.edited):
+            for a, b in ((0, len(w) // 2), (len(w) // 2, len(w))):
+                halves.setdefault(b - a, []).append((int(run_hash(w[a:b], b - a)[0]), k, a))
+        self.halves = {
+            n: (np.array([h for h, _, _ in sorted(x)], dtype=U64), np.array([r[1:] for r in sorted(x)], dtype=np.int64))
+            for n, x in halves.items()
+        }
         grams, item, place = [], [], []
         for i, w in enumerate(self.words):
             g = run_hash(w, GRAM)
@@ -252,12 +270,46 @@ def _short_leaks(words: Words, index: ItemIndex) -> Iterator[tuple[int, int, int
                 i += 1
 
 
+def _edited_leaks(words: Words, index: ItemIndex) -> Iterator[tuple[int, int, int, int, int]]:
+    """(text, item_id, distance, start word, end word), the best stretch of short
+    items with one edit: around every copy of one of their halves."""
+    best: dict[tuple[int, int], tuple[int, int, int]] = {}
+    padded = np.concatenate([np.zeros(8, dtype=U64), words.hash, np.zeros(16, dtype=U64)])
+    for n, (hashes, rows) in index.halves.items():
+        h = run_hash(words.hash, n)
+        if not len(h):
+            continue
+        p = np.flatnonzero(words.text[:len(h)] == words.text[n - 1:])
+        first = np.searchsorted(hashes, h[p])
+        count = np.searchsorted(hashes, h[p], side="right") - first
+        at = np.repeat(p, count)
+        entry = np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)
+        for k in np.unique(rows[entry, 0]):
+            item_id, item = index.edited[k]
+            mine = rows[entry, 0] == k
+            start = at[mine] - rows[entry[mine], 1]
+            # all words but one stand at their place or next to it
+            here = np.zeros(len(start), dtype=np.int64)
+            for j, x in enumerate(item):
+                here += (padded[start + j + 7] == x) | (padded[start + j + 8] == x) | (padded[start + j + 9] == x)
+            for s, t in zip(start[here >= len(item) - 1], words.text[at[mine]][here >= len(item) - 1]):
+                low, high = int(words.first[t]), int(words.first[t + 1])
+                a, b = max(low, int(s) - 1), min(high, int(s) + len(item) + 1)
+                d, x, y = best_stretch(item, words.hash[a:b])
+                if d <= edits_allowed(len(item)):
+                    key, found = (int(t), item_id), (d, a - low + x, a - low + y)
+                    best[key] = min(best.get(key, found), found)
+    for (t, item_id), found in best.items():
+        yield t, item_id, *found
+
+
 def find_leaks(texts: list[bytes], index: ItemIndex) -> list[tuple[int, int, int, int, int]]:
     """(text, item_id, distance, start word, end word), best stretch of each pair."""
     out: list[tuple[int, int, int, int, int]] = []
     for lo, hi in slices(texts):
         words = Words(texts[lo:hi])
         out += [(lo + t, *found) for t, *found in _short_leaks(words, index)]
+        out += [(lo + t, *found) for t, *found in _edited_leaks(words, index)]
         if not len(index.gram):
             continue
         g = run_hash(words.hash, GRAM)

@@ -394,11 +394,12 @@ def test_leaks_of_long_items_at_the_full_allowance(n):
         assert found[0][2] == found[1][2] == e
 
 
-def test_short_items_are_searched_exactly():
+def test_items_of_few_words():
     items = [(1, "What is this"), (2, "what IS this"), (3, "why"), (4, "one two three four five six seven"), (5, "  ")]
     texts = [b"so what is\nThis and what is this", b"what is", b"this", b"WHY not why", b"",
              b"zero one two three four five six seven", b"one two three four five six"]
-    want = [(0, 1, 0, 1, 4), (0, 2, 0, 1, 4), (3, 3, 0, 0, 1), (5, 4, 0, 1, 8)]
+    # seven words allow one edit, so the last text leaks item 4; up to four allow none
+    want = [(0, 1, 0, 1, 4), (0, 2, 0, 1, 4), (3, 3, 0, 0, 1), (5, 4, 0, 1, 8), (6, 4, 1, 0, 6)]
     assert sorted(decontam.find_leaks(texts, decontam.ItemIndex(items))) == want
     long = (6, " ".join(f"w{i}" for i in range(20)))
     assert sorted(decontam.find_leaks(texts, decontam.ItemIndex([*items, long]))) == want
@@ -631,6 +632,73 @@ def test_repeated_ids_do_not_exceed_the_sample(ship, monkeypatch):
     assert sizes == [(8, 8), (8, 8)]
 
 
+def test_language_scores_are_those_of_a_plain_convolution():
+    rng = np.random.default_rng(4)
+    net = language.new_network(["a", "b", "c"], rng)
+    for b in net.bias:
+        b += rng.normal(0, 0.3, b.shape).astype(np.float32)
+    texts = ["Hello there, world", "x" * 300, "é" * 70 + " fin", "a b"]
+    names, scores = language.classify(net, texts)
+    for t, name, score in zip(texts, names, scores):
+        data = t.encode()
+        data += b" " * (-len(data) % language.WINDOW)
+        rows = []
+        for at in range(0, len(data), language.WINDOW):
+            x = [net.embed[c] for c in data[at:at + language.WINDOW]]
+            hidden = []
+            for w, filters, bias in zip(language.WIDTHS, net.filters, net.bias):
+                for f in range(language.FILTERS):
+                    top = max(
+                        sum(float(v) * float(q) for v, q in zip(np.concatenate(x[i:i + w]), filters[:, f]))
+                        for i in range(language.WINDOW - w + 1)  # every byte position
+                    )
+                    hidden.append(max(0.0, top + float(bias[f])))
+            z = np.array(hidden) @ net.dense + net.out
+            rows.append(np.exp(z - z.max()) / np.exp(z - z.max()).sum())
+        mean = np.mean(rows, axis=0)
+        assert name == net.languages[int(mean.argmax())] and abs(score - mean.max()) < 1e-4
+
+
+def test_a_rare_language_is_learned(ship, monkeypatch):
+    rnd = random.Random(1)
+    common = ["the", "house", "green", "and", "walks", "under", "bright", "sky"]
+    rare = ["zxq", "qvz", "xxzq", "vqqx", "zzvx"]
+    say = lambda words: " ".join(rnd.choices(words, k=30))
+    ids = [i for i in range(9000) if not brute.held_out(i)][:4030]
+    docs = [(i, say(rare if k < 30 else common), "xx" if k < 30 else "en") for k, i in enumerate(ids)]
+    docs += [(100_000 + i, say(rare), None) for i in range(5)]
+    table = ship.createDataFrame(docs, "doc_id bigint, text string, lang string").repartition(4)
+    monkeypatch.setattr(language, "MAX_PER_LANGUAGE", 100)
+    net = language.train(table, 120, 100)
+    assert net.languages == ["en", "xx"]
+    names, _ = language.classify(net, [t for i, t, _ in docs if i >= 100_000])
+    assert set(names) == {"xx"}
+
+
+def test_short_items_leak_with_their_edits():
+    rnd = random.Random(12)
+    vocab = ["".join(rnd.choices("abcdef", k=4)) for _ in range(9)]
+    say = lambda n: rnd.choices(vocab, k=n)
+    items = [(10 * n + k, say(n)) for n in range(1, 13) for k in range(4)]
+    texts = [say(rnd.randint(0, 40)) for _ in range(150)]
+    for _, item in items:  # copies with one word changed, added or left out
+        w, at = list(item), rnd.randrange(len(item))
+        texts.append(say(6) + w[:at] + ["new"] + w[at + 1:] + say(6))
+        texts.append(say(6) + w[:at] + ["new"] + w[at:] + say(6))
+        texts.append(w[:at] + w[at + 1:])
+    index = decontam.ItemIndex([(i, " ".join(w)) for i, w in items])
+    got = {(t, i): d for t, i, d, _, _ in decontam.find_leaks([" ".join(t).upper().encode() for t in texts], index)}
+    want = {}
+    for t, text in enumerate(texts):
+        for i, w in items:
+            d = brute.edit_distance_in(w, text)
+            if d <= decontam.edits_allowed(len(w)):
+                want[t, i] = d
+    short = {k: d for k, d in want.items() if k[1] < 80}
+    assert {k: d for k, d in got.items() if k[1] < 80} == short and len(short) > 100
+    assert set(got) <= set(want) and len(got) >= 0.99 * len(want)
+
+
 # ---------------------------------------------------------------- pipeline
 
 

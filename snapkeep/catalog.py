@@ -29,7 +29,7 @@ from .operators.profile import null_profile
 from .plans.counts import table_counts
 from .plans.enrichment import enrich_entity
 from .plans.extract import decode_envelope, extract_snapshot
-from .plans.incremental import compact, live_snapshot, read_live
+from .plans.incremental import compact, live_snapshot, read_live, sized_buckets
 from .schemas import ENVELOPE
 from .session import scratch_path
 from .sinks.buckets import Buckets
@@ -383,10 +383,6 @@ def q_null_profile(spark, d):
 # Standing snapshots: slices of a topic merged one after another.
 
 
-def bucket_count(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def dense_envelope(events: DataFrame) -> DataFrame:
     """Events as messages with gapless offsets in every topic partition: event
     ids are dealt to the partitions in turn.  A user's messages lie in several
@@ -408,7 +404,7 @@ def _merged_slices(spark, d) -> str:
     for i in range(1, SLICES + 1):
         # every run gets the topic as it is by then; its ledger knows what is new
         grown = dense_envelope(events.where(F.col("event_id") < n * i // SLICES))
-        compact(grown, EVENT_PAYLOAD, root, key="user_id", buckets=bucket_count(spark), dense=True)
+        compact(grown, EVENT_PAYLOAD, root, key="user_id", dense=True)
     return root
 
 
@@ -440,7 +436,7 @@ def q_latest_with_deletes(spark, d):
     n = events.agg(F.max("event_id")).first()[0] + 1
     first = dense_envelope(events.where(F.col("event_id") < n // 2))
     for env in (first, _with_deletes(events)):
-        compact(env, DELETE_PAYLOAD, root, deletes=True, delete_flag="gone", buckets=bucket_count(spark))
+        compact(env, DELETE_PAYLOAD, root, deletes=True, delete_flag="gone")
     return read_live(spark, root).drop("gone")
 
 
@@ -451,13 +447,14 @@ def q_live_snapshot(spark, d):
 
 def q_stream_latest_per_key(spark, d):
     src = scratch_path(spark, "events-topic-files")
-    env = events_envelope(table(spark, d, "events"))
-    write_table(env.repartition(4, "partition"), src, mode="overwrite")
+    events = table(spark, d, "events")
+    write_table(events_envelope(events).repartition(4, "partition"), src, mode="overwrite")
+    buckets = sized_buckets(events.count())
     out = scratch_path(spark, "events-latest-stream")
     # two files a micro-batch: several merges, then one more start on the same checkpoint
     for _ in range(2):
         stream = read_stream_files(spark, src, ENVELOPE, max_files_per_trigger=2)
-        write_stream_latest(stream, EVENT_PAYLOAD, f"{out}/snapshot", f"{out}/checkpoint", key="user_id", buckets=bucket_count(spark))
+        write_stream_latest(stream, EVENT_PAYLOAD, f"{out}/snapshot", f"{out}/checkpoint", key="user_id", buckets=buckets)
     return read_live(spark, f"{out}/snapshot")
 
 
@@ -468,8 +465,9 @@ def q_latest_per_key_aggregate(spark, d):
 
 
 def q_enrich_bucketed(spark, d):
-    root, n = scratch_path(spark, "bucketed"), bucket_count(spark)
-    write_version(table(spark, d, "orders"), f"{root}/orders", buckets=Buckets("o_custkey", n))
+    root, orders = scratch_path(spark, "bucketed"), table(spark, d, "orders")
+    n = sized_buckets(orders.count())
+    write_version(orders, f"{root}/orders", buckets=Buckets("o_custkey", n))
     write_version(table(spark, d, "customer"), f"{root}/customer", buckets=Buckets("c_custkey", n))
     return enrich_entity(
         read_current(spark, f"{root}/orders"),

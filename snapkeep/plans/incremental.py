@@ -55,7 +55,10 @@ _VALUE = "__snapkeep_value"
 _KEYED = "__snapkeep_key"
 _RECORD = "__snapkeep_record"
 
-DEFAULT_BUCKETS = 200
+#: Buckets of a new snapshot, unless given: of a stream, and by the messages of the first run.
+STREAM_BUCKETS = 200
+MESSAGES_PER_BUCKET = 1_000_000
+LEAST_BUCKETS = 8
 #: Layers that a snapshot is read from at most before a run merges them.
 MAX_LAYERS = 8
 
@@ -200,8 +203,8 @@ def compact(
     are checkpointed first: they are read three times (offsets, latest rows,
     payloads of those) and must be the same each time.  Raises
     `ledger.OffsetGap` before anything is written if messages expired unread.
-    The number of buckets and the keys are the snapshot's own after the first
-    run.  ``max_layers=1`` rewrites the snapshot with every slice.  Returns the
+    The number of buckets (by default one for each million messages of the first
+    run, 8 at least) and the keys are the snapshot's own after that.  ``max_layers=1`` rewrites the snapshot with every slice.  Returns the
     run's metrics; `written_rows` are those of the layer or merged snapshot.
     """
     spark = envelope.sparkSession
@@ -212,13 +215,14 @@ def compact(
     ends = ledger.recorded_ends(spark, root)
     rows, message_keys = keyed_messages(ledger.unread(envelope, ends), schema, key, deletes, delete_flag)
     keys = ["key"] if deletes else [k[len(_VALUE) + 1:] for k in message_keys]
-    plan = Buckets(tuple(keys), buckets or DEFAULT_BUCKETS)
     if entry:
-        plan = _same_shape(entry, plan, buckets, keep_ties, deletes, schema)
+        plan = _same_shape(entry, keys, buckets, keep_ties, deletes, schema)
     rows = stable(rows)
     try:
         report = ledger.slice_report(rows, ends)
         ledger.check_slice(report, dense)
+        if not entry:
+            plan = Buckets(tuple(keys), buckets or sized_buckets(sum(s.n_rows for s in report)))
         if not report and entry:
             return {"version": version, "input_rows": 0, "null_key_rows": 0, "written_rows": 0}
         no_key = F.lit(False)
@@ -236,13 +240,18 @@ def compact(
             "written_rows": done["n_rows"]}
 
 
+def sized_buckets(messages: int) -> int:
+    """Buckets for a snapshot whose first run has so many messages."""
+    return max(LEAST_BUCKETS, -(-messages // MESSAGES_PER_BUCKET))
+
+
 def _same_shape(
-    entry: dict, plan: Buckets, buckets: int | None, keep_ties: bool, deletes: bool, schema: T.StructType
+    entry: dict, keys: Sequence[str], buckets: int | None, keep_ties: bool, deletes: bool, schema: T.StructType
 ) -> Buckets:
     """The standing snapshot's buckets; an error if it was made for something else."""
     have = Buckets(**entry["buckets"])
-    if have.keys != plan.keys or (buckets and buckets != have.count):
-        raise ValueError(f"the snapshot is bucketed by {have.keys} into {have.count}, not {plan.keys} into {plan.count}")
+    if have.keys != tuple(keys) or (buckets and buckets != have.count):
+        raise ValueError(f"the snapshot is bucketed by {have.keys} into {have.count}, not {tuple(keys)} into {buckets or have.count}")
     if (entry["keep_ties"], entry["deletes"]) != (keep_ties, deletes):
         raise ValueError("the snapshot was made with another keep_ties or deletes")
     if T.StructType.fromJson(entry["schema"]).fieldNames() != state_schema(schema).fieldNames():
@@ -333,9 +342,7 @@ def apply_batch(
         return False
     rows, message_keys = keyed_messages(messages, schema, key, deletes, delete_flag)
     keys = ["key"] if deletes else [k[len(_VALUE) + 1:] for k in message_keys]
-    plan = Buckets(tuple(keys), buckets or DEFAULT_BUCKETS)
-    if entry:
-        plan = _same_shape(entry, plan, buckets, keep_ties, deletes, schema)
+    plan = _same_shape(entry, keys, buckets, keep_ties, deletes, schema) if entry else Buckets(tuple(keys), buckets or STREAM_BUCKETS)
     new = slice_rows(rows, schema, message_keys, keep_ties, deletes)
     _add_layer(
         spark, root, entry, new, plan, keep_ties, deletes, max_layers, keep_versions,

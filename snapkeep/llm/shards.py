@@ -11,7 +11,8 @@ The sort is a distributed ranking: rows are numbered within (cell, salt)
 groups, and the groups' row counts are summed up in two bounded steps (within
 a coarse run of the curve, then over the coarse runs), so a cell holding a
 third of all rows is ranked by many tasks.  Only ids, sizes and checksums are
-shuffled, never texts.
+shuffled, never texts: they are read once, and the narrow rows (then with
+their curve index) are written to the shared checkpoint folder.
 
 Law `rows`: shard counts are at most one apart.
 
@@ -26,6 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from snapkeep.llm.frames import cut
+
 SHARDS = 16
 #: Bits of each dimension.
 BITS = 5
@@ -82,6 +85,7 @@ def curve_shards(docs: DataFrame, shards: int = SHARDS, bits: int = BITS, salts:
         docs["lang"].alias("lang"),
         docs["source"].alias("source"),
     )
+    rows = cut(rows, "shard-rows")
     inner = (1 << bits) - 1
     # a bounded list: the quantiles that cut the sizes into 2**bits cells
     edges = rows.agg(F.percentile_approx("size", [(k + 1) / (inner + 1) for k in range(inner)], 10_000).alias("q")).first()["q"]
@@ -92,6 +96,7 @@ def curve_shards(docs: DataFrame, shards: int = SHARDS, bits: int = BITS, salts:
         .withColumn("salt", F.pmod(F.xxhash64("doc_id", "text_crc32", "size"), F.lit(salts)).cast("int"))
         .select("doc_id", "size", "text_crc32", "cell", "salt")
     )
+    rows = cut(rows, "shard-cells")
     counts = rows.groupBy("cell", "salt").agg(F.count("*").alias("n"))
     counts = counts.withColumn("run", F.shiftright("cell", low_bits))
     # at most 2**low_bits cells x `salts` rows to a run, at most 2**COARSE_BITS runs

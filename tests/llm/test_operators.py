@@ -517,6 +517,31 @@ def _check_shards(rows, docs, n=16):
     assert max(sizes) - min(sizes) <= 1
 
 
+def test_shards_prune_by_several_columns(spark):
+    """Shards whose value ranges meet a filter on size and source, against runs of doc_id."""
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    size = F.octet_length(F.coalesce("text", F.lit(""))) + 1
+    rows = docs.select("doc_id", "source", size.cast("long").alias("size")).toPandas()
+    shard = QUERIES["op5_hilbert_shards"](spark, sf).select("doc_id", "shard").toPandas()
+    rows = rows.merge(shard, on="doc_id")
+    rows["by_id"] = rows["doc_id"].rank(method="first").sub(1).mul(16).floordiv(len(rows)).astype(int)
+    edges = rows["size"].quantile([i / 8 for i in range(9)]).tolist()
+
+    def opened(column):
+        hit = total = 0
+        for source in rows["source"].dropna().unique():
+            for a, b in zip(edges, edges[1:]):
+                inside = rows[(rows["source"] == source) & (rows["size"] >= a) & (rows["size"] < b)]
+                hit += inside[column].nunique()
+                total += 16
+        return hit / total
+
+    curve, by_id = opened("shard"), opened("by_id")
+    print("share of shards opened:", round(curve, 3), "by doc_id:", round(by_id, 3))
+    assert curve < 0.3 < 0.5 * by_id
+
+
 def test_shards(spark, edge_docs, small):
     _check_shards(shards.curve_shards(frame(spark, edge_docs)).collect(), edge_docs)
     _check_shards(shards.curve_shards(frame(spark, edge_docs[:5])).collect(), edge_docs[:5])

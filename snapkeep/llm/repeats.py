@@ -27,6 +27,10 @@ only.  At most `MAX_HOT` grams are listed; a larger group that was not found
 is ordered in pieces, again by the 50 bytes, so ordering never takes more than
 `CHUNK` suffixes or those of `HOT` stretches at a time.
 
+A bucket stays compressed in its task and is read once for each of its parts,
+which are dealt by the grams: about `PART_BYTES` of stretches are open at a
+time, whatever a bucket holds (more only if one gram has more).
+
 Defined cases: a null text has no bytes (hash of the empty string) and one
 shorter than 50 bytes loses nothing; rows that repeat a doc_id do not count
 as smaller than each other; a null doc_id counts as larger than all others;
@@ -56,9 +60,11 @@ GRAMS = LENGTH - GRAM + 1
 #: Text bytes behind one bucket of stretches, and behind one block of results.
 BUCKET_BYTES = 16 << 20
 BLOCK_BYTES = 8 << 20
+#: Bytes of stretches, not compressed, that a bucket opens at once.
+PART_BYTES = 20 << 20
 #: Bytes scanned at once, and suffixes ordered at once.
 SEGMENT = 4 << 20
-CHUNK = 1 << 18
+CHUNK = 1 << 17
 #: Different stretches of a gram beyond which its suffixes are dealt singly.
 HOT = 1 << 14
 #: Hot grams listed at most (8 bytes each), the most frequent first.
@@ -437,66 +443,85 @@ def _pieces(buf: np.ndarray, at: np.ndarray) -> Iterator[np.ndarray]:
         yield np.flatnonzero(piece == p)
 
 
+def _part_of_bucket(stretches: pa.ChunkedArray, part: int, parts: int) -> tuple[np.ndarray, ...]:
+    """The stretches of a bucket whose least gram falls to this part of it:
+    document, key, place, number of suffixes and place in the text of each,
+    its gram as a number, and the text."""
+    got: list[list[np.ndarray]] = [[] for _ in range(6)]
+    for data in stretches:
+        ids, keys, local, at, count, offset, text = _unpack_stretches(data.as_py())
+        size = count + LENGTH - 1
+        begin = np.cumsum(size) - size
+        w = _words_at(text)
+        anchor = mix(w[begin + offset] * U64(0x9E3779B97F4A7C15) + mix(w[begin + offset + 8]))
+        if parts > 1:
+            take = np.flatnonzero((anchor >> U64(32)) % U64(parts) == U64(part))
+            local, at, count, anchor = local[take], at[take], count[take], anchor[take]
+            text = gather(text, begin[take], size[take])
+        for p, a in zip(got, (ids[local], keys[local], at, count, anchor, text)):
+            p.append(a)
+    # one after another, so that one field at a time is held twice
+    got.reverse()
+    ids, keys, at, count, anchor, text = (np.concatenate(got.pop()) for _ in range(6))
+    return ids, keys, at, count, np.cumsum(count + LENGTH - 1) - (count + LENGTH - 1), anchor, text
+
+
+def _mark_part(ids, keys, at, count, begin, anchor, buf) -> Iterator[tuple[np.ndarray, ...]]:
+    """(document, key, start, end) of the repeats among the stretches of some grams."""
+    if not len(ids):
+        return
+    order = np.argsort(anchor, kind="stable")
+    edge = np.flatnonzero(np.concatenate([[True], anchor[order][1:] != anchor[order][:-1]]))
+    who = ids[order]
+    several = np.minimum.reduceat(who, edge) != np.maximum.reduceat(who, edge)
+    size = np.diff(np.append(edge, len(order)))
+    group = np.repeat(np.arange(len(edge)), size)[np.repeat(several, size)]
+    order = order[np.repeat(several, size)]
+    # whole groups at a time, about CHUNK suffixes together
+    done = np.cumsum(count[order])
+    last = np.append(group[1:] != group[:-1], True) if len(group) else np.zeros(0, dtype=bool)
+    stops = np.flatnonzero(last)
+    cuts, total = [], 0
+    for stop in stops:
+        if done[stop] - total >= CHUNK:
+            cuts.append(stop + 1)
+            total = done[stop]
+    for part in np.split(order, cuts):
+        if not len(part):
+            continue
+        run = np.repeat(part, count[part])
+        step = np.arange(len(run)) - np.repeat(np.cumsum(count[part]) - count[part], count[part])
+        for piece in _pieces(buf, begin[run] + step):
+            r, k = run[piece], step[piece]
+            hit = np.flatnonzero(longest_previous_factor(buf, begin[r] + k, ids[r]) >= LENGTH)
+            r, k = r[hit], k[hit]
+            # consecutive hits of a stretch are one mark
+            new = np.ones(len(hit), dtype=bool)
+            new[1:] = (r[1:] != r[:-1]) | (k[1:] != k[:-1] + 1)
+            end = np.append(new[1:], True) if len(hit) else new
+            yield ids[r[new]], keys[r[new]], at[r[new]] + k[new], at[r[end]] + k[end] + LENGTH
+
+
 def _mark_bucket(table: pa.Table, blocks: int) -> pa.Table:
-    """All rows of one bucket to marks: (block, marks)."""
+    """All rows of one bucket to marks: (block, marks).
+
+    The stretches stay compressed and are read once for each part of the
+    bucket, so that about PART_BYTES of them are open at a time.
+    """
     out_block = [b for b in table.column("block").to_pylist() if b is not None]
     out_marks = [m for m in table.column("marks").to_pylist() if m is not None]
-    parts: list[list[np.ndarray]] = [[] for _ in range(7)]
-    docs = 0
-    for data in table.column("stretches"):
-        if data.is_valid:
-            got = list(_unpack_stretches(data.as_py()))
-            got[2] = got[2] + docs
-            docs += len(got[0])
-            for p, a in zip(parts, got):
-                p.append(a)
-    if docs:
-        # one after another, so that the parts of one field at a time are held twice
-        parts.reverse()
-        ids, keys, local, at, count, offset, buf = (np.concatenate(parts.pop()) for _ in range(7))
-        begin = np.cumsum(count + LENGTH - 1) - (count + LENGTH - 1)
-        w = _words_at(buf)
-        anchor = mix(w[begin + offset] * U64(0x9E3779B97F4A7C15) + mix(w[begin + offset + 8]))
-        order = np.argsort(anchor, kind="stable")
-        edge = np.flatnonzero(np.concatenate([[True], anchor[order][1:] != anchor[order][:-1]]))
-        who = ids[local[order]]
-        several = np.minimum.reduceat(who, edge) != np.maximum.reduceat(who, edge)
-        size = np.diff(np.append(edge, len(order)))
-        group = np.repeat(np.arange(len(edge)), size)[np.repeat(several, size)]
-        order = order[np.repeat(several, size)]
-        # whole groups at a time, about CHUNK suffixes together
-        done = np.cumsum(count[order])
-        last = np.append(group[1:] != group[:-1], True) if len(group) else np.zeros(0, dtype=bool)
-        stops = np.flatnonzero(last)
-        cuts, total = [], 0
-        for stop in stops:
-            if done[stop] - total >= CHUNK:
-                cuts.append(stop + 1)
-                total = done[stop]
-        found: list[tuple] = []
-        for part in np.split(order, cuts):
-            if not len(part):
-                continue
-            run = np.repeat(part, count[part])
-            step = np.arange(len(run)) - np.repeat(np.cumsum(count[part]) - count[part], count[part])
-            for piece in _pieces(buf, begin[run] + step):
-                r, k = run[piece], step[piece]
-                hit = np.flatnonzero(longest_previous_factor(buf, begin[r] + k, ids[local[r]]) >= LENGTH)
-                r, k = r[hit], k[hit]
-                # consecutive hits of a stretch are one mark
-                new = np.ones(len(hit), dtype=bool)
-                new[1:] = (r[1:] != r[:-1]) | (k[1:] != k[:-1] + 1)
-                end = np.append(new[1:], True) if len(hit) else new
-                d = local[r[new]]
-                found.append((ids[d], keys[d], at[r[new]] + k[new], at[r[end]] + k[end] + LENGTH))
-        if found:
-            ids, keys, a, b = (np.concatenate(x) for x in zip(*found))
-            block = result_block(ids, keys, blocks)
-            order = np.argsort(block, kind="stable")
-            for part in np.split(order, np.flatnonzero(np.diff(block[order])) + 1):
-                if len(part):
-                    out_block.append(int(block[part[0]]))
-                    out_marks.append(pack("qiii", ids[part], keys[part], a[part], b[part]))
+    stretches = table.column("stretches").drop_null()
+    size = sum(zstandard.frame_content_size(data.as_buffer()) for data in stretches)
+    parts = -(-size // PART_BYTES)
+    found = [x for part in range(parts) for x in _mark_part(*_part_of_bucket(stretches, part, parts))]
+    if found:
+        ids, keys, a, b = (np.concatenate(x) for x in zip(*found))
+        block = result_block(ids, keys, blocks)
+        order = np.argsort(block, kind="stable")
+        for part in np.split(order, np.flatnonzero(np.diff(block[order])) + 1):
+            if len(part):
+                out_block.append(int(block[part[0]]))
+                out_marks.append(pack("qiii", ids[part], keys[part], a[part], b[part]))
     return pa.table({"block": pa.array(out_block, pa.int64()), "marks": pa.array(out_marks, pa.binary())})
 
 

@@ -3,13 +3,16 @@
 import hashlib
 import json
 import random
+import tracemalloc
 import zlib
 from base64 import b64encode, urlsafe_b64encode
 from collections import Counter, defaultdict
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 from conftest import frame
 from pyspark.sql import functions as F
 
@@ -821,6 +824,42 @@ def test_large_groups_are_ordered_in_pieces(monkeypatch):
     assert np.array_equal(got, whole)
 
 
+def test_a_bucket_is_opened_in_parts(monkeypatch):
+    rnd = random.Random(5)
+    noise = lambda k: bytes(rnd.choices(range(97, 123), k=k))
+    shared = [noise(rnd.randint(50, 300)) for _ in range(50)]
+    texts = [noise(2000) + rnd.choice(shared) + noise(rnd.randint(0, 60)) for _ in range(800)]
+    tables = []
+    for lo in range(0, len(texts), 20):
+        ids = np.arange(lo, lo + 20)
+        (owner, place, parts), = repeats._segments(texts[lo:lo + 20])
+        tables.append(repeats._deal_batch(1, 1, np.zeros(0, dtype=repeats.U64), ids, ids, np.array(owner), np.array(place), parts))
+    table = pa.Table.from_batches(tables)
+    size = sum(zstandard.frame_content_size(x) for x in table.column("stretches").drop_null().to_pylist())
+
+    def marked(part_bytes):
+        monkeypatch.setattr(repeats, "PART_BYTES", part_bytes, raising=False)
+        tracemalloc.start()
+        out = repeats._mark_bucket(table, 1)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        marks = [np.concatenate(x) for x in zip(*(repeats.unpack("qiii", m) for m in out.column("marks").to_pylist()))]
+        return sorted(zip(*(x.tolist() for x in marks))), peak
+
+    whole, _ = marked(size)
+    got, peak = marked(size // 20)
+    assert got == whole
+    # the first document with a passage keeps it, the others lose it
+    first, want = set(), set()
+    for d, t in enumerate(texts):
+        grams = [t[p:p + 50] for p in range(len(t) - 49)]
+        want |= {(d, p) for p, g in enumerate(grams) if g in first}
+        first.update(grams)
+    covered = {(d, x) for d, p in want for x in range(p, p + 50)}
+    assert covered and {(d, x) for d, _, a, b in got for x in range(a, b)} == covered
+    assert peak < size
+
+
 def test_repeats_do_not_rest_on_equal_keys(ship, edge_docs, monkeypatch):
     monkeypatch.setattr(repeats.Stretches, "content_keys", lambda self: np.zeros(len(self.start), dtype=repeats.U64))
     docs = [d for d in edge_docs if d[0] is not None]

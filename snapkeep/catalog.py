@@ -445,15 +445,23 @@ def q_live_snapshot(spark, d):
     return live_snapshot(env, DELETE_PAYLOAD, EXTRACT_DAY, delete_flag="gone", date_col="extract_date").drop("gone")
 
 
+#: Bytes of messages behind one file of the topic, not compressed; bytes of a message beside its props.
+TOPIC_FILE_BYTES = 64 << 20
+MESSAGE_BYTES = 128
+
+
 def q_stream_latest_per_key(spark, d):
     src = scratch_path(spark, "events-topic-files")
     events = table(spark, d, "events")
-    write_table(events_envelope(events).repartition(4, "partition"), src, mode="overwrite")
-    buckets = sized_buckets(events.count())
+    n, size = events.agg(F.count(F.lit(1)), F.sum(F.coalesce(F.octet_length("props"), F.lit(0)) + MESSAGE_BYTES)).first()
+    # A topic partition's messages are dealt over the files, so that a task's share does not grow with the topic.
+    files = max(4, -(-(size or 0) // TOPIC_FILE_BYTES))
+    write_table(events_envelope(events).repartition(files, "partition", "offset"), src, mode="overwrite")
+    buckets = sized_buckets(n)
     out = scratch_path(spark, "events-latest-stream")
-    # two files a micro-batch: several merges, then one more start on the same checkpoint
+    # half of the files a micro-batch: several merges, then one more start on the same checkpoint
     for _ in range(2):
-        stream = read_stream_files(spark, src, ENVELOPE, max_files_per_trigger=2)
+        stream = read_stream_files(spark, src, ENVELOPE, max_files_per_trigger=-(-files // 2))
         write_stream_latest(stream, EVENT_PAYLOAD, f"{out}/snapshot", f"{out}/checkpoint", key="user_id", buckets=buckets)
     return read_live(spark, f"{out}/snapshot")
 

@@ -129,3 +129,29 @@ def test_capped_extract_keeps_the_compaction_tasks(spark, tmp):
     assert "Coalesce" not in plan
     # the cap's exchange stands above the window and the full decode
     assert plan.index("Exchange RoundRobinPartitioning(2)") < plan.index("Window ")
+
+
+def test_topic_files_grow_in_number_not_in_size(spark, monkeypatch):
+    from snapkeep import catalog
+
+    seen = []
+
+    def read(spark, path, schema, **kw):
+        seen.append((path, kw["max_files_per_trigger"]))
+        return read_stream_files(spark, path, schema, **kw)
+
+    read_stream_files = catalog.read_stream_files
+    monkeypatch.setattr(catalog, "read_stream_files", read)
+    want = {tuple(r) for r in catalog.q_stream_latest_per_key(spark, "/root/testdata/sf0.01").collect()}
+    monkeypatch.setattr(catalog, "TOPIC_FILE_BYTES", 1 << 16, raising=False)
+    got = {tuple(r) for r in catalog.q_stream_latest_per_key(spark, "/root/testdata/sf0.01").collect()}
+    assert got == want
+
+    def sizes(path):
+        return [r["count"] for r in spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()]
+
+    # a small topic keeps its four files, two a micro-batch; a larger one has more, all of about one size
+    (few, two), (many, half) = seen[0], seen[-1]
+    assert len(sizes(few)) == 4 and two == 2
+    assert len(sizes(many)) >= 20 and max(sizes(many)) < 2 * (1 << 16) / 128
+    assert sum(sizes(many)) == sum(sizes(few)) and len(sizes(many)) / 2 <= half < len(sizes(many)) / 2 + 1
